@@ -1,0 +1,8 @@
+"""Intentionally empty.
+
+The report is one batch query: it has no stream source, watermark,
+window or state. Its "incremental" aspect - precomputed history before a
+cutoff date plus a live computation after it - is a batch union
+(:func:`tessera.operators.hybrid_union`) over a month-partitioned history
+table (:mod:`tessera.sources.sink`).
+"""
