@@ -135,3 +135,8 @@ class ReportConfig:
     # Restrict dimension reads to the keys the live rows use (semi-joins).
     # Results are the same either way; off is only for checking that.
     scope_sources: bool = True
+    # How shared intermediate stages (drivers, per-ticket flags, profiles) are
+    # materialized: "auto" = checkpoint() into spark.checkpoint.dir when the
+    # session names one, else persist(MEMORY_AND_DISK); or "checkpoint",
+    # "persist", "none" (inline everything into one plan).
+    materialize: str = "auto"

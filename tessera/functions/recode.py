@@ -27,6 +27,16 @@ def _pairs(mapping: Mapping[str, str] | Iterable[tuple[str, str]]) -> list[tuple
     return list(seen.items())
 
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_map(pairs: Iterable[tuple[str, str]]) -> Column:
+    """A ``map(k1, v1, ...)`` literal built in one expression."""
+    body = ", ".join(f"{_sql_text(k)}, {_sql_text(v)}" for k, v in pairs)
+    return F.expr(f"map({body})")
+
+
 def recode(
     col: Column | str,
     mapping: Mapping[str, str] | Iterable[tuple[str, str]],
@@ -47,7 +57,7 @@ def recode(
     if not pairs:
         out = fallback
     else:
-        lookup = F.create_map(*[F.lit(x) for kv in pairs for x in kv])
+        lookup = literal_map(pairs)
         out = F.when(F.map_contains_key(lookup, c), F.try_element_at(lookup, c)).otherwise(fallback)
     if nulls:
         out = F.when(c.isin(*nulls), F.lit(None).cast("string")).otherwise(out)

@@ -23,12 +23,16 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     if len(df.columns) != len(schema.fields):
         raise ValueError(
             f"branch has {len(df.columns)} columns, schema has {len(schema.fields)}")
-    return df.select(*[
-        F.col(f"`{src}`").cast(field.dataType).alias(field.name)
+    return df.selectExpr(*[
+        f"CAST({_q(src)} AS {field.dataType.simpleString()}) AS {_q(field.name)}"
         for src, field in zip(df.columns, schema.fields)
     ])
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -24,6 +24,7 @@ from tessera.operators import (
     first_per_key, flag_pivot, joined_text, key_pool, latest_per_key, presence_flag,
     scope_by_keys, union_all,
 )
+from tessera.plans.stages import stage
 from tessera.sources import SourceCatalog
 
 
@@ -33,6 +34,8 @@ class ReportDatasets:
     def __init__(self, sources: SourceCatalog, cfg: ReportConfig | None = None) -> None:
         self.src = sources
         self.cfg = cfg or ReportConfig()
+        self._pools: dict[str, DataFrame] = {}
+        self._kept: list[DataFrame] = []
 
     # ------------------------------------------------------------------
     # drivers
@@ -46,24 +49,39 @@ class ReportDatasets:
             & on_or_after_or_null("event_date", self.cfg.cutoff)
             & F.lower(F.col("status")).isin(*self.cfg.ticket_statuses)
         )
-        return t.where(keep).select(
+        return self._keep(t.where(keep).select(
             "ticket_id", "event_id", "attendee_id", "customer_id", "product_name",
             "ticket_type", "status", "confirmation_status", "event_date", "ticket_price",
             "confirmation_method", "confirmed_date", "travel_details", "outreach_restriction",
             "sales_order_id", "purchaser_email", "is_comped", "undecided_timestamp", "is_walkin",
-        )
+        ))
 
     @cached_property
     def resets(self) -> DataFrame:
         """No-show reset records of the event type dated on/after the cutoff (NULL dates drop)."""
         r = self.src.table("ticket_no_show_resets")
-        return r.where((F.col("event_type_id") == self.cfg.event_type_id)
-                       & on_or_after("event_date", self.cfg.cutoff))
+        return self._keep(r.where((F.col("event_type_id") == self.cfg.event_type_id)
+                                  & on_or_after("event_date", self.cfg.cutoff)))
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        """Materialize a relation several later steps read; see :func:`tessera.plans.stages.stage`."""
+        return stage(df, self.cfg.materialize, self._kept)
 
-    # key pools: tickets ∪ resets
+    def release(self) -> None:
+        """Unpersist everything :meth:`_keep` persisted."""
+        for df in self._kept:
+            df.unpersist()
+        self._kept.clear()
+
+    # key pools: tickets ∪ resets, each built once
     def _pool(self, col: str, prefix: str | None = None) -> DataFrame:
-        key = (lambda c: prefixed_key(prefix, c)) if prefix else (lambda c: F.col(c))
-        return key_pool((self.tickets, key(col)), (self.resets, key(col)))
+        if col not in self._pools:
+            self._pools[col] = key_pool((self.tickets, col), (self.resets, col))
+        pool = self._pools[col]
+        if prefix is None:
+            return pool
+        # prefixing is injective, so the prefixed pool stays distinct
+        return pool.select(prefixed_key(prefix, F.col(pool.columns[0])).alias(pool.columns[0]))
 
     def _scope(self, df: DataFrame, key, pool_fn) -> DataFrame:
         """``df`` restricted to keys in the pool (skipped when scoping is off)."""
@@ -92,12 +110,20 @@ class ReportDatasets:
     def dim_customer_base(self) -> DataFrame:
         """One read of the customer dimension for four consumers (not deduplicated)."""
         dc = self.src.table("DimCustomer")
+        # every consumer is left-joined on cv_customer_id from customers or resets,
+        # so only those keys can ever match
+        dc = self._scope(dc, "CVCustomerID", lambda: self.cv_pool)
         return dc.where(F.col("CVCustomerID").isNotNull()).select(
             F.col("CVCustomerID").alias("cv_customer_id"), "NetSuiteID",
             F.col("VerticalName").alias("vertical"), "AnnualBusinessRevenueName",
             yes_or_null(F.col("First10X360PurchaseDate").isNotNull()).alias("is_10x360_flag"),
             F.col("First10X360PurchaseDate").alias("first_10x360_purchase_date"))
 
+    @cached_property
+    def cv_pool(self) -> DataFrame:
+        """Distinct cv_customer_id of the scoped customers and of the resets."""
+        return key_pool((self.customers, "cv_customer_id"), (self.resets, "cv_customer_id"))
+
     @cached_property
     def dim_customer(self) -> DataFrame:
         """(cv_customer_id, vertical)."""
@@ -310,10 +336,13 @@ class ReportDatasets:
         """Live tickets that were once set to undecided."""
         return self._history_scoped.where(F.col("action") == C.UNDECIDED_ACTION).select("ticket_id").distinct()
 
+    @cached_property
     def _ticket_flags(self) -> DataFrame:
+        """Live ticket rows with their history flags and POS date (computed once)."""
         t = self.tickets.select("ticket_id", "event_date", "undecided_timestamp", "is_comped", "sales_order_id")
         t = presence_flag(t, self.history_rescheduled, "ticket_id", "hr")
-        return presence_flag(t, self.history_was_undecided, "ticket_id", "hwu")
+        t = presence_flag(t, self.history_was_undecided, "ticket_id", "hwu")
+        return self._keep(t.join(self.pos_original_event_dedup, "ticket_id", "left"))
 
     @cached_property
     def source_of_purchase(self) -> DataFrame:
@@ -321,7 +350,6 @@ class ReportDatasets:
 
         A NULL event date makes the date comparison unknown, hence 'Concierge'.
         """
-        t = self._ticket_flags().join(self.pos_original_event_dedup, "ticket_id", "left")
         decision = (
             F.when(F.col("original_event_date").isNotNull(),
                    F.when(F.to_date("event_date") == F.col("original_event_date"), F.lit("POS"))
@@ -330,22 +358,27 @@ class ReportDatasets:
              .when(F.col("undecided_timestamp").isNotNull(), F.lit("Concierge"))
              .when(F.col("hr"), F.lit("Concierge"))
              .otherwise(F.lit("POS")))
-        return t.select("ticket_id", decision.alias("source_of_purchase"))
+        return self._ticket_flags.select("ticket_id", decision.alias("source_of_purchase"))
 
     @cached_property
     def seat_attribution(self) -> DataFrame:
-        """Ticket -> seven-way ordered decision (inner join to B24 kept as in the original)."""
-        t = self._ticket_flags().join(self.source_of_purchase, "ticket_id", "inner")
+        """Ticket -> seven-way ordered decision.
+
+        Joined to B24 on the ticket id as in the original (a duplicated
+        ticket id multiplies rows there too).
+        """
+        sop = self.source_of_purchase.withColumnRenamed("ticket_id", "sop_ticket_id")
+        t = self._ticket_flags.join(sop, F.col("ticket_id") == sop["sop_ticket_id"], "inner")
         comp_no_order = ((F.coalesce(F.col("is_comped"), F.lit(0)) == 1)
                          & (F.col("sales_order_id").isNull() | (F.col("sales_order_id") == "")))
         hr, hwu = F.col("hr"), F.col("hwu")
-        sop = F.col("source_of_purchase")
+        sop_value = F.col("source_of_purchase")
         decision = (
             F.when(comp_no_order & hr, F.lit("Rescheduled + Comp"))
              .when(comp_no_order, F.lit("Comp"))
              .when(hr & (hwu | F.col("undecided_timestamp").isNotNull()), F.lit("Rescheduled + Undecided"))
              .when(hr, F.lit("Rescheduled"))
-             .when(sop == "POS", F.lit("Sales"))
-             .when(sop == "Concierge", F.lit("Undecided"))
+             .when(sop_value == "POS", F.lit("Sales"))
+             .when(sop_value == "Concierge", F.lit("Undecided"))
              .otherwise(F.lit("Sales")))
         return t.select("ticket_id", decision.alias("seat_attribution"))

@@ -36,6 +36,7 @@ from tessera.functions import (
 from tessera.operators import hybrid_union, union_all
 from tessera.operators.union import conform
 from tessera.plans.datasets import ReportDatasets
+from tessera.plans.stages import stage
 from tessera.sources import SourceCatalog
 
 S, D, TS, L, MONEY = StringType(), DateType(), TimestampNTZType(), LongType(), DecimalType(18, 2)
@@ -102,6 +103,9 @@ class Report:
         self.ds = ReportDatasets(sources, self.cfg)
         self.src = sources
 
+    def _stage(self, df: DataFrame) -> DataFrame:
+        return stage(df, self.cfg.materialize, self.ds._kept)
+
     # ------------------------------------------------------------------
     # profiles: lookups pre-joined at the grain of their key
     # ------------------------------------------------------------------
@@ -109,11 +113,8 @@ class Report:
     def cv_profile(self) -> DataFrame:
         """cv_customer_id -> vertical, revenue, RYB item, 10X360 flag/date (with fan-out)."""
         ds = self.ds
-        keys = union_all([
-            ds.customers.select("cv_customer_id"),
-            ds.resets.select("cv_customer_id"),
-        ]).where(F.col("cv_customer_id").isNotNull()).distinct()
-        return (keys
+        keys = ds.cv_pool.withColumnRenamed(ds.cv_pool.columns[0], "cv_customer_id")
+        return self._stage(keys
                 .join(ds.dim_customer.withColumnRenamed("vertical", "dc_vertical"), "cv_customer_id", "left")
                 .join(ds.hubspot_abr, "cv_customer_id", "left")
                 .join(ds.ryb_purchases, "cv_customer_id", "left")
@@ -124,7 +125,8 @@ class Report:
         """customer_id -> scoped customer columns + its cv profile."""
         c = self.ds.customers
         cvp = self.cv_profile.withColumnRenamed("cv_customer_id", "p_cv_customer_id")
-        return c.join(cvp, c["cv_customer_id"] == cvp["p_cv_customer_id"], "left").drop("p_cv_customer_id")
+        return self._stage(
+            c.join(cvp, c["cv_customer_id"] == cvp["p_cv_customer_id"], "left").drop("p_cv_customer_id"))
 
     @cached_property
     def sales_order_profile(self) -> DataFrame:
@@ -137,7 +139,7 @@ class Report:
             F.col("TransactionDisplayName").alias("so_display_name"), "SalesRepName", "SalesRep2Name")
         e1 = ds.dim_employee.select(F.col("EmployeeName").alias("e1_name"), F.col("Email").alias("rep1_email"))
         e2 = ds.dim_employee.select(F.col("EmployeeName").alias("e2_name"), F.col("Email").alias("rep2_email"))
-        return (keys
+        return self._stage(keys
                 .join(ds.refunds, "sales_order_id", "left")
                 .join(ds.ticket_transactions, "sales_order_id", "left")
                 .join(nsr, "so_display_name", "left")
@@ -152,7 +154,7 @@ class Report:
         a = ds.attendees
         hp = ds.hubspot_person.select(F.col("CVPersonID").alias("hp_person_id"), F.col("ContactID").alias("hp_contact_id"))
         he = ds.hubspot_email.select(F.col("Email").alias("he_email"), F.col("ContactID").alias("he_contact_id"))
-        return (a.join(hp, a["person_id"] == hp["hp_person_id"], "left")
+        return self._stage(a.join(hp, a["person_id"] == hp["hp_person_id"], "left")
                  .join(he, normalize_key(a["attendee_email"], "lcase") == he["he_email"], "left")
                  .drop("hp_person_id", "he_email"))
 
@@ -161,7 +163,7 @@ class Report:
         """ticket_id (live tickets) -> rooms, notes, confirmer, decisions, POS date, check-ins."""
         ds = self.ds
         keys = ds.tickets.select("ticket_id").where(F.col("ticket_id").isNotNull()).distinct()
-        return (keys
+        return self._stage(keys
                 .join(ds.sessions, "ticket_id", "left")
                 .join(ds.ticket_notes, "ticket_id", "left")
                 .join(ds.confirmed_by, "ticket_id", "left")
@@ -175,8 +177,8 @@ class Report:
         """ticket_id (resets) -> notes, POS date."""
         ds = self.ds
         keys = ds.resets.select("ticket_id").where(F.col("ticket_id").isNotNull()).distinct()
-        return (keys.join(ds.ticket_notes, "ticket_id", "left")
-                    .join(ds.pos_original_event_dedup, "ticket_id", "left"))
+        return self._stage(keys.join(ds.ticket_notes, "ticket_id", "left")
+                               .join(ds.pos_original_event_dedup, "ticket_id", "left"))
 
     # ------------------------------------------------------------------
     # branches
@@ -288,6 +290,10 @@ class Report:
     def history(self) -> DataFrame | None:
         return self.src.history()
 
+    def release(self) -> None:
+        """Unpersist the cached live drivers once the report has been written."""
+        self.ds.release()
+
     def live(self) -> DataFrame:
         """Parts B1 + B2 (no history)."""
         return self.active.union(self.no_show)

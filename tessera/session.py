@@ -20,6 +20,8 @@ _DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # remove checkpoint files once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -16,7 +16,6 @@ import os
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.sources.schemas import SOURCE_SCHEMAS
 
@@ -61,7 +60,8 @@ class SourceCatalog:
         schema = SOURCE_SCHEMAS.get(name)
         if schema is None:
             return df
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        return df.selectExpr(*[
+            f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
     def has(self, name: str) -> bool:
         try:
