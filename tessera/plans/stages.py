@@ -40,7 +40,12 @@ def stage(df: DataFrame, mode: str = "auto", kept: list | None = None) -> DataFr
         from tessera.session import checkpoint_dir
 
         checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        # cached first so the checkpoint write reads the computed blocks
+        # instead of running the plan a second time
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
+        return out
     if mode == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         if kept is not None:
