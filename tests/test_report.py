@@ -205,3 +205,24 @@ def test_history_without_matching_columns_is_rejected(spark, fixture_sources):
     src = SourceCatalog(spark, frames=fixture_sources.frames, history=bad)
     with pytest.raises(ValueError):
         Report(src).build()
+
+
+@pytest.mark.parametrize("mode", ["none", "persist"])
+def test_stage_modes_give_the_same_report(spark, fixture_sources, report_rows, mode):
+    """The default run here checkpoints stages (tests set a checkpoint folder)."""
+    rep = Report(fixture_sources, ReportConfig(materialize=mode))
+    rows = rows_of(rep.build())
+    rep.release()
+    key = lambda rows: Counter(tuple(sorted((k, str(v)) for k, v in r.items())) for r in rows)
+    assert key(rows) == key(report_rows)
+
+
+def test_checkpoint_stage_cuts_lineage(spark, fixture_sources):
+    from tessera.plans.stages import stage
+
+    df = Report(fixture_sources).ds.tickets
+    cut = stage(df.where("status IS NOT NULL"), "checkpoint")
+    plan = cut._jdf.queryExecution().analyzed().toString()
+    assert "LogicalRDD" in plan and "Filter" not in plan
+    with pytest.raises(ValueError):
+        stage(df, "sometimes")
