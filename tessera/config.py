@@ -129,9 +129,6 @@ class ReportConfig:
     event_type_id: int = EVENT_TYPE_ID
     ticket_statuses: tuple[str, ...] = TICKET_STATUSES
     rep_aliases: tuple[tuple[str, str], ...] = field(default_factory=tuple)
-    # Rows with fewer than this many expected rows may be broadcast after a
-    # bounded count proves the bound; larger sides are left to AQE.
-    broadcast_row_limit: int = 1_000_000
     # Restrict dimension reads to the keys the live rows use (semi-joins).
     # Results are the same either way; off is only for checking that.
     scope_sources: bool = True

@@ -12,9 +12,9 @@ them.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.sources.schemas import SOURCE_SCHEMAS
@@ -41,18 +41,32 @@ class SourceCatalog:
         self.parquet_root = parquet_root
         self.table_prefix = table_prefix
         self._history = history
+        self._resolved: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name in self.frames:
             return self.frames[name]
+        if name in self._resolved:
+            return self._resolved[name]
+        df = None
         if self.parquet_root:
-            for cand in (name, f"{name}.parquet"):
-                path = os.path.join(self.parquet_root, cand)
-                if os.path.exists(path) or "://" in self.parquet_root:
-                    return self.spark.read.parquet(path)
-        if self.table_prefix is not None:
-            return self.spark.table(self.table_prefix + name)
-        raise KeyError(f"no source for table {name!r}")
+            root = self.parquet_root.rstrip("/")
+            for cand in (f"{root}/{name}", f"{root}/{name}.parquet"):
+                try:
+                    # resolved by Spark's filesystem layer, not the driver's local disk
+                    df = self.spark.read.parquet(cand)
+                    break
+                except AnalysisException:
+                    continue
+        if df is None and self.table_prefix is not None:
+            try:
+                df = self.spark.table(self.table_prefix + name)
+            except AnalysisException:
+                df = None
+        if df is None:
+            raise KeyError(f"no source for table {name!r}")
+        self._resolved[name] = df
+        return df
 
     def table(self, name: str) -> DataFrame:
         """The table projected and cast to its declared schema."""
