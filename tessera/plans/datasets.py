@@ -139,10 +139,13 @@ class ReportDatasets:
         att = self.src.table("attendee_tickets")
         es = self.src.table("silver_EventSession")
         t = self.tickets.select(F.col("ticket_id").alias("t_ticket_id"), F.col("event_id").alias("t_event_id"))
-        # the session LEFT JOIN is followed by a NULL-rejecting WHERE on it: an inner join
-        j = (ats.join(att, "attendee_ticket_id", "inner")
-                .join(es, ats["event_session_code"] == es["CVEventSessionID"], "inner")
-                .join(t, (att["ticket_id"] == t["t_ticket_id"]) & (es["Event"] == t["t_event_id"]), "inner"))
+        # The session LEFT JOIN is followed by a NULL-rejecting WHERE on it: an
+        # inner join. All joins are inner, so start from the live tickets and
+        # never join the full bridge tables with each other.
+        live = att.join(t, att["ticket_id"] == t["t_ticket_id"], "inner")
+        j = (live.join(ats, "attendee_ticket_id", "inner")
+                 .join(es, (ats["event_session_code"] == es["CVEventSessionID"]) & (es["Event"] == F.col("t_event_id")),
+                       "inner"))
         rooms = j.select(att["ticket_id"].alias("ticket_id"),
                          classify_like(es["SessionName"], C.ROOM_CLASSES).alias("room_type"))
         rooms = rooms.where(F.col("room_type").isNotNull())
@@ -156,6 +159,8 @@ class ReportDatasets:
             (F.col("flow_type") == C.CHECKIN_FLOW_TYPE)
             & F.col("check_in_undone_at").isNull()
             & F.col("ticket_id").isNotNull()).select("ticket_id", "session_id", "event_id")
+        # only live tickets read the check-ins
+        ku = self._scope(ku, "ticket_id", lambda: self.tickets.select("ticket_id"))
         kr = self.src.table("kiosk_registrations").select("session_id", "event_id", "session_name")
         j = ku.join(kr, ["session_id", "event_id"], "inner")
         return flag_pivot(j, "ticket_id", "session_name", C.CHECKIN_FLAGS)
@@ -167,11 +172,14 @@ class ReportDatasets:
     def hubspot_abr(self) -> DataFrame:
         """Revenue per customer-dimension row: owner contact's (latest) if not blank, else the dimension's."""
         companies = self.src.table("silver_Companies").where(F.col("CVCustomerID").isNotNull())
+        # top-1 per key only looks at rows of that key: scoping the keys is exact
+        companies = self._scope(companies, "CVCustomerID", lambda: self.cv_pool)
         first_company = first_per_key(companies, "CVCustomerID", "CompanyID").select(
             F.col("CVCustomerID").alias("hc_cv_customer_id"), F.col("CompanyID").alias("hc_company_id"))
         contacts = self.src.table("silver_Contacts").where(
             (F.col("BusinessOwner") == 1) & F.col("AnnualBusinessRevenue").isNotNull())
-        assoc = self.src.table("silver_ContactCompanyAssoc")
+        assoc = self._scope(self.src.table("silver_ContactCompanyAssoc"), "CompanyID",
+                            lambda: first_company.select("hc_company_id"))
         owner = assoc.join(contacts, "ContactID", "inner").select(
             "CompanyID", "ContactID", "AnnualBusinessRevenue", "UpdatedAtUTC")
         latest_owner = latest_per_key(owner, "CompanyID", "UpdatedAtUTC", tiebreak="ContactID").select(
@@ -264,6 +272,7 @@ class ReportDatasets:
     def hubspot_person(self) -> DataFrame:
         """Person id -> latest contact id."""
         hc = self.src.table("silver_Contacts").where(F.col("CVPersonID").isNotNull())
+        hc = self._scope(hc, "CVPersonID", lambda: key_pool((self.attendees, "person_id")))
         return latest_per_key(hc, "CVPersonID", "UpdatedAtUTC", tiebreak="ContactID").select(
             "CVPersonID", "ContactID")
 
@@ -272,6 +281,8 @@ class ReportDatasets:
         """Lower-cased email -> latest contact id (blank emails excluded)."""
         hc = self.src.table("silver_Contacts").where(not_blank("Email")).select(
             F.lower("Email").alias("Email"), "ContactID", "UpdatedAtUTC")
+        hc = self._scope(hc, "Email", lambda: key_pool((self.attendees, F.lower("attendee_email")),
+                                                       (self.resets, F.lower("attendee_email"))))
         return latest_per_key(hc, "Email", "UpdatedAtUTC", tiebreak="ContactID").select("Email", "ContactID")
 
     @cached_property
@@ -303,9 +314,13 @@ class ReportDatasets:
             self.tickets.where(F.col("sales_order_id").isNotNull()).select("ticket_id", "sales_order_id"),
             self.resets.where(F.col("sales_order_id").isNotNull()).select("ticket_id", "sales_order_id"),
         ])
-        ns_link = (self.src.table("silver_Transaction")
+        headers = (self.src.table("silver_Transaction")
                    .where((F.col("TransactionType") == C.SALES_ORDER_TYPE) & (F.col("TransactionLineID") == 0))
-                   .select("TransactionID", "TransactionDisplayName").distinct())
+                   .select("TransactionID", "TransactionDisplayName"))
+        # only headers of live sales orders can join: scope before the distinct
+        headers = self._scope(headers, "TransactionDisplayName",
+                              lambda: self._pool("sales_order_id", C.SALES_ORDER_PREFIX))
+        ns_link = headers.distinct()
         bof = self.src.table("bronze_OrdersFULL")
         bose = self.src.table("bronze_OrdersSelectedEventsFULL").where(
             F.col("selected_event_name").contains(C.POS_EVENT_PATTERN)).select(

@@ -226,3 +226,16 @@ def test_checkpoint_stage_cuts_lineage(spark, fixture_sources):
     assert "LogicalRDD" in plan and "Filter" not in plan
     with pytest.raises(ValueError):
         stage(df, "sometimes")
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="no sf0.01 data")
+def test_scoping_is_exact_on_benchmark_sources(spark):
+    from tessera.sources.benchmark_roles import BENCHMARK_CONFIG, benchmark_catalog
+
+    sf = "/root/testdata/sf0.01"
+    scoped = Report(benchmark_catalog(spark, sf), BENCHMARK_CONFIG).build(sort=False)
+    unscoped = Report(benchmark_catalog(spark, sf),
+                      dataclasses.replace(BENCHMARK_CONFIG, scope_sources=False)).build(sort=False)
+    assert scoped.count() == unscoped.count() > 1000
+    assert scoped.exceptAll(unscoped).count() == 0
+    assert unscoped.exceptAll(scoped).count() == 0
