@@ -2,7 +2,8 @@
 
 from tessera.operators.flags import flag_pivot, presence_flag
 from tessera.operators.lookup import (
-    DuplicateKeyError, bounded_broadcast, duplicate_keys, has_at_most, lookup,
+    DuplicateKeyError, bounded_broadcast, duplicate_keys, has_at_most, left_join_spread_nulls,
+    lookup,
 )
 from tessera.operators.scope import key_pool, scope_by_keys
 from tessera.operators.textagg import joined_text, ordered_listagg
@@ -12,6 +13,6 @@ from tessera.operators.union import conform, hybrid_union, union_all
 __all__ = [
     "DuplicateKeyError", "bounded_broadcast", "conform", "duplicate_keys",
     "first_per_key", "flag_pivot", "has_at_most", "hybrid_union", "joined_text",
-    "key_pool", "latest_per_key", "lookup", "ordered_listagg", "presence_flag",
+    "key_pool", "latest_per_key", "left_join_spread_nulls", "lookup", "ordered_listagg", "presence_flag",
     "scope_by_keys", "union_all",
 ]

@@ -39,6 +39,29 @@ def duplicate_keys(dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
     return dim.groupBy(*keys).count().where(F.col("count") > 1)
 
 
+SALT = "__null_salt"
+
+
+def left_join_spread_nulls(df: DataFrame, dim: DataFrame, key: str, spread_by: str | Column,
+                           buckets: int | None = None) -> DataFrame:
+    """``df LEFT JOIN dim USING (key)`` with NULL keys spread over all partitions.
+
+    A NULL key never matches, but every NULL-key row of ``df`` would still
+    hash to the same shuffle partition - one reducer for what may be a
+    third of the fact. The join runs on ``(key, salt)``: ``salt`` is 0 on
+    ``dim`` and for non-NULL keys, and a deterministic hash bucket of
+    ``spread_by`` for NULL keys. Rows, columns and matches are unchanged.
+    ``buckets`` defaults to the session's shuffle partition count.
+    """
+    if buckets is None:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
+    k = F.col(key)
+    left = df.withColumn(SALT, F.when(k.isNull(), F.pmod(F.xxhash64(spread), F.lit(buckets))).otherwise(F.lit(0)))
+    right = dim.withColumn(SALT, F.lit(0).cast("long"))
+    return left.join(right, [key, SALT], "left").drop(SALT)
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,

@@ -33,7 +33,7 @@ from tessera.config import ReportConfig
 from tessera.functions import (
     date_span_label, normalize_key, prefixed_key, recode, split_first_word, yes_no,
 )
-from tessera.operators import hybrid_union, union_all
+from tessera.operators import hybrid_union, left_join_spread_nulls, union_all
 from tessera.operators.union import conform
 from tessera.plans.datasets import ReportDatasets
 from tessera.plans.stages import stage
@@ -195,10 +195,9 @@ class Report:
         so = self._prefixed(self.sales_order_profile, "so_", "sales_order_id")
         ap = self._prefixed(self.attendee_profile, "a_", "attendee_id")
         cp = self._prefixed(self.customer_profile, "c_", "customer_id")
-        j = (t.join(tp, "ticket_id", "left")
-              .join(so, "sales_order_id", "left")
-              .join(ap, "attendee_id", "left")
-              .join(cp, "customer_id", "left"))
+        j = t
+        for profile, key in ((tp, "ticket_id"), (so, "sales_order_id"), (ap, "attendee_id"), (cp, "customer_id")):
+            j = left_join_spread_nulls(j, profile, key, spread_by="ticket_id")
         first, rest = split_first_word(F.col("a_attendee_name"))
         cols = [
             F.lit("Active"),
@@ -246,12 +245,10 @@ class Report:
         c2 = self.ds.customers.select("customer_id", F.col("abr").alias("c_abr"))
         cvp = self._prefixed(self.cv_profile, "cv_", "cv_customer_id")
         he = self.ds.hubspot_email.select(F.col("Email").alias("he_email"), F.col("ContactID").alias("he_contact_id"))
-        j = (r.join(tp, "ticket_id", "left")
-              .join(so, "sales_order_id", "left")
-              .join(a2, "attendee_id", "left")
-              .join(c2, "customer_id", "left")
-              .join(cvp, "cv_customer_id", "left")
-              .join(he, normalize_key(r["attendee_email"], "lcase") == he["he_email"], "left"))
+        j = r.withColumn("he_email", normalize_key(F.col("attendee_email"), "lcase"))
+        for profile, key in ((tp, "ticket_id"), (so, "sales_order_id"), (a2, "attendee_id"), (c2, "customer_id"),
+                             (cvp, "cv_customer_id"), (he, "he_email")):
+            j = left_join_spread_nulls(j, profile, key, spread_by="ticket_id")
         first, rest = split_first_word(F.col("attendee_name"))
         cols = [
             F.lit("No Show Reset"),

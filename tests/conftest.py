@@ -20,6 +20,7 @@ def spark():
 
     scratch = tempfile.mkdtemp(prefix="tessera-tests-")
     s = get_session(master="local[4]", shuffle_partitions=8,
+                    extra_conf={"spark.driver.memory": "6g"},
                     fallback_checkpoint_dir=os.path.join(scratch, "checkpoints"))
     yield s
     s.stop()

@@ -128,3 +128,16 @@ def test_conform_positional(spark):
     assert out.schema == schema and tuple(out.first()) == (1, "2")
     with pytest.raises(ValueError):
         conform(df.select("x"), schema)
+
+
+def test_left_join_spread_nulls(spark):
+    from tessera.operators import left_join_spread_nulls
+
+    fact = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (2, "d")], "k int, f string")
+    dim = spark.createDataFrame([(1, "x", 10), (1, "y", 11), (None, "z", 12)], "k int, v string, w int")
+    got = left_join_spread_nulls(fact, dim, "k", spread_by="f", buckets=4)
+    expected = fact.join(dim, "k", "left")
+    assert sorted(got.columns) == sorted(expected.columns)
+    assert got.exceptAll(expected.select(*got.columns)).count() == 0
+    assert expected.select(*got.columns).exceptAll(got).count() == 0
+    assert got.count() == 5
