@@ -26,6 +26,9 @@ class SourceCatalog:
     - ``frames``: explicit DataFrames by name (take precedence)
     - ``parquet_root``: ``<root>/<name>`` or ``<root>/<name>.parquet``
     - ``table_prefix``: ``spark.table(prefix + name)``
+
+    The stored report history (Part A) is ``history`` if given, else the
+    source named ``history_table``.
     """
 
     def __init__(
@@ -35,12 +38,14 @@ class SourceCatalog:
         parquet_root: str | None = None,
         table_prefix: str | None = None,
         history: DataFrame | None = None,
+        history_table: str = "report_history",
     ) -> None:
         self.spark = spark
         self.frames = dict(frames or {})
         self.parquet_root = parquet_root
         self.table_prefix = table_prefix
         self._history = history
+        self.history_table = history_table
         self._resolved: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
@@ -88,7 +93,7 @@ class SourceCatalog:
         """The materialised report history (Part A), if any."""
         if self._history is not None:
             return self._history
-        return self.raw("rpt_revopsattendees") if self.has("rpt_revopsattendees") else None
+        return self.raw(self.history_table) if self.has(self.history_table) else None
 
 
 def frames_from_rows(
