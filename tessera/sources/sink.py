@@ -1,14 +1,16 @@
 """Writing the report and its history table.
 
 The history table (Part A of the report) is read with ``date < cutoff``.
-Written partitioned by the month of that date, the filter prunes whole
-folders instead of scanning every file. Writes go through Spark's commit
+Written partitioned by the month of that date and read with the
+matching month bound (:func:`read_history`), whole folders after the
+cutoff are never listed or scanned. Writes go through Spark's commit
 protocol, so a lost executor re-runs its tasks and the folder is only
 published complete.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
 import os
 import uuid
 
@@ -30,9 +32,20 @@ def write_history(df: DataFrame, path: str, date_col: str, mode: str = "overwrit
        .write.mode(mode).partitionBy(MONTH_COL).parquet(path))
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """Read a history folder written by :func:`write_history` (drops the partition column)."""
-    return spark.read.parquet(path).drop(MONTH_COL)
+def read_history(spark: SparkSession, path: str, before: str | _dt.date | None = None) -> DataFrame:
+    """Read a history folder written by :func:`write_history` (drops the partition column).
+
+    With ``before`` (the report cutoff), only month folders up to the
+    cutoff's month are listed and read: Spark prunes partitions only on
+    predicates over the partition column, so the month bound is stated
+    explicitly. The exact ``date < cutoff`` filter is applied by the
+    report on top of it.
+    """
+    df = spark.read.parquet(path)
+    if before is not None:
+        d = _dt.date.fromisoformat(before) if isinstance(before, str) else before
+        df = df.where(F.col(MONTH_COL) <= F.lit(d.strftime("%Y-%m")))
+    return df.drop(MONTH_COL)
 
 
 def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -185,7 +185,7 @@ def test_hybrid_history_plus_live_equals_earlier_live(spark, fixture_sources):
     scratch = tempfile.mkdtemp(prefix="tessera-hist-")
     path = os.path.join(scratch, "history")
     write_history(earlier_live, path, "DATESelectionDNT")
-    history = read_history(spark, path)
+    history = read_history(spark, path, before=dt.date(2026, 8, 11))
     src = SourceCatalog(spark, frames=fixture_sources.frames, history=history)
     hybrid = Report(src).build(sort=False)
 
@@ -195,9 +195,11 @@ def test_hybrid_history_plus_live_equals_earlier_live(spark, fixture_sources):
     hist_ids = {r["TicketID"] for r in rows_of(hybrid) if r["DATESelectionDNT"] is not None
                 and r["DATESelectionDNT"] < dt.datetime(2026, 8, 11)}
     assert hist_ids == {"T4", "R4"}
-    # the date filter prunes history partitions
+    # the month bound prunes history partitions; the date filter is pushed to the scan
     plan = hybrid._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan or "PushedFilters" in plan
+    part_filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "report_month" in part_filters and "2026-08" in part_filters
+    assert "DATESelectionDNT" in plan.split("PushedFilters: [")[1].split("]")[0]
 
 
 def test_history_without_matching_columns_is_rejected(spark, fixture_sources):
