@@ -19,7 +19,8 @@ _R = """R AS (
     WHERE o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')"""
 _CHAIN = """lines AS (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber = 1),
 blue AS (SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_name LIKE '%blue%'),
-first_event AS (SELECT user_id, CAST(min(ts) AS DATE) AS first_event_date FROM events GROUP BY user_id)"""
+first_event AS (SELECT user_id, CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) AS first_event_date
+                FROM events GROUP BY user_id)"""
 _SOP = """big_ship AS (
     SELECT l_orderkey, min(l_shipdate) AS first_big_ship FROM lineitem
     WHERE l_quantity > 40 GROUP BY l_orderkey),
@@ -112,13 +113,14 @@ FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
 WHERE p.p_size = l.l_linenumber""",
 
     "left_on_rn1": f"""WITH {_FIRST_BIG}
-SELECT c.c_custkey, c.c_name, fb.first_big_order, fb.o_totalprice
+SELECT c.c_custkey, c.c_name, CAST(fb.first_big_order AS VARCHAR) AS first_big_order, fb.o_totalprice
 FROM customer c LEFT JOIN first_big fb ON c.c_custkey = fb.big_custkey""",
 
     "chained_left": f"""WITH {_FIRST_BIG},
 parts AS (SELECT l_orderkey, min(l_partkey) AS min_big_part FROM lineitem
           WHERE l_quantity > 30 GROUP BY l_orderkey)
-SELECT c.c_custkey, fb.first_big_order, p.min_big_part
+SELECT c.c_custkey, CAST(fb.first_big_order AS VARCHAR) AS first_big_order,
+       CAST(p.min_big_part AS VARCHAR) AS min_big_part
 FROM customer c
 LEFT JOIN first_big fb ON c.c_custkey = fb.big_custkey
 LEFT JOIN parts p ON fb.first_big_order = p.l_orderkey""",
@@ -129,7 +131,8 @@ FROM orders o LEFT JOIN (
     SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 90) b
   ON o.o_custkey = b.user_id""",
 
-    "role_playing_dim": """SELECT c.c_custkey, n1.n_name AS cust_nation, s.s_suppkey, n2.n_name AS supp_nation
+    "role_playing_dim": """SELECT c.c_custkey, n1.n_name AS cust_nation, CAST(s.s_suppkey AS VARCHAR) AS s_suppkey,
+       n2.n_name AS supp_nation
 FROM customer c
 LEFT JOIN supplier s ON c.c_custkey = s.s_suppkey
 LEFT JOIN nation n1 ON c.c_nationkey = n1.n_nationkey
@@ -138,7 +141,8 @@ LEFT JOIN nation n2 ON s.s_nationkey = n2.n_nationkey""",
     "star_left": f"""WITH {_T}, {_R},
 ship AS (SELECT l_orderkey, min(l_shipdate) AS first_ship FROM lineitem GROUP BY l_orderkey),
 resets AS (SELECT o_custkey AS reset_custkey, min(o_orderkey) AS first_reset_order FROM R GROUP BY o_custkey)
-SELECT t.o_orderkey, c.c_name, n.n_name, s.first_ship, r.first_reset_order
+SELECT t.o_orderkey, c.c_name, n.n_name, s.first_ship,
+       CAST(r.first_reset_order AS VARCHAR) AS first_reset_order
 FROM T t
 LEFT JOIN customer c ON t.o_custkey = c.c_custkey
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey

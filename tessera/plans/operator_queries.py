@@ -52,6 +52,11 @@ KEY_WIDTH = 9
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _id_text(col: str) -> Column:
+    """An id that a left join may leave NULL, emitted as text (ids are text in the report)."""
+    return F.col(col).cast("string").alias(col)
+
+
 def _tables(spark: SparkSession, sf_dir: str) -> BenchmarkTables:
     return BenchmarkTables(spark, sf_dir)
 
@@ -91,7 +96,8 @@ def _pos_chain(tb: BenchmarkTables, drivers: DataFrame) -> DataFrame:
     blue = (tb.read("part", "p_partkey", "p_name", "p_retailprice")
               .where(F.col("p_name").contains("blue")))
     first_event = (tb.read("events", "user_id", "ts")
-                     .groupBy("user_id").agg(F.to_date(F.min("ts")).alias("first_event_date")))
+                     .groupBy("user_id")
+                     .agg(F.to_date(F.min("ts")).cast("timestamp_ntz").alias("first_event_date")))
     return (drivers
             .join(lines, drivers["o_orderkey"] == lines["l_orderkey"], "inner")
             .join(blue, F.col("l_partkey") == blue["p_partkey"], "inner")
@@ -246,7 +252,7 @@ def q_left_on_rn1(spark, sf_dir):
     c = tb.read("customer", "c_custkey", "c_name")
     fb = _first_big_order(tb)
     return (c.join(fb, c["c_custkey"] == fb["big_custkey"], "left")
-             .select("c_custkey", "c_name", "first_big_order", "o_totalprice"))
+             .select("c_custkey", "c_name", _id_text("first_big_order"), "o_totalprice"))
 
 
 def q_chained_left(spark, sf_dir):
@@ -258,7 +264,7 @@ def q_chained_left(spark, sf_dir):
                .groupBy("l_orderkey").agg(F.min("l_partkey").alias("min_big_part")))
     return (c.join(fb, c["c_custkey"] == fb["big_custkey"], "left")
              .join(parts, F.col("first_big_order") == parts["l_orderkey"], "left")
-             .select("c_custkey", "first_big_order", "min_big_part"))
+             .select("c_custkey", _id_text("first_big_order"), _id_text("min_big_part")))
 
 
 def q_flag_join(spark, sf_dir):
@@ -281,7 +287,7 @@ def q_role_playing_dim(spark, sf_dir):
     return (c.join(s, c["c_custkey"] == s["s_suppkey"], "left")
              .join(n1, F.col("c_nationkey") == n1["n1_key"], "left")
              .join(n2, F.col("s_nationkey") == n2["n2_key"], "left")
-             .select("c_custkey", "cust_nation", "s_suppkey", "supp_nation"))
+             .select("c_custkey", "cust_nation", _id_text("s_suppkey"), "supp_nation"))
 
 
 def q_star_left(spark, sf_dir):
@@ -297,7 +303,7 @@ def q_star_left(spark, sf_dir):
              .join(n, F.col("c_nationkey") == n["n_nationkey"], "left")
              .join(ship, t["o_orderkey"] == ship["l_orderkey"], "left")
              .join(resets, t["o_custkey"] == resets["reset_custkey"], "left")
-             .select("o_orderkey", "c_name", "n_name", "first_ship", "first_reset_order"))
+             .select("o_orderkey", "c_name", "n_name", "first_ship", _id_text("first_reset_order")))
 
 
 def q_pos_chain(spark, sf_dir):
