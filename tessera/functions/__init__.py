@@ -6,12 +6,12 @@ from tessera.functions.dates import (
 from tessera.functions.keys import normalize_key, prefixed_key
 from tessera.functions.recode import recode
 from tessera.functions.text import (
-    classify_like, contains_any, first_nonblank, is_blank, not_blank,
+    blank_to_null, classify_like, contains_any, first_nonblank, is_blank, not_blank,
     split_first_word, yes_no, yes_or_null,
 )
 
 __all__ = [
-    "before", "classify_like", "contains_any", "date_lit", "date_span_label",
+    "before", "blank_to_null", "classify_like", "contains_any", "date_lit", "date_span_label",
     "first_nonblank", "is_blank", "normalize_key", "not_blank", "on_or_after",
     "on_or_after_or_null", "prefixed_key", "recode", "split_first_word",
     "yes_no", "yes_or_null",

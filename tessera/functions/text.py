@@ -12,14 +12,23 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# The original server compares strings with trailing-blank padding, so
+# `x = ''` holds for any all-blank value; the blank tests below follow that.
+
 def is_blank(col: Column | str) -> Column:
-    """``col IS NULL OR col = ''``."""
-    return F.coalesce(_c(col), F.lit("")) == F.lit("")
+    """``col IS NULL OR col = ''`` (an all-blank value counts as blank)."""
+    return F.coalesce(F.rtrim(_c(col)), F.lit("")) == F.lit("")
 
 
 def not_blank(col: Column | str) -> Column:
     """``col IS NOT NULL AND col != ''`` (the ``!=`` alone already rejects NULL)."""
-    return _c(col) != F.lit("")
+    return F.rtrim(_c(col)) != F.lit("")
+
+
+def blank_to_null(col: Column | str) -> Column:
+    """``NULLIF(col, '')``: NULL for blank values, else the value unchanged."""
+    c = _c(col)
+    return F.when(F.rtrim(c) == F.lit(""), F.lit(None).cast("string")).otherwise(c)
 
 
 def first_nonblank(*cols: Column | str) -> Column:
@@ -29,7 +38,7 @@ def first_nonblank(*cols: Column | str) -> Column:
     """
     if not cols:
         raise ValueError("first_nonblank needs at least one column")
-    parts = [F.nullif(_c(c), F.lit("")) for c in cols[:-1]] + [_c(cols[-1])]
+    parts = [blank_to_null(c) for c in cols[:-1]] + [_c(cols[-1])]
     return F.coalesce(*parts)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessera import config as C
 from tessera.config import ReportConfig
 from tessera.functions import (
-    classify_like, first_nonblank, not_blank, on_or_after, on_or_after_or_null,
+    classify_like, first_nonblank, is_blank, not_blank, on_or_after, on_or_after_or_null,
     prefixed_key, recode, yes_or_null,
 )
 from tessera.operators import (
@@ -384,8 +384,7 @@ class ReportDatasets:
         """
         sop = self.source_of_purchase.withColumnRenamed("ticket_id", "sop_ticket_id")
         t = self._ticket_flags.join(sop, F.col("ticket_id") == sop["sop_ticket_id"], "inner")
-        comp_no_order = ((F.coalesce(F.col("is_comped"), F.lit(0)) == 1)
-                         & (F.col("sales_order_id").isNull() | (F.col("sales_order_id") == "")))
+        comp_no_order = (F.coalesce(F.col("is_comped"), F.lit(0)) == 1) & is_blank("sales_order_id")
         hr, hwu = F.col("hr"), F.col("hwu")
         sop_value = F.col("source_of_purchase")
         decision = (

@@ -222,7 +222,7 @@ WHERE rn = 1""",
     SELECT lower(event_type) AS type_key, event_id, ts,
            row_number() OVER (PARTITION BY lower(event_type)
                               ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
-    FROM events WHERE event_type IS NOT NULL AND event_type != '') x
+    FROM events WHERE event_type IS NOT NULL AND rtrim(event_type) != '') x
 WHERE rn = 1""",
 
     "recode_pass": "SELECT c_custkey, " + _SEGMENT_CASE.format(c="c_mktsegment", extra="")
@@ -250,9 +250,9 @@ hr AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'click'),
 hwu AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error')
 SELECT s.o_orderkey,
   CASE
-    WHEN COALESCE(s.is_comped, 0) = 1 AND (s.sales_order_id IS NULL OR s.sales_order_id = '')
+    WHEN COALESCE(s.is_comped, 0) = 1 AND (s.sales_order_id IS NULL OR rtrim(s.sales_order_id) = '')
          AND hr.user_id IS NOT NULL THEN 'Rescheduled + Comp'
-    WHEN COALESCE(s.is_comped, 0) = 1 AND (s.sales_order_id IS NULL OR s.sales_order_id = '') THEN 'Comp'
+    WHEN COALESCE(s.is_comped, 0) = 1 AND (s.sales_order_id IS NULL OR rtrim(s.sales_order_id) = '') THEN 'Comp'
     WHEN hr.user_id IS NOT NULL AND (hwu.user_id IS NOT NULL OR s.undecided_ts IS NOT NULL)
          THEN 'Rescheduled + Undecided'
     WHEN hr.user_id IS NOT NULL THEN 'Rescheduled'
@@ -281,9 +281,9 @@ FROM (SELECT p_partkey, concat_ws(' ', p_name, p_brand) AS full_name FROM part)
 FROM orders""",
 
     "nullif_coalesce": """SELECT o_orderkey,
-       COALESCE(NULLIF(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority ELSE '' END, ''),
-                o_orderstatus) AS status_or_priority
-FROM orders""",
+       COALESCE(CASE WHEN rtrim(p) = '' THEN NULL ELSE p END, o_orderstatus) AS status_or_priority
+FROM (SELECT o_orderkey, o_orderstatus,
+             CASE WHEN o_orderstatus = 'P' THEN o_orderpriority ELSE '' END AS p FROM orders) x""",
 
     "flag_from_null": """SELECT c.c_custkey, fb.first_purchase,
        CASE WHEN fb.first_purchase IS NOT NULL THEN 'Yes' ELSE NULL END AS buyer_flag,

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import (
-    classify_like, date_span_label, first_nonblank, is_blank, normalize_key,
+    classify_like, date_span_label, first_nonblank, is_blank, normalize_key, not_blank,
     on_or_after, on_or_after_or_null, prefixed_key, recode, split_first_word,
     yes_no, yes_or_null,
 )
@@ -389,7 +389,7 @@ def q_first_per_key(spark, sf_dir):
 
 def q_latest_per_expr_key(spark, sf_dir):
     ev = _tables(spark, sf_dir).read("events", "event_id", "ts", "event_type")
-    keyed = (ev.where(F.col("event_type") != "")
+    keyed = (ev.where(not_blank("event_type"))
                .select(F.lower("event_type").alias("type_key"), "event_id", "ts"))
     return latest_per_key(keyed, "type_key", "ts", tiebreak="event_id")
 

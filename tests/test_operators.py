@@ -47,6 +47,15 @@ def test_text_predicates(spark):
                    (True, None, "fb", "No", None)]
 
 
+def test_blank_tests_ignore_trailing_blanks(spark):
+    from tessera.functions import blank_to_null
+
+    df = spark.createDataFrame([("  ",), (" a ",)], "s string")
+    got = [tuple(r) for r in df.select(is_blank("s"), not_blank("s"), blank_to_null("s"),
+                                       first_nonblank("s", F.lit("fb"))).collect()]
+    assert got == [(True, False, None, "fb"), (False, True, " a ", " a ")]
+
+
 def test_classify_like_first_match_wins(spark):
     df = spark.createDataFrame([("Vertical Summit Roofing Founders",), ("Roofing Founders",), ("Lunch",)], "s string")
     cls = classify_like("s", [("Vertical Summit", "VS"), ("Roofing Founders", "RF")])
