@@ -3,7 +3,7 @@
 from tessera.functions.dates import (
     before, date_lit, date_span_label, on_or_after, on_or_after_or_null,
 )
-from tessera.functions.keys import normalize_key, prefixed_key
+from tessera.functions.keys import concat_text, normalize_key, prefixed_key
 from tessera.functions.recode import recode
 from tessera.functions.text import (
     blank_to_null, classify_like, contains_any, first_nonblank, is_blank, not_blank,
@@ -11,7 +11,7 @@ from tessera.functions.text import (
 )
 
 __all__ = [
-    "before", "blank_to_null", "classify_like", "contains_any", "date_lit", "date_span_label",
+    "before", "blank_to_null", "classify_like", "concat_text", "contains_any", "date_lit", "date_span_label",
     "first_nonblank", "is_blank", "normalize_key", "not_blank", "on_or_after",
     "on_or_after_or_null", "prefixed_key", "recode", "split_first_word",
     "yes_no", "yes_or_null",

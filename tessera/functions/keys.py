@@ -36,3 +36,8 @@ def prefixed_key(prefix: str, col: Column | str) -> Column:
     """``prefix + col`` as a join key (NULL stays NULL, so it never matches)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.concat(F.lit(prefix), c)
+
+
+def concat_text(*cols: Column | str) -> Column:
+    """``CONCAT(a, b, ...)``: NULL parts count as empty text (never NULL)."""
+    return F.concat_ws("", *[F.col(c) if isinstance(c, str) else c for c in cols])

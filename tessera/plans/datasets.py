@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tessera import config as C
 from tessera.config import ReportConfig
 from tessera.functions import (
-    classify_like, first_nonblank, is_blank, not_blank, on_or_after, on_or_after_or_null,
+    classify_like, concat_text, first_nonblank, is_blank, not_blank, on_or_after, on_or_after_or_null,
     prefixed_key, recode, yes_or_null,
 )
 from tessera.operators import (
@@ -327,7 +327,8 @@ class ReportDatasets:
             F.col("order_id").alias("bose_order_id"), "selected_event_id")
         evt = self.src.table("silver_Events")
         j = (drivers
-             .join(ns_link, ns_link["TransactionDisplayName"] == prefixed_key(C.SALES_ORDER_PREFIX, drivers["sales_order_id"]), "inner")
+             .join(ns_link, ns_link["TransactionDisplayName"]
+                   == concat_text(F.lit(C.SALES_ORDER_PREFIX), drivers["sales_order_id"]), "inner")
              .join(bof, bof["sales_order_ids"] == ns_link["TransactionID"].cast("string"), "inner")
              .join(bose, bose["bose_order_id"] == bof["order_id"], "inner")
              .join(evt, evt["EventID"] == bose["selected_event_id"], "inner"))

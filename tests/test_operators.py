@@ -69,6 +69,14 @@ def test_date_span_label(spark):
     assert got == ["August 11-13 2026", "August 30-01 2026", "December 31-02 2026", None]
 
 
+def test_concat_forms(spark):
+    from tessera.functions import concat_text, prefixed_key
+
+    df = spark.createDataFrame([("1",), (None,)], "k string")
+    got = [tuple(r) for r in df.select(prefixed_key("P#", "k"), concat_text(F.lit("P#"), "k")).collect()]
+    assert got == [("P#1", "P#1"), (None, "P#")]       # '+' propagates NULL, CONCAT does not
+
+
 def test_normalize_key(spark):
     df = spark.createDataFrame([("Ab  ",)], "k string")
     got = df.select(normalize_key("k"), normalize_key("k", "binary_rtrim"), normalize_key("k", "lcase")).first()
