@@ -51,3 +51,17 @@ def test_no_python_udfs_anywhere(spark, fixture_sources):
 def test_left_where_is_inner(spark):
     df = entry_mod.queries()["left_where_to_inner"](spark, SF_ORACLE)
     assert "LeftOuter" not in optimized_of(df)
+
+
+def test_no_cross_products(spark, fixture_sources):
+    bad = ("CartesianProduct", "BroadcastNestedLoopJoin")
+    for name, q in entry_mod.queries().items():
+        plan = plan_of(q(spark, SF_ORACLE))
+        assert not any(b in plan for b in bad), name
+    plan = plan_of(Report(fixture_sources).build())
+    assert not any(b in plan for b in bad)
+
+
+def test_report_salts_null_keys_of_the_fact(spark, fixture_sources):
+    plan = optimized_of(Report(fixture_sources).build())
+    assert "__null_salt" in plan and "xxhash64" in plan
