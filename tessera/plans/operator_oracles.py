@@ -311,3 +311,70 @@ UNION ALL
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 ORDER BY o.o_orderdate ASC NULLS FIRST, c.c_name ASC NULLS FIRST, o.o_orderkey ASC NULLS FIRST""",
 }
+
+
+# --------------------------------------------------------------------------
+# Report datasets over the benchmark-derived sources (tessera.sources.
+# benchmark_roles): the derived columns a dataset reads are restated here.
+# --------------------------------------------------------------------------
+
+_DRIVERS = """drivers AS (
+    SELECT 'T' || o_orderkey AS ticket_id,
+           CASE WHEN o_orderpriority = '5-LOW' THEN NULL
+                WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
+                ELSE CAST(o_orderkey AS VARCHAR) END AS sales_order_id
+    FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))"""
+_TRANSACTIONS = """transactions AS (
+    SELECT CAST(l_orderkey AS VARCHAR) AS sales_order_id,
+           CASE l_returnflag WHEN 'R' THEN 'Returned' WHEN 'N' THEN 'Other' END AS refund_reason,
+           CAST(l_discount * l_extendedprice AS DECIMAL(18,2)) AS refund_amount,
+           CAST(l_shipdate AS DATE) AS transaction_date
+    FROM lineitem)"""
+
+REPORT_ORACLE_SQL: dict[str, str] = {
+    "report_ticket_transactions": f"""WITH {_DRIVERS}, {_TRANSACTIONS}
+SELECT sales_order_id, CAST(min(transaction_date) AS TIMESTAMP) AS date_of_purchase
+FROM transactions
+WHERE sales_order_id IN (SELECT sales_order_id FROM drivers WHERE sales_order_id IS NOT NULL)
+GROUP BY sales_order_id""",
+
+    "report_refunds": f"""WITH {_DRIVERS}, {_TRANSACTIONS}
+SELECT sales_order_id, 'Yes - ' || string_agg(refund_reason, '; ' ORDER BY refund_reason) AS refund_info
+FROM transactions
+WHERE refund_amount > 0
+  AND sales_order_id IN (SELECT sales_order_id FROM drivers WHERE sales_order_id IS NOT NULL)
+GROUP BY sales_order_id""",
+
+    "report_ticket_notes": f"""WITH {_DRIVERS}
+SELECT 'T' || conv_id AS ticket_id, string_agg(text, ' | ' ORDER BY text) AS notes
+FROM conversations
+WHERE text NOT LIKE '%Created from POS%' AND text NOT LIKE '%Created from Fabric%'
+  AND 'T' || conv_id IN (SELECT ticket_id FROM drivers)
+GROUP BY conv_id""",
+
+    "report_pos_event_dates": f"""WITH {_DRIVERS},
+headers AS (
+    SELECT DISTINCT l.l_orderkey * 10 + l.l_linenumber AS transaction_id, 'Sales Order #' || l.l_orderkey AS display_name
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+    WHERE l.l_linenumber = 1 AND l.l_tax <= 0.06),
+pos_orders AS (
+    SELECT 'PO' || l_orderkey AS order_id, CAST(l_orderkey * 10 + 1 AS VARCHAR) AS sales_order_ids
+    FROM lineitem WHERE l_linenumber = 1),
+pos_order_events AS (
+    SELECT 'PO' || l.l_orderkey AS order_id, 'EV' || l.l_partkey AS selected_event_id
+    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+    WHERE p.p_name LIKE '%blue%'),
+pos_events AS (
+    SELECT 'EV' || p_partkey AS event_id, DATE '2001-01-01' + CAST(p_size * 3 AS INTEGER) AS start_date FROM part)
+SELECT d.ticket_id, CAST(min(e.start_date) AS TIMESTAMP) AS original_event_date
+FROM drivers d
+JOIN headers h ON h.display_name = 'Sales Order #' || d.sales_order_id
+JOIN pos_orders po ON po.sales_order_ids = CAST(h.transaction_id AS VARCHAR)
+JOIN pos_order_events pe ON pe.order_id = po.order_id
+JOIN pos_events e ON e.event_id = pe.selected_event_id
+WHERE d.sales_order_id IS NOT NULL
+GROUP BY d.ticket_id""",
+}
+ORACLE_SQL.update(REPORT_ORACLE_SQL)

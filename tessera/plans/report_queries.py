@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.plans.report import Report
 from tessera.sources.benchmark_roles import BENCHMARK_CONFIG, benchmark_catalog
@@ -13,4 +14,36 @@ def q_attendee_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Report(benchmark_catalog(spark, sf_dir), BENCHMARK_CONFIG).build()
 
 
-REPORT_QUERIES = {"attendee_report": q_attendee_report}
+def _datasets(spark: SparkSession, sf_dir: str):
+    return Report(benchmark_catalog(spark, sf_dir), BENCHMARK_CONFIG).ds
+
+
+def q_report_ticket_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B13 of the report: first transaction date per live sales order."""
+    ds = _datasets(spark, sf_dir).ticket_transactions
+    return ds.select("sales_order_id", F.col("date_of_purchase").cast("timestamp_ntz").alias("date_of_purchase"))
+
+
+def q_report_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B11 of the report: 'Yes - ' + refund reasons per live sales order."""
+    return _datasets(spark, sf_dir).refunds
+
+
+def q_report_ticket_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B12 of the report: a live ticket's notes (whole texts) joined by ' | '."""
+    return _datasets(spark, sf_dir).ticket_notes
+
+
+def q_report_pos_event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B20-B21 of the report: earliest POS event start per ticket over both drivers."""
+    ds = _datasets(spark, sf_dir).pos_original_event_dedup
+    return ds.select("ticket_id", F.col("original_event_date").cast("timestamp_ntz").alias("original_event_date"))
+
+
+REPORT_QUERIES = {
+    "attendee_report": q_attendee_report,
+    "report_ticket_transactions": q_report_ticket_transactions,
+    "report_refunds": q_report_refunds,
+    "report_ticket_notes": q_report_ticket_notes,
+    "report_pos_event_dates": q_report_pos_event_dates,
+}
