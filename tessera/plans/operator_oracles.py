@@ -376,5 +376,41 @@ JOIN pos_order_events pe ON pe.order_id = po.order_id
 JOIN pos_events e ON e.event_id = pe.selected_event_id
 WHERE d.sales_order_id IS NOT NULL
 GROUP BY d.ticket_id""",
+
+    "report_confirmed_by": """WITH live AS (
+    SELECT 'T' || o_orderkey AS ticket_id FROM orders
+    WHERE o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL)),
+changes AS (
+    SELECT 'T' || event_id AS ticket_id, event_type, ts AS changed_at,
+           CASE WHEN value > 300 THEN 'System' WHEN value > 250 THEN NULL ELSE 'user' || user_id END AS changed_by
+    FROM events)
+SELECT ticket_id, changed_by FROM (
+    SELECT ticket_id, changed_by,
+           row_number() OVER (PARTITION BY ticket_id
+                              ORDER BY changed_at DESC NULLS LAST, changed_by DESC NULLS LAST) AS rn
+    FROM changes
+    WHERE event_type = 'click' AND changed_by NOT IN ('System', 'bulk-import')
+      AND ticket_id IN (SELECT ticket_id FROM live)) x
+WHERE rn = 1""",
+
+    "report_contact_by_email": """WITH people AS (
+    SELECT o_custkey, o_orderstatus, o_orderdate FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')),
+emails_in_use AS (
+    SELECT lower(lower(c_name) || '@example.test') AS email FROM customer
+    WHERE c_custkey IN (SELECT o_custkey FROM people)
+    UNION
+    SELECT lower('guest' || o_custkey || '@example.test') FROM people WHERE o_orderstatus = 'F'),
+contacts AS (
+    SELECT event_id AS contact_id, ts AS updated_at,
+           lower(lower('Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0')) || '@example.test') AS email
+    FROM events)
+SELECT email AS "Email", contact_id AS "ContactID" FROM (
+    SELECT email, contact_id,
+           row_number() OVER (PARTITION BY email ORDER BY updated_at DESC NULLS LAST,
+                              contact_id DESC NULLS LAST) AS rn
+    FROM contacts WHERE email IN (SELECT email FROM emails_in_use)) x
+WHERE rn = 1""",
 }
 ORACLE_SQL.update(REPORT_ORACLE_SQL)

@@ -40,10 +40,22 @@ def q_report_pos_event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ds.select("ticket_id", F.col("original_event_date").cast("timestamp_ntz").alias("original_event_date"))
 
 
+def q_report_confirmed_by(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B19 of the report: user of the latest confirmation change per live ticket."""
+    return _datasets(spark, sf_dir).confirmed_by
+
+
+def q_report_contact_by_email(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B18 of the report: latest CRM contact per lower-cased email in use."""
+    return _datasets(spark, sf_dir).hubspot_email
+
+
 REPORT_QUERIES = {
     "attendee_report": q_attendee_report,
     "report_ticket_transactions": q_report_ticket_transactions,
     "report_refunds": q_report_refunds,
     "report_ticket_notes": q_report_ticket_notes,
     "report_pos_event_dates": q_report_pos_event_dates,
+    "report_confirmed_by": q_report_confirmed_by,
+    "report_contact_by_email": q_report_contact_by_email,
 }
