@@ -28,19 +28,18 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tessera.functions import (
     classify_like, date_span_label, first_nonblank, is_blank, normalize_key, not_blank,
     on_or_after, on_or_after_or_null, prefixed_key, recode, split_first_word,
     yes_no, yes_or_null,
 )
-from tessera.functions.dates import before
 from tessera.operators import (
     first_per_key, flag_pivot, hybrid_union, joined_text, key_pool, latest_per_key,
     presence_flag, scope_by_keys,
 )
 from tessera.sources import BenchmarkTables
-from pyspark.sql.types import StringType, StructField, StructType, LongType, TimestampNTZType
 
 # Parameters of the operator queries (not the report's own values).
 CUTOFF = _dt.date(2001, 1, 1)

@@ -12,7 +12,7 @@ them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -104,5 +104,3 @@ def frames_from_rows(
     """Build typed DataFrames from small row lists (fixtures)."""
     return {name: spark.createDataFrame(rows, schemas[name]) for name, rows in rows_by_table.items()}
 
-
-Loader = Callable[[str], DataFrame]
