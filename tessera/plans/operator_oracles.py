@@ -412,5 +412,29 @@ SELECT email AS "Email", contact_id AS "ContactID" FROM (
                               contact_id DESC NULLS LAST) AS rn
     FROM contacts WHERE email IN (SELECT email FROM emails_in_use)) x
 WHERE rn = 1""",
+
+    "report_rescheduled": """WITH live AS (
+    SELECT 'T' || o_orderkey AS ticket_id FROM orders
+    WHERE o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL)),
+changes AS (
+    SELECT 'T' || event_id AS ticket_id, event_type,
+           CASE WHEN value > 20 THEN 'E1' ELSE '' END AS old_value, 'E2' AS new_value
+    FROM events)
+SELECT DISTINCT ticket_id FROM changes
+WHERE event_type = 'view' AND rtrim(old_value) != '' AND rtrim(new_value) != ''
+  AND ticket_id IN (SELECT ticket_id FROM live)""",
+
+    "report_contact_by_person": """WITH people AS (
+    SELECT o_custkey FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')),
+persons AS (SELECT 'P' || c_custkey AS person_id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)),
+contacts AS (SELECT event_id AS contact_id, ts AS updated_at, 'P' || user_id AS person_id FROM events)
+SELECT person_id AS "CVPersonID", contact_id AS "ContactID" FROM (
+    SELECT person_id, contact_id,
+           row_number() OVER (PARTITION BY person_id ORDER BY updated_at DESC NULLS LAST,
+                              contact_id DESC NULLS LAST) AS rn
+    FROM contacts WHERE person_id IN (SELECT person_id FROM persons)) x
+WHERE rn = 1""",
 }
 ORACLE_SQL.update(REPORT_ORACLE_SQL)

@@ -50,6 +50,16 @@ def q_report_contact_by_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _datasets(spark, sf_dir).hubspot_email
 
 
+def q_report_rescheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B22 of the report: live tickets with an assign/unassign change, both values set."""
+    return _datasets(spark, sf_dir).history_rescheduled
+
+
+def q_report_contact_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B17 of the report: latest CRM contact per person id in use."""
+    return _datasets(spark, sf_dir).hubspot_person
+
+
 REPORT_QUERIES = {
     "attendee_report": q_attendee_report,
     "report_ticket_transactions": q_report_ticket_transactions,
@@ -58,4 +68,6 @@ REPORT_QUERIES = {
     "report_pos_event_dates": q_report_pos_event_dates,
     "report_confirmed_by": q_report_confirmed_by,
     "report_contact_by_email": q_report_contact_by_email,
+    "report_rescheduled": q_report_rescheduled,
+    "report_contact_by_person": q_report_contact_by_person,
 }
