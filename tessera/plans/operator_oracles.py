@@ -436,5 +436,43 @@ SELECT person_id AS "CVPersonID", contact_id AS "ContactID" FROM (
                               contact_id DESC NULLS LAST) AS rn
     FROM contacts WHERE person_id IN (SELECT person_id FROM persons)) x
 WHERE rn = 1""",
+
+    "report_ryb_purchases": """WITH people AS (
+    SELECT o_custkey FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')),
+erp AS (
+    SELECT o.o_custkey AS entity_id,
+           CASE WHEN l.l_returnflag = 'R' THEN 'RYB ' || l.l_linestatus ELSE 'Item ' || l.l_partkey END AS item,
+           CAST(l.l_shipdate AS DATE) AS txn_date,
+           CASE WHEN l.l_linestatus = 'F' THEN 11 ELSE 12 END AS subsidiary,
+           CASE WHEN l.l_tax > 0.06 THEN 'Cash Sale' ELSE 'Sales Order' END AS txn_type,
+           l.l_orderkey * 10 + l.l_linenumber AS txn_id
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT cv_customer_id, item AS "ItemName" FROM (
+    SELECT 'CV' || c.c_custkey AS cv_customer_id, e.item,
+           row_number() OVER (PARTITION BY c.c_custkey
+                              ORDER BY e.txn_date DESC NULLS LAST, e.txn_id DESC NULLS LAST,
+                                       e.item DESC NULLS LAST) AS rn
+    FROM customer c JOIN erp e ON c.c_custkey = e.entity_id
+    WHERE c.c_custkey IN (SELECT o_custkey FROM people)
+      AND e.item LIKE '%RYB%' AND e.subsidiary = 11 AND e.txn_type IN ('Sales Order', 'Cash Sale')) x
+WHERE rn = 1""",
+
+    "report_sales_reps": f"""WITH {_DRIVERS},
+lines AS (
+    SELECT 'Sales Order #' || l.l_orderkey AS display_name,
+           'Rep ' || n.n_name AS rep1,
+           CASE WHEN l.l_linenumber <= 2 THEN 'Rep NATION_' || l.l_linenumber END AS rep2,
+           l.l_orderkey * 10 + l.l_linenumber AS txn_id
+    FROM lineitem l
+    JOIN orders o ON l.l_orderkey = o.o_orderkey
+    LEFT JOIN (supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey) ON l.l_suppkey = s.s_suppkey
+    WHERE l.l_tax <= 0.06 AND l.l_linenumber != 1)
+SELECT display_name AS "TransactionDisplayName", max(rep1) AS "SalesRepName",
+       max(rep2) AS "SalesRep2Name", min(txn_id) AS "TransactionID"
+FROM lines
+WHERE display_name IN (SELECT 'Sales Order #' || sales_order_id FROM drivers WHERE sales_order_id IS NOT NULL)
+GROUP BY display_name""",
 }
 ORACLE_SQL.update(REPORT_ORACLE_SQL)

@@ -60,6 +60,16 @@ def q_report_contact_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _datasets(spark, sf_dir).hubspot_person
 
 
+def q_report_ryb_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B09 of the report: item of each customer's latest qualifying ERP line."""
+    return _datasets(spark, sf_dir).ryb_purchases
+
+
+def q_report_sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B14 of the report: independent max rep 1 / max rep 2 / min id per live sales order."""
+    return _datasets(spark, sf_dir).netsuite
+
+
 REPORT_QUERIES = {
     "attendee_report": q_attendee_report,
     "report_ticket_transactions": q_report_ticket_transactions,
@@ -70,4 +80,6 @@ REPORT_QUERIES = {
     "report_contact_by_email": q_report_contact_by_email,
     "report_rescheduled": q_report_rescheduled,
     "report_contact_by_person": q_report_contact_by_person,
+    "report_ryb_purchases": q_report_ryb_purchases,
+    "report_sales_reps": q_report_sales_reps,
 }
