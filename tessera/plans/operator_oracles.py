@@ -474,5 +474,38 @@ SELECT display_name AS "TransactionDisplayName", max(rep1) AS "SalesRepName",
 FROM lines
 WHERE display_name IN (SELECT 'Sales Order #' || sales_order_id FROM drivers WHERE sales_order_id IS NOT NULL)
 GROUP BY display_name""",
+
+    "report_business_revenue": """WITH people AS (
+    SELECT o_custkey FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')),
+dim AS (
+    SELECT c_custkey, CASE WHEN c_acctbal > 2000 THEN '1 Million+' WHEN c_acctbal < 0 THEN '8' END AS dim_revenue
+    FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)),
+owners AS (
+    SELECT user_id AS company_id, event_id AS contact_id, ts,
+           CASE event_type WHEN 'purchase' THEN '10 Million+' WHEN 'signup' THEN '' END AS revenue
+    FROM events WHERE value > 100),
+latest_owner AS (
+    SELECT company_id, revenue FROM (
+        SELECT company_id, revenue,
+               row_number() OVER (PARTITION BY company_id ORDER BY ts DESC NULLS LAST,
+                                  contact_id DESC NULLS LAST) AS rn
+        FROM owners WHERE revenue IS NOT NULL) x
+    WHERE rn = 1)
+SELECT 'CV' || d.c_custkey AS cv_customer_id,
+       COALESCE(CASE WHEN rtrim(o.revenue) = '' THEN NULL ELSE o.revenue END, d.dim_revenue)
+           AS annual_business_revenue
+FROM dim d LEFT JOIN latest_owner o ON o.company_id = d.c_custkey""",
+
+    "report_first_purchase_flag": """WITH people AS (
+    SELECT o_custkey FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))
+SELECT DISTINCT 'CV' || c_custkey AS cv_customer_id,
+       CASE WHEN c_acctbal > 7500 THEN 'Yes' END AS is_10x360_flag,
+       CASE WHEN c_acctbal > 7500 THEN CAST(DATE '2000-01-01' - CAST(c_nationkey AS INTEGER) AS TIMESTAMP) END
+           AS first_10x360_purchase_date
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
 }
 ORACLE_SQL.update(REPORT_ORACLE_SQL)

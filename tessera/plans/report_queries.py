@@ -70,6 +70,18 @@ def q_report_sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _datasets(spark, sf_dir).netsuite
 
 
+def q_report_business_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B08 of the report: owner contact's revenue (latest, if not blank) else the dimension's."""
+    return _datasets(spark, sf_dir).hubspot_abr
+
+
+def q_report_first_purchase_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B10 of the report: distinct (customer, flag, first purchase date)."""
+    ds = _datasets(spark, sf_dir).is_10x360
+    return ds.select("cv_customer_id", "is_10x360_flag",
+                     F.col("first_10x360_purchase_date").cast("timestamp_ntz").alias("first_10x360_purchase_date"))
+
+
 REPORT_QUERIES = {
     "attendee_report": q_attendee_report,
     "report_ticket_transactions": q_report_ticket_transactions,
@@ -82,4 +94,6 @@ REPORT_QUERIES = {
     "report_contact_by_person": q_report_contact_by_person,
     "report_ryb_purchases": q_report_ryb_purchases,
     "report_sales_reps": q_report_sales_reps,
+    "report_business_revenue": q_report_business_revenue,
+    "report_first_purchase_flag": q_report_first_purchase_flag,
 }
