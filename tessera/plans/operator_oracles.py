@@ -507,5 +507,44 @@ SELECT DISTINCT 'CV' || c_custkey AS cv_customer_id,
        CASE WHEN c_acctbal > 7500 THEN CAST(DATE '2000-01-01' - CAST(c_nationkey AS INTEGER) AS TIMESTAMP) END
            AS first_10x360_purchase_date
 FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
+
+    "report_tickets": """SELECT 'T' || o_orderkey AS ticket_id, 'E' || strftime(o_orderdate, '%Y') AS event_id,
+       'A' || o_custkey AS attendee_id, 'C' || o_custkey AS customer_id,
+       CASE o_orderstatus WHEN 'O' THEN 'Scheduled' ELSE 'ATTENDED' END AS status,
+       o_orderdate AS event_date,
+       CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
+            ELSE CAST(o_orderkey AS VARCHAR) END AS sales_order_id,
+       CAST(CASE WHEN o_totalprice < 60000 THEN 1 WHEN o_totalprice < 200000 THEN 0 END AS VARCHAR) AS is_comped,
+       CAST(CASE o_orderpriority WHEN '2-HIGH' THEN 1 WHEN '1-URGENT' THEN 0 END AS VARCHAR) AS is_walkin,
+       CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN o_orderdate END AS undecided_timestamp
+FROM orders
+WHERE o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL)""",
+
+    "report_attendees": """WITH people AS (
+    SELECT o_custkey FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))
+SELECT 'A' || c_custkey AS attendee_id, 'P' || c_custkey AS person_id,
+       c_name || ' ' || c_mktsegment AS attendee_name, lower(c_name) || '@example.test' AS attendee_email,
+       CAST(NULL AS VARCHAR) AS attendee_phone,
+       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Vegan' END AS dietary_restrictions
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
+
+    "report_customers": """WITH people AS (
+    SELECT o_custkey FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))
+SELECT 'C' || c_custkey AS customer_id, c_name AS company_name, 'CV' || c_custkey AS cv_customer_id,
+       CASE WHEN c_acctbal > 8000 THEN '5 Million+' WHEN c_acctbal > 5000 THEN '2 Million +'
+            WHEN c_acctbal < 0 THEN 'To Be Determined' END AS abr,
+       CAST(c_nationkey AS VARCHAR) AS vertical,
+       CASE WHEN c_acctbal > 9000 THEN '3' WHEN c_acctbal > 7000 THEN '4' WHEN c_acctbal > 6000 THEN '9' END
+           AS customer_status
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
+
+    "report_employees": """SELECT DISTINCT 'Rep ' || n_name AS "EmployeeName", lower(n_name) || '@example.test' AS "Email"
+FROM nation
+UNION
+SELECT 'Rep ' || n_name, lower(n_name || '.alt') || '@example.test' FROM nation WHERE n_nationkey < 3""",
 }
 ORACLE_SQL.update(REPORT_ORACLE_SQL)

@@ -82,6 +82,30 @@ def q_report_first_purchase_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("first_10x360_purchase_date").cast("timestamp_ntz").alias("first_10x360_purchase_date"))
 
 
+def q_report_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B01 of the report: live tickets (type-stable columns)."""
+    # the nullable 0/1 flags are emitted as text so both engines hand over one type
+    return _datasets(spark, sf_dir).tickets.select(
+        "ticket_id", "event_id", "attendee_id", "customer_id", "status", "event_date",
+        "sales_order_id", F.col("is_comped").cast("string").alias("is_comped"),
+        F.col("is_walkin").cast("string").alias("is_walkin"), "undecided_timestamp")
+
+
+def q_report_attendees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B02 of the report: attendees used by a live ticket or reset."""
+    return _datasets(spark, sf_dir).attendees
+
+
+def q_report_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B03 of the report: customers used by a live ticket or reset, renamed."""
+    return _datasets(spark, sf_dir).customers
+
+
+def q_report_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B16 of the report: distinct (employee, email) with an email."""
+    return _datasets(spark, sf_dir).dim_employee
+
+
 REPORT_QUERIES = {
     "attendee_report": q_attendee_report,
     "report_ticket_transactions": q_report_ticket_transactions,
@@ -96,4 +120,8 @@ REPORT_QUERIES = {
     "report_sales_reps": q_report_sales_reps,
     "report_business_revenue": q_report_business_revenue,
     "report_first_purchase_flag": q_report_first_purchase_flag,
+    "report_tickets": q_report_tickets,
+    "report_attendees": q_report_attendees,
+    "report_customers": q_report_customers,
+    "report_employees": q_report_employees,
 }
