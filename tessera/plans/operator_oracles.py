@@ -546,5 +546,19 @@ FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
 FROM nation
 UNION
 SELECT 'Rep ' || n_name, lower(n_name || '.alt') || '@example.test' FROM nation WHERE n_nationkey < 3""",
+
+    "report_customer_verticals": """WITH people AS (
+    SELECT o_custkey FROM orders
+    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
+       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))
+SELECT 'CV' || c_custkey AS cv_customer_id,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 'Construction' END AS vertical
+FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
+
+    "report_was_undecided": """SELECT DISTINCT 'T' || event_id AS ticket_id FROM events
+WHERE event_type = 'error'
+  AND 'T' || event_id IN (
+      SELECT 'T' || o_orderkey FROM orders
+      WHERE o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))""",
 }
 ORACLE_SQL.update(REPORT_ORACLE_SQL)

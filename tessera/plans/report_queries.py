@@ -106,6 +106,16 @@ def q_report_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _datasets(spark, sf_dir).dim_employee
 
 
+def q_report_customer_verticals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B05 of the report: (customer, vertical) rows of the scoped customer dimension."""
+    return _datasets(spark, sf_dir).dim_customer
+
+
+def q_report_was_undecided(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B23 of the report: live tickets that were once set to undecided."""
+    return _datasets(spark, sf_dir).history_was_undecided
+
+
 REPORT_QUERIES = {
     "attendee_report": q_attendee_report,
     "report_ticket_transactions": q_report_ticket_transactions,
@@ -124,4 +134,6 @@ REPORT_QUERIES = {
     "report_attendees": q_report_attendees,
     "report_customers": q_report_customers,
     "report_employees": q_report_employees,
+    "report_customer_verticals": q_report_customer_verticals,
+    "report_was_undecided": q_report_was_undecided,
 }
