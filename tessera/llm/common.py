@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import checkpoint_dir
@@ -96,3 +96,25 @@ def keep_ids(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame
     """
     other = ids.select(F.col(id_col).alias("__keep_id")).distinct().hint("shuffle_hash")
     return df.join(other, df[f"`{id_col}`"].eqNullSafe(F.col("__keep_id")), "left_semi")
+
+
+def keep_decided(df: DataFrame, decisions: DataFrame, key: Column, id_col: str = "doc_id",
+                 key_col: str = "text_sha256") -> DataFrame:
+    """Rows of ``df`` that ``decisions`` (id, key, kept) keeps; columns stay.
+
+    Ids are unique in a sound table, and then decide alone. Rows that share
+    an id are told apart by ``key``, an expression over ``df`` that equals
+    the decisions' ``key_col``; of those that share both, one stays.
+    """
+    counted = materialize(
+        decisions.groupBy(id_col).agg(F.count("*").alias("rows"), F.max("kept").alias("kept")), "decisions")
+    once = keep_ids(df, counted.where("rows = 1 and kept"), id_col)
+    if counted.where("rows > 1").isEmpty():
+        return once
+    again = keep_ids(df, counted.where("rows > 1 and kept"), id_col)
+    wanted = decisions.where("kept").select(F.col(id_col).alias("__id"), F.col(key_col).alias("__wanted")).distinct()
+    again = again.withColumn("__key", key)
+    again = again.join(wanted, again[f"`{id_col}`"].eqNullSafe(wanted["__id"])
+                       & (again["__key"] == wanted["__wanted"]), "left_semi")
+    one = again.groupBy(f"`{id_col}`", "__key").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("__row"))
+    return once.unionByName(one.select(*[F.col("__row").getField(c).alias(c) for c in df.columns]))

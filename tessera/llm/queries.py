@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+from tessera.llm.byte_bpe import op5_byte_bpe
+from tessera.llm.decontaminate import op3_decontamination
 from tessera.llm.exact_dedup import OP9_SQL, op9_exact_dedup
+from tessera.llm.near_dedup import op7_near_dedup
+from tessera.llm.pii import op6_pii
+from tessera.llm.quality import op8_quality
+from tessera.llm.secret_scan import op4_secret_scan
 from tessera.llm.sharding import op10_sharding
+from tessera.llm.toxicity import op2_toxicity
 from tessera.llm.url_filter import OP1_SQL, op1_url_filter
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_toxicity": op2_toxicity,
+    "op3_decontamination": op3_decontamination,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op6_pii": op6_pii,
+    "op7_near_dedup": op7_near_dedup,
+    "op8_quality": op8_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
 
-# the others are tested against brute force (tests/llm)
+# the others are tested against brute force or held-out rows (tests/llm)
 ORACLE_SQL = {
     "op1_url_filter": OP1_SQL,
     "op9_exact_dedup": OP9_SQL,
