@@ -11,11 +11,13 @@
 3. Star edges. Each bucket links its members to one hub, so a bucket of m
    nodes proposes m - 1 pairs. Proposed pairs are confirmed on full sets and
    confirmed links merged to components.
-4. Members of a bucket that are still in different components have not been
-   compared with each other. The bucket takes its next member as hub and
-   proposes pairs across components only, until each member has been a hub
-   or the bucket is one component. So no pair that shares a bucket and
-   could join two components is left out.
+4. Members of a bucket that are still in different components may have a
+   link that the hub did not show. There, those outside the bucket's
+   largest component are probes: blocks of probes meet portions of members,
+   and a block compares its sets in place, across components only and in the
+   first bucket that a pair shares, and gives out the links alone. So no
+   pair that shares a bucket and could join two components is left out,
+   while the rows that move grow with members and blocks, not with pairs.
 
 A hub with many pairs meets them in portions of ``PORTION`` members, each
 portion with its own copy of the hub's set, so no task holds a whole star.
@@ -44,7 +46,9 @@ THRESHOLD_PERCENT = 80
 BANDS = 35
 ROWS = 5
 BINS = BANDS * ROWS
-PORTION = 256
+PORTION = 256          # members of a star that one copy of the hub's set meets
+BLOCK_PROBES = 256
+BLOCK_MEMBERS = 512
 
 _U = np.uint64
 
@@ -193,48 +197,65 @@ def _linked_nodes(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -
 
     # sets of the nodes that some bucket holds together with another
     used = members.select("node").unionByName(members.select(F.col("hub").alias("node"))).distinct()
-    wanted = materialize(nodes.join(used, "node").select("node", "id", "n", "digest"), "wanted")
+    wanted = materialize(nodes.join(used, "node"), "wanted")
     ids = wanted.select(F.col("id").alias("__id")).distinct().hint("shuffle_hash")
     texts = docs.join(ids, docs["id"].eqNullSafe(F.col("__id")), "left_semi")
-    sets = materialize(_sets(texts, words).join(wanted.select("node", "digest"), "digest")
-                       .groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+    sets = materialize(_sets(texts, words).join(wanted.select("node", "digest", "bands"), "digest")
+                       .groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("bands").alias("bands")), "sets")
     lengths = wanted.select("node", "n")
 
-    def proposed(edges: DataFrame) -> DataFrame:
-        # sets whose sizes alone rule a link out are not fetched
-        return (edges.distinct().join(lengths, "node")
-                .join(lengths.select(F.col("node").alias("hub"), F.col("n").alias("hub_n")), "hub")
-                .where(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent).select("hub", "node"))
-
-    tested = materialize(proposed(members.select("hub", "node")), "pairs")
-    links = materialize(_confirmed(tested, sets, percent), "confirmed")
+    # sets whose sizes alone rule a link out are not fetched
+    stars = (members.select("hub", "node").distinct().join(lengths, "node")
+             .join(lengths.select(F.col("node").alias("hub"), F.col("n").alias("hub_n")), "hub")
+             .where(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent).select("hub", "node"))
+    links = materialize(_confirmed(materialize(stars, "stars"), sets, percent), "confirmed")
     labels = components(links)
-    # the members that have not been a hub in their bucket
-    rest = members.select("key", "node")
-    while True:
-        own = rest.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        open_keys = own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        rest = materialize(own.join(open_keys.select("key"), "key"), "open")
-        if rest.isEmpty():
-            return labels
-        # the least node left in each bucket is its next hub
-        hubs = materialize(_least_nodes(rest), "hubs")
-        edges = (rest.join(hubs, "key").where("node <> hub and comp <> hub_comp")
-                 .select(F.least("hub", "node").alias("hub"), F.greatest("hub", "node").alias("node")))
-        fresh = materialize(proposed(edges).join(tested, ["hub", "node"], "left_anti"), "pairs")
-        more = materialize(_confirmed(fresh, sets, percent), "confirmed")
-        tested = tested.unionByName(fresh)
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links)
-        rest = rest.join(hubs.select("key", F.col("hub").alias("node")), ["key", "node"], "left_anti") \
-                   .select("key", "node")
-
-
-def _least_nodes(rest: DataFrame) -> DataFrame:
-    """The least node of each bucket with its component, as ``key, hub, hub_comp``."""
-    return (rest.groupBy("key").agg(F.min(F.struct("node", "comp")).alias("x"))
-            .select("key", F.col("x.node").alias("hub"), F.col("x.comp").alias("hub_comp")))
+    more = materialize(_links_across(members.select("key", "node"), labels, sets, percent), "across")
+    return labels if more.isEmpty() else components(links.unionByName(more))
+
+
+def _links_across(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (hub, node) between members of a bucket that are in different components."""
+    own = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+    parts = own.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    buckets = (parts.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("x"), F.sum("m").alias("all"),
+                                        F.count("*").alias("parts"))
+               .where("parts > 1")
+               .select("key", F.col("x.comp").alias("largest"),
+                       F.ceil((F.col("all") - F.col("x.m")) / BLOCK_PROBES).alias("blocks"),
+                       F.ceil(F.col("all") / BLOCK_MEMBERS).alias("portions")))
+    rows = materialize(own.join(buckets, "key").select(
+        "key", "node", "comp", "blocks", "portions", (F.col("comp") != F.col("largest")).alias("probes"),
+        F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
+        F.pmod(F.xxhash64(F.lit("portion"), "node"), F.col("portions")).alias("portion")), "open")
+    probes = (rows.where("probes").withColumn("portion", F.explode(F.expr("sequence(0L, portions - 1)")))
+              .withColumn("asks", F.lit(True)))
+    asked = rows.withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).withColumn("asks", F.lit(False))
+    met = (probes.unionByName(asked).select("key", "block", "portion", "node", "comp", "probes", "asks")
+           .join(sets, "node"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        key = table["key"][0].as_py()
+        node, comp = table["node"].to_numpy(), table["comp"].to_numpy()
+        probe, asks = table["probes"].to_numpy(), table["asks"].to_numpy()
+        bands = np.array(table["bands"].to_pylist(), np.int64).reshape(len(node), -1)
+        hashes = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
+        size = np.array([len(h) for h in hashes])
+        found = []
+        members_at = np.flatnonzero(~asks)
+        for i in np.flatnonzero(asks):
+            j = members_at[comp[members_at] != comp[i]]
+            # a pair of probes is compared once
+            j = j[~probe[j] | (node[j] > node[i])]
+            j = j[100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i])]
+            # and each pair in the first bucket that it shares
+            place = int(np.argmax(bands[i] == key))
+            j = j[(bands[j] == bands[i]).argmax(axis=1) == place]
+            found += [(node[i], node[k]) for k in j if similar(hashes[i], hashes[k], percent)]
+        return pa.table({"hub": pa.array([a for a, _ in found], pa.int64()),
+                         "node": pa.array([b for _, b in found], pa.int64())})
+
+    return met.groupBy("key", "block", "portion").applyInArrow(compare, "hub long, node long")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,

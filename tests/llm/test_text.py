@@ -201,7 +201,8 @@ def test_near_whole_table(spark):
 def test_pairs_in_a_bucket_are_all_met(spark, monkeypatch):
     """One bucket for everything: the hubs alone must bring all links."""
     monkeypatch.setattr(near_dedup, "band_keys", lambda hashes: np.zeros(1, np.int64))
-    monkeypatch.setattr(near_dedup, "PORTION", 3)
+    for name in ("PORTION", "BLOCK_PROBES", "BLOCK_MEMBERS"):
+        monkeypatch.setattr(near_dedup, name, 3)
     rows = near_texts()[:25]
     check_near(rows, near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect(), 2)
 
