@@ -8,7 +8,7 @@ override it through :class:`ReportConfig`.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --------------------------------------------------------------------------
 # FIXED VALUES - these must equal the original report's literals for the
@@ -110,6 +110,18 @@ ELITE_STATUS_RECODE = (("3", "E125"), ("4", "E250"))
 
 TAB_SPAN_DAYS = 2
 
+# labels of the decisions
+SOURCE_POS = "POS"
+SOURCE_CONCIERGE = "Concierge"
+SEAT_RESCHEDULED_COMP = "Rescheduled + Comp"
+SEAT_COMP = "Comp"
+SEAT_RESCHEDULED_UNDECIDED = "Rescheduled + Undecided"
+SEAT_RESCHEDULED = "Rescheduled"
+SEAT_SALES = "Sales"
+SEAT_UNDECIDED = "Undecided"
+COMP_ORDER = "Comp - Sales Order"
+COMP_NO_ORDER = "Comp - No Sales Order"
+
 # --------------------------------------------------------------------------
 # end of fixed values
 # --------------------------------------------------------------------------
@@ -122,18 +134,24 @@ class ReportConfig:
     ``rep_aliases`` maps sales-rep names as the ERP spells them to the
     names used in the employee dimension. It holds personal names, so it
     is deployment data: pass it here (or as a two-column table through
-    ``SourceCatalog``), it is never part of the code.
+    ``SourceCatalog``), it is never part of the code. ``None`` (the default)
+    requires the table; an empty tuple states that there are no aliases.
+
+    ``key_mode`` is the comparison rule of keys, codes and status values,
+    applied once to each source: ``binary_rtrim`` (trailing blanks do not
+    count, as on the original's server) or ``binary``.
     """
 
     cutoff: _dt.date = _dt.date.fromisoformat(CUTOFF)
     event_type_id: int = EVENT_TYPE_ID
     ticket_statuses: tuple[str, ...] = TICKET_STATUSES
-    rep_aliases: tuple[tuple[str, str], ...] = field(default_factory=tuple)
+    rep_aliases: tuple[tuple[str, str], ...] | None = None
+    key_mode: str = "binary_rtrim"
     # Restrict dimension reads to the keys the live rows use (semi-joins).
     # Results are the same either way; off is only for checking that.
     scope_sources: bool = True
-    # How shared intermediate stages (drivers, per-ticket flags, profiles) are
-    # materialized: "auto" = checkpoint() into spark.checkpoint.dir when the
-    # session names one, else persist(MEMORY_AND_DISK); or "checkpoint",
+    # How relations that several steps read are materialized while the plan is
+    # built: "auto" = written as Parquet under spark.checkpoint.dir when the
+    # session names one, else persist(MEMORY_AND_DISK); or "table",
     # "persist", "none" (inline everything into one plan).
     materialize: str = "auto"

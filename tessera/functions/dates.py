@@ -35,11 +35,6 @@ def on_or_after(col: Column | str, cutoff: str | _dt.date) -> Column:
     return c >= date_lit(cutoff)
 
 
-def before(col: Column | str, cutoff: str | _dt.date) -> Column:
-    c = F.col(col) if isinstance(col, str) else col
-    return c < date_lit(cutoff)
-
-
 def on_or_after_or_null(col: Column | str, cutoff: str | _dt.date) -> Column:
     """``col >= cutoff OR col IS NULL`` (keeps unscheduled rows)."""
     c = F.col(col) if isinstance(col, str) else col

@@ -32,6 +32,12 @@ def normalize_key(col: Column | str, mode: str = "binary") -> Column:
     raise ValueError(f"unknown key mode {mode!r}; expected one of {KEY_MODES}")
 
 
+def padded_key(col: Column | str, width: int, pad: str = "0") -> Column:
+    """``col`` as text, padded on the left to ``width``; longer keys stay whole (``lpad`` would cut them)."""
+    c = (F.col(col) if isinstance(col, str) else col).cast("string")
+    return F.when(F.length(c) >= width, c).otherwise(F.lpad(c, width, pad))
+
+
 def prefixed_key(prefix: str, col: Column | str) -> Column:
     """``prefix + col`` as a join key (NULL stays NULL, so it never matches)."""
     c = F.col(col) if isinstance(col, str) else col

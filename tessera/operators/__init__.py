@@ -1,18 +1,14 @@
 """DataFrame -> DataFrame building blocks of the report."""
 
 from tessera.operators.flags import flag_pivot, presence_flag
-from tessera.operators.lookup import (
-    DuplicateKeyError, bounded_broadcast, duplicate_keys, has_at_most, left_join_spread_nulls,
-    lookup,
-)
+from tessera.operators.lookup import duplicate_keys, left_join_spread
 from tessera.operators.scope import key_pool, scope_by_keys
 from tessera.operators.textagg import joined_text, ordered_listagg
 from tessera.operators.topn import first_per_key, latest_per_key
 from tessera.operators.union import conform, hybrid_union, union_all
 
 __all__ = [
-    "DuplicateKeyError", "bounded_broadcast", "conform", "duplicate_keys",
-    "first_per_key", "flag_pivot", "has_at_most", "hybrid_union", "joined_text",
-    "key_pool", "latest_per_key", "left_join_spread_nulls", "lookup", "ordered_listagg", "presence_flag",
+    "conform", "duplicate_keys", "first_per_key", "flag_pivot", "hybrid_union", "joined_text",
+    "key_pool", "latest_per_key", "left_join_spread", "ordered_listagg", "presence_flag",
     "scope_by_keys", "union_all",
 ]

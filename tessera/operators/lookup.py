@@ -1,13 +1,9 @@
-"""Dimension lookups (left joins) with a proven-size broadcast.
+"""Dimension lookups (left joins) on keys that are often missing.
 
-By default no hint is given: adaptive execution measures the shuffled
+No broadcast hint is given: adaptive execution measures the shuffled
 dimension at runtime and turns the join into a broadcast hash join only
 when it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above
 it the sort-merge join stays, with skewed partitions split.
-
-``broadcast_rows=n`` forces a broadcast only after a bounded count
-(``limit(n + 1).count()``) proves the dimension has at most ``n`` rows;
-otherwise the join is left to the optimizer.
 """
 
 from __future__ import annotations
@@ -16,70 +12,51 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-
-class DuplicateKeyError(ValueError):
-    pass
-
-
-def has_at_most(df: DataFrame, n: int) -> bool:
-    """True if ``df`` has at most ``n`` rows (reads at most ``n + 1``)."""
-    return df.limit(n + 1).count() <= n
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """``broadcast(df)`` if ``df`` provably has at most ``max_rows`` rows."""
-    if max_rows is not None and has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
+SPREAD = "__spread_key"
+_DIM_KEY = "__dim_key"
 
 
 def duplicate_keys(dim: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Keys that occur more than once, with their ``count`` (they multiply the rows of a lookup)."""
     keys = [on] if isinstance(on, str) else list(on)
     return dim.groupBy(*keys).count().where(F.col("count") > 1)
 
 
-SALT = "__null_salt"
+def left_join_spread(df: DataFrame, dim: DataFrame, key: str, spread_by: str | Column,
+                     dim_key: str | None = None, buckets: int | None = None) -> DataFrame:
+    """``df LEFT JOIN dim ON key = dim_key`` with NULL and blank keys spread over partitions.
 
+    Both are hot in practice: a NULL key never matches and a blank one
+    matches at most the dimension's blank rows, but each would hash to one
+    shuffle partition. The join adds a second key. For NULL and ``''`` keys
+    of ``df`` it is one of ``buckets`` names drawn by ``spread_by``, else the
+    key itself; the dimension's blank rows are repeated for each name. It is
+    computed from a column on both sides, so the optimizer cannot fold it
+    away, and it partitions the shuffle. Rows and matches are unchanged, as
+    the plain key equality stays in the condition.
 
-def left_join_spread_nulls(df: DataFrame, dim: DataFrame, key: str, spread_by: str | Column,
-                           buckets: int | None = None) -> DataFrame:
-    """``df LEFT JOIN dim USING (key)`` with NULL keys spread over all partitions.
-
-    A NULL key never matches, but every NULL-key row of ``df`` would still
-    hash to the same shuffle partition - one reducer for what may be a
-    third of the fact. The join runs on ``(key, salt)``: ``salt`` is 0 on
-    ``dim`` and for non-NULL keys, and a deterministic hash bucket of
-    ``spread_by`` for NULL keys. Rows, columns and matches are unchanged.
-    ``buckets`` defaults to the session's shuffle partition count.
+    ``dim_key`` (default: ``key``) does not appear in the result. ``buckets``
+    defaults to the session's shuffle partition count.
     """
+    dim_key = dim_key or key
     if buckets is None:
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
-    k = F.col(key)
-    left = df.withColumn(SALT, F.when(k.isNull(), F.pmod(F.xxhash64(spread), F.lit(buckets))).otherwise(F.lit(0)))
-    right = dim.withColumn(SALT, F.lit(0).cast("long"))
-    return left.join(right, [key, SALT], "left").drop(SALT)
-
-
-def lookup(
-    df: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "left",
-    unique: bool = False,
-    broadcast_rows: int | None = None,
-) -> DataFrame:
-    """Left join ``dim`` onto ``df``.
-
-    ``unique=True`` raises :class:`DuplicateKeyError` if a key occurs twice
-    in ``dim`` (which would multiply rows of ``df``); it costs one job and
-    is meant for tests and checks, the report keeps fan-out semantics.
-    """
-    if unique:
-        if isinstance(on, Column):
-            raise ValueError("unique check needs key column names")
-        dup = duplicate_keys(dim, on).limit(1).collect()
-        if dup:
-            raise DuplicateKeyError(f"dimension key not unique: {dup[0].asDict()}")
-    return df.join(bounded_broadcast(dim, broadcast_rows), on, how)
+    bucket = F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("string")
+    text = isinstance(df.schema[key].dataType, StringType)
+    own = F.when(F.col(key).isNull(), F.concat(F.lit("null-"), bucket))
+    if text:
+        own = own.when(F.col(key) == "", F.concat(F.lit("blank-"), bucket))
+    left = df.withColumn(SPREAD, own.otherwise(F.col(key).cast("string")))
+
+    other = dim.withColumnRenamed(dim_key, _DIM_KEY).where(F.col(_DIM_KEY).isNotNull())
+    names = F.array(F.col(_DIM_KEY).cast("string"))
+    if text:
+        blank = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)),
+                            lambda i: F.concat(F.lit("blank-"), i.cast("string")))
+        names = F.when(F.col(_DIM_KEY) == "", blank).otherwise(names)
+    right = other.withColumn(SPREAD, F.explode(names))
+    return (left.join(right, (left[SPREAD] == right[SPREAD]) & (left[key] == right[_DIM_KEY]), "left")
+                .drop(left[SPREAD]).drop(right[SPREAD]).drop(_DIM_KEY))

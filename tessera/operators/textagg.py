@@ -6,9 +6,14 @@ NULL when every value is NULL, like the original; a prefix is glued on
 with a NULL-propagating ``concat`` so an all-NULL group stays NULL
 (``concat_ws`` over ``collect_list`` would give the bare prefix).
 
-For ``distinct=True`` the (key, value) pairs are deduplicated first with
-a partial + final aggregate, which bounds what reaches the final
-``listagg`` per key by the number of distinct values.
+Unless another order is asked for, values are ordered by themselves and
+equal values stand side by side. So the (key, value) pairs are counted
+first, with a partial + final aggregate, and each value's copies are
+written when the text is put together (one copy for ``distinct=True``):
+what reaches one task per key is bounded by the number of its distinct
+values, not of its rows. With an ``order`` of other columns every row of a
+key takes part in its sort; the text of one key must then fit in a task,
+as the resulting cell does.
 """
 
 from __future__ import annotations
@@ -54,12 +59,15 @@ def joined_text(
     ``prefix + text`` and NULL when all values are NULL.
     """
     key_names = names(as_list(keys))
-    if distinct:
-        src = df.select(*key_names, value).where(F.col(value).isNotNull()).distinct()
-        order = None
+    if distinct or not order:
+        src = df.where(F.col(value).isNotNull()) if distinct else df
+        src = src.groupBy(*key_names, value).agg(F.count("*").alias("__copies"))
+        copies = F.lit(1) if distinct else F.col("__copies").cast("int")
+        src = src.withColumn("__text", F.when(F.col(value).isNotNull(),
+                                              F.array_join(F.array_repeat(F.col(value), copies), sep)))
+        text = ordered_listagg("__text", sep, [value])
     else:
-        src = df
-    text = ordered_listagg(value, sep, order)
+        src, text = df, ordered_listagg(value, sep, order)
     if prefix is not None:
         text = F.concat(F.lit(prefix), text)
     return src.groupBy(*key_names).agg(text.alias(alias))

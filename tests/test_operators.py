@@ -12,8 +12,8 @@ from tessera.functions import (
     recode, split_first_word, yes_no, yes_or_null,
 )
 from tessera.operators import (
-    DuplicateKeyError, conform, first_per_key, flag_pivot, has_at_most, joined_text, key_pool,
-    latest_per_key, lookup, presence_flag, scope_by_keys,
+    conform, duplicate_keys, first_per_key, flag_pivot, joined_text, key_pool,
+    latest_per_key, left_join_spread, presence_flag, scope_by_keys,
 )
 
 
@@ -125,15 +125,27 @@ def test_flag_pivot_and_presence_flag(spark):
     assert {r["k"]: r["has"] for r in flagged.collect()} == {"t1": True, "t2": False}
 
 
-def test_lookup_unique_check_and_bounded_broadcast(spark):
-    fact = spark.createDataFrame([(1,), (2,)], "k int")
-    dim = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
-    with pytest.raises(DuplicateKeyError):
-        lookup(fact, dim, "k", unique=True)
-    assert lookup(fact, dim, "k").count() == 3              # fan-out kept
-    assert has_at_most(dim, 2) and not has_at_most(dim, 1)
-    plan = lookup(fact, dim, "k", broadcast_rows=10)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+def test_duplicate_keys(spark):
+    dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
+    assert [tuple(r) for r in duplicate_keys(dim, "k").collect()] == [(1, 2)]
+
+
+def test_padded_key_never_cuts(spark):
+    from tessera.functions import padded_key
+    from tessera.plans.operator_queries import customer_name_key
+
+    df = spark.createDataFrame([(7,), (123456789,), (1234567890,), (None,)], "k long")
+    assert [r[0] for r in df.select(padded_key("k", 9)).collect()] == ["000000007", "123456789", "1234567890", None]
+    assert df.select(customer_name_key("k")).collect()[2][0] == "Customer#1234567890"
+
+
+def test_joined_text_counts_equal_values_before_the_shuffle(spark):
+    hot = spark.range(20_000).selectExpr("'k' AS k", "concat('r', id % 3) AS v").repartition(4)
+    out = joined_text(hot, "k", "v", "; ", alias="t")
+    assert out.first()["t"] == "; ".join(sorted(f"r{i % 3}" for i in range(20_000)))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # the list is made of counted values, three rows for the key
+    assert plan.count("Aggregate") == 2 and "count(1)" in plan
 
 
 def test_conform_positional(spark):
@@ -147,14 +159,36 @@ def test_conform_positional(spark):
         conform(df.select("x"), schema)
 
 
-def test_left_join_spread_nulls(spark):
-    from tessera.operators import left_join_spread_nulls
-
-    fact = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c"), (2, "d")], "k int, f string")
-    dim = spark.createDataFrame([(1, "x", 10), (1, "y", 11), (None, "z", 12)], "k int, v string, w int")
-    got = left_join_spread_nulls(fact, dim, "k", spread_by="f", buckets=4)
+@pytest.mark.parametrize("kind", ["int", "string"])
+def test_left_join_spread(spark, kind):
+    as_key = (lambda v: v) if kind == "int" else (lambda v: None if v is None else ("" if v == 2 else str(v)))
+    fact = spark.createDataFrame([(as_key(1), "a"), (None, "b"), (None, "c"), (as_key(2), "d"), (as_key(2), "e")], f"k {kind}, f string")
+    dim = spark.createDataFrame([(as_key(1), "x", 10), (as_key(1), "y", 11), (None, "z", 12), (as_key(2), "q", 13)],
+                                f"k {kind}, v string, w int")
     expected = fact.join(dim, "k", "left")
-    assert sorted(got.columns) == sorted(expected.columns)
-    assert got.exceptAll(expected.select(*got.columns)).count() == 0
-    assert expected.select(*got.columns).exceptAll(got).count() == 0
-    assert got.count() == 5
+    for got in (left_join_spread(fact, dim, "k", spread_by="f", buckets=4),
+                left_join_spread(fact, dim.withColumnRenamed("k", "dk"), "k", spread_by="f", dim_key="dk", buckets=4)):
+        assert got.columns == expected.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_hot_missing_keys_are_dealt_to_all_partitions(spark):
+    """99 % of the keys NULL or blank: the shuffle is by the spread key, and no partition holds most rows."""
+    fact = spark.range(8000).selectExpr("CASE WHEN id % 100 = 0 THEN CAST(id AS STRING) WHEN id % 2 = 0 THEN '' END AS k", "id AS f")
+    dim = spark.range(0, 8000, 100).selectExpr("CAST(id AS STRING) AS k", "id AS v").unionAll(
+        spark.sql("SELECT '' AS k, -1L AS v"))
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        out = left_join_spread(fact, dim, "k", spread_by="f")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(__spread_key" in plan
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        rows = out.collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert sum(sizes) == 8000 and len(sizes) == 8 and max(sizes) < 2000
+    assert sum(r["v"] == -1 for r in rows) == 3920 and sum(r["v"] is None for r in rows) == 4000
