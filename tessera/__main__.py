@@ -2,14 +2,17 @@
 
     spark-submit --py-files tessera.zip -m tessera \\
         --sources /data/sources --history /data/report_history \\
-        --cutoff 2026-08-11 --out /data/report [--append-history]
+        --cutoff 2026-08-11 --out /data/report \\
+        [--append-history --roll-to 2026-09-01]
 
 Sources are read by name from ``--sources`` (a Parquet folder per table)
 or from catalog tables with ``--table-prefix``. ``--rep-aliases`` names a
-two-column Parquet table (source_name, alias). With ``--append-history``
-the live rows dated before ``--roll-to`` are written into the history
-folder (appended: run it once per roll), so the next run with cutoff
-``--roll-to`` reads them instead of recomputing them.
+two-column Parquet table (source_name, alias); without that table the run
+needs ``--no-rep-aliases``. The history must be readable, except on a run
+that is marked ``--first-run``. With ``--append-history`` the live rows
+dated before ``--roll-to`` are written into the history folder as the roll
+of that date (running the job again replaces this roll), so the next run
+with cutoff ``--roll-to`` reads them instead of recomputing them.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ import argparse
 import datetime as dt
 import sys
 
+from pyspark.sql import functions as F
+
 from tessera.config import ReportConfig
 from tessera.plans.report import DATE_COL, Report, with_labels
 from tessera.session import get_session
@@ -29,48 +34,54 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--sources", help="folder holding one Parquet folder per source table")
     src.add_argument("--table-prefix", help="read sources as catalog tables <prefix><name>")
-    p.add_argument("--history", help="month-partitioned history folder (Part A)")
+    p.add_argument("--history", help="history folder (Part A)")
     p.add_argument("--cutoff", type=dt.date.fromisoformat, default=ReportConfig().cutoff)
     p.add_argument("--out", required=True, help="output folder for the report")
     p.add_argument("--labels", action="store_true", help="write display labels as column names")
     p.add_argument("--rep-aliases", help="Parquet table (source_name, alias) of sales-rep spellings")
+    p.add_argument("--no-rep-aliases", action="store_true", help="no sales-rep name needs an alias")
+    p.add_argument("--key-mode", choices=("binary_rtrim", "binary"), default=ReportConfig().key_mode,
+                   help="do trailing blanks of keys count (binary) or not (binary_rtrim, the default)")
+    p.add_argument("--duplicates-out", help="output folder for the keys that multiply report rows")
+    p.add_argument("--first-run", action="store_true", help="there is no history yet: do not read --history")
     p.add_argument("--append-history", action="store_true",
                    help="also write live rows dated before --roll-to into --history")
     p.add_argument("--roll-to", type=dt.date.fromisoformat, help="upper date bound for --append-history")
     return p.parse_args(argv)
 
 
-def _existing_history(spark, path: str, cutoff: dt.date):
-    """The history folder read up to the cutoff, or None before the first roll."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return read_history(spark, path, before=cutoff)
-    except AnalysisException:
-        return None
+def check_args(args: argparse.Namespace) -> None:
+    """Refuse contradictory arguments before anything is read or written."""
+    if args.append_history and not (args.history and args.roll_to):
+        raise SystemExit("--append-history needs --history and --roll-to")
+    if args.append_history and args.roll_to <= args.cutoff:
+        raise SystemExit("--roll-to must be after --cutoff")
+    if args.first_run and not args.history:
+        raise SystemExit("--first-run is about --history, which is not given")
 
 
 def main(argv: list[str] | None = None) -> int:
     args = parse_args(sys.argv[1:] if argv is None else argv)
+    check_args(args)
     spark = get_session(app_name="tessera-report")
     frames = {}
     if args.rep_aliases:
         frames["rep_aliases"] = spark.read.parquet(args.rep_aliases)
-    history = _existing_history(spark, args.history, args.cutoff) if args.history else None
+    # a history that cannot be read is an error: the report would lack Part A
+    history = read_history(spark, args.history, before=args.cutoff) if args.history and not args.first_run else None
     src = SourceCatalog(spark, frames=frames, parquet_root=args.sources, table_prefix=args.table_prefix,
                         history=history)
-    report = Report(src, ReportConfig(cutoff=args.cutoff))
+    cfg = ReportConfig(cutoff=args.cutoff, key_mode=args.key_mode, rep_aliases=() if args.no_rep_aliases else None)
+    report = Report(src, cfg)
     out = report.build()
     write_report(with_labels(out) if args.labels else out, args.out)
+    if args.duplicates_out:
+        report.duplicates().write.mode("overwrite").parquet(args.duplicates_out)
     if args.append_history:
-        if not (args.history and args.roll_to):
-            raise SystemExit("--append-history needs --history and --roll-to")
-        from pyspark.sql import functions as F
-
-        # live rows are dated on/after the cutoff, so none of them is in the
-        # history yet; appending keeps the history rows of the cutoff's month
+        # live rows are dated on/after the cutoff; the roll gets a folder of its
+        # own in the history and replaces that folder when the job runs again
         live = report.live().where(F.col(DATE_COL) < F.lit(args.roll_to))
-        write_history(live, args.history, DATE_COL, mode="append")
+        write_history(live, args.history, DATE_COL, roll=args.roll_to.isoformat())
     report.release()
     return 0
 

@@ -56,7 +56,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     """Return the shared checkpoint folder of this session.
 
     Uses ``spark.checkpoint.dir`` when the cluster names one; otherwise
-    sets ``fallback`` (if given) as the checkpoint folder and returns it.
+    sets ``fallback`` (if given) as the checkpoint folder and returns it,
+    which only a session with a local master may do.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -68,6 +69,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     if current:
         return current
     if fallback:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; a cluster needs a shared folder")
         os.makedirs(fallback, exist_ok=True)
         spark.sparkContext.setCheckpointDir(fallback)
         return fallback

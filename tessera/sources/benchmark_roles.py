@@ -30,6 +30,7 @@ from tessera.sources.catalog import SourceCatalog
 # report parameters that fit the benchmark dates (orders span 1995-2001)
 BENCHMARK_CONFIG = ReportConfig(cutoff=_dt.date(2001, 1, 1))
 EVENT_TYPE = BENCHMARK_CONFIG.event_type_id
+SECOND_COMPANY = 1_000_000_000_000
 
 
 def _email(expr: str) -> str:
@@ -39,12 +40,14 @@ def _email(expr: str) -> str:
 # Column rules shared by tickets and resets (SQL expressions over ``orders``).
 _TICKET_COMMON = [
     "concat('T', o_orderkey) AS ticket_id",
-    "concat('A', o_custkey) AS attendee_id",
-    "concat('C', o_custkey) AS customer_id",
+    # some tickets have no attendee or no customer
+    "CASE WHEN o_custkey % 17 != 0 THEN concat('A', o_custkey) END AS attendee_id",
+    "CASE WHEN o_custkey % 19 != 0 THEN concat('C', o_custkey) END AS customer_id",
     "o_orderpriority AS product_name",
     "CASE WHEN o_totalprice > 300000 THEN 'VIP' ELSE 'GA' END AS ticket_type",
     "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Yes' ELSE 'No' END AS confirmation_status",
-    "o_orderdate AS event_date",
+    # some are not scheduled yet
+    "CASE WHEN o_orderkey % 97 != 0 THEN o_orderdate END AS event_date",
     "CAST(o_totalprice AS DECIMAL(18,2)) AS ticket_price",
     "'Email' AS confirmation_method",
     "date_sub(to_date(o_orderdate), 30) AS confirmed_date",
@@ -80,7 +83,7 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     resets = orders.where("o_orderstatus = 'F'").selectExpr(
         *_TICKET_COMMON,
-        "concat('Guest ', o_custkey, ' ', substring(o_orderpriority, 3, 20)) AS attendee_name",
+        "concat('Guest ', o_custkey, ' ', substring(o_orderpriority, 3)) AS attendee_name",
         f"{_email("concat('guest', o_custkey)")} AS attendee_email",
         "CAST(NULL AS STRING) AS attendee_phone",
         "concat('Company ', o_custkey) AS customer_name",
@@ -88,12 +91,12 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "substring(o_orderpriority, 1, 1) AS vertical",
         "CASE WHEN o_orderpriority = '1-URGENT' THEN 'E125' END AS customer_elite_status",
         "'no show' AS source_ticket_status",
-        "concat('CV', o_custkey) AS cv_customer_id",
+        "CASE WHEN o_custkey % 29 != 0 THEN concat('CV', o_custkey) END AS cv_customer_id",
     )
 
     attendees = customer.selectExpr(
         "concat('A', c_custkey) AS attendee_id",
-        "concat('P', c_custkey) AS person_id",
+        "CASE WHEN c_custkey % 13 != 0 THEN concat('P', c_custkey) END AS person_id",
         "concat_ws(' ', c_name, c_mktsegment) AS attendee_name",
         f"{_email('c_name')} AS attendee_email",
         "CAST(NULL AS STRING) AS attendee_phone",
@@ -102,7 +105,7 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     customers = customer.selectExpr(
         "concat('C', c_custkey) AS id",
         "c_name AS name",
-        "concat('CV', c_custkey) AS cv_customer_id",
+        "CASE WHEN c_custkey % 23 != 0 THEN concat('CV', c_custkey) END AS cv_customer_id",
         "CASE WHEN c_acctbal > 8000 THEN '5 Million+' WHEN c_acctbal > 5000 THEN '2 Million +' "
         "     WHEN c_acctbal < 0 THEN 'To Be Determined' END AS abr",
         "CAST(c_nationkey AS STRING) AS vertical",
@@ -115,15 +118,23 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "CASE WHEN c_acctbal > 2000 THEN '1 Million+' WHEN c_acctbal < 0 THEN '8' END AS AnnualBusinessRevenueName",
         "CASE WHEN c_acctbal > 7500 THEN date_sub(DATE'2000-01-01', c_nationkey) END AS First10X360PurchaseDate",
     )
-    companies = customer.selectExpr("concat('CV', c_custkey) AS CVCustomerID", "c_custkey AS CompanyID")
-    contact_assoc = events.selectExpr("user_id AS CompanyID", "event_id AS ContactID")
+    # some keys of the customer dimension occur twice
+    dim_customer = dim_customer.unionAll(customer.where("c_custkey % 40 = 0").selectExpr(
+        "concat('CV', c_custkey)", "c_custkey", "'Second vertical'", "'3 Million+'", "CAST(NULL AS DATE)"))
+    # customers with no company, one or two; companies without a customer
+    companies = customer.where("c_custkey % 11 != 0").selectExpr(
+        "CASE WHEN c_custkey % 31 != 0 THEN concat('CV', c_custkey) END AS CVCustomerID", "c_custkey AS CompanyID"
+    ).unionAll(customer.where("c_custkey % 7 = 0").selectExpr("concat('CV', c_custkey)", f"c_custkey + {SECOND_COMPANY}"))
+    contact_assoc = events.selectExpr("user_id AS CompanyID", "event_id AS ContactID").unionAll(
+        events.where("event_type = 'purchase'").selectExpr(f"user_id + {SECOND_COMPANY}", "event_id"))
     contacts = events.selectExpr(
         "event_id AS ContactID",
         "CASE event_type WHEN 'purchase' THEN '10 Million+' WHEN 'signup' THEN '' END AS AnnualBusinessRevenue",
         "ts AS UpdatedAtUTC",
         "CASE WHEN value > 100 THEN 1 ELSE 0 END AS BusinessOwner",
         "concat('P', user_id) AS CVPersonID",
-        f"{_email("concat('Customer#', lpad(CAST(user_id AS STRING), 9, '0'))")} AS Email",
+        f"{_email("concat('Customer#', lpad(user_id, greatest(9, length(user_id)), '0'))")} "
+        "AS Email",
     )
 
     reps = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"], "inner") \
@@ -139,7 +150,7 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "concat('Sales Order #', l_orderkey) AS TransactionDisplayName",
         "rep_name AS SalesRepName",
         "CASE WHEN l_linenumber <= 2 THEN concat('Rep NATION_', l_linenumber) END AS SalesRep2Name",
-        "l_orderkey * 10 + l_linenumber AS TransactionID",
+        "l_orderkey * 1000 + l_linenumber AS TransactionID",
         "l_linenumber - 1 AS TransactionLineID",
     )
     employees = nation.selectExpr("concat('Rep ', n_name) AS EmployeeName", f"{_email('n_name')} AS Email") \
@@ -153,7 +164,7 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "to_date(l_shipdate) AS transaction_date",
     )
     pos_orders = lineitem.where("l_linenumber = 1").selectExpr(
-        "concat('PO', l_orderkey) AS order_id", "CAST(l_orderkey * 10 + 1 AS STRING) AS sales_order_ids")
+        "concat('PO', l_orderkey) AS order_id", "CAST(l_orderkey * 1000 + 1 AS STRING) AS sales_order_ids")
     pos_order_events = lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"], "inner").selectExpr(
         "concat('PO', l_orderkey) AS order_id",
         "CASE WHEN p_name LIKE '%blue%' THEN concat('Elite Edge ', p_type) ELSE p_type END AS selected_event_name",
@@ -197,6 +208,9 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "     WHEN 'purchase' THEN 'General Session Day 3' WHEN 'signup' THEN 'Vertical Summit Hall' "
         "     ELSE 'Help Desk' END AS session_name",
     ).distinct()
+    # nation-wide representatives go by their region's name in the employee dimension
+    rep_aliases = nation.where("n_nationkey % 5 = 0").selectExpr(
+        "concat('Rep ', n_name) AS source_name", "concat('Rep NATION_', n_nationkey + 1) AS alias")
     notes = tb.read("conversations").selectExpr("concat('T', conv_id) AS ticket_id", "text AS note")
 
     return {
@@ -221,8 +235,31 @@ def derive_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "bronze_OrdersFULL": pos_orders,
         "bronze_OrdersSelectedEventsFULL": pos_order_events,
         "silver_Events": pos_events,
+        "rep_aliases": rep_aliases,
     }
 
 
-def benchmark_catalog(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> SourceCatalog:
-    return SourceCatalog(spark, frames=derive_sources(spark, sf_dir), history=history)
+def derive_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored report rows of earlier runs: one per order, also dated on or after the cutoff.
+
+    The columns that a stored row fills here are listed; the others are NULL.
+    """
+    from tessera.plans.report import REPORT_SCHEMA
+
+    filled = {
+        "RecordType": "CASE o_orderstatus WHEN 'F' THEN 'No Show Reset' ELSE 'Active' END",
+        "Product": "o_orderpriority",
+        "AttendeeFullName": "concat('Stored ', o_custkey)",
+        "CompanyName": "CASE WHEN o_custkey % 3 != 0 THEN concat('Company ', o_custkey) END",
+        "Price": "o_totalprice",
+        "DATESelectionDNT": "CASE WHEN o_orderkey % 97 != 0 THEN o_orderdate END",
+        "HubspotContactID": "o_custkey",
+        "TicketID": "concat('T', o_orderkey)",
+    }
+    return BenchmarkTables(spark, sf_dir).read("orders").selectExpr(*[
+        f"CAST({filled.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS `{f.name}`"
+        for f in REPORT_SCHEMA.fields])
+
+
+def benchmark_catalog(spark: SparkSession, sf_dir: str) -> SourceCatalog:
+    return SourceCatalog(spark, frames=derive_sources(spark, sf_dir), history=derive_history(spark, sf_dir))

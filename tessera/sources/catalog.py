@@ -13,11 +13,14 @@ them.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from copy import copy
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.sources.schemas import SOURCE_SCHEMAS
+from tessera.functions import normalize_key
+from tessera.sources.schemas import KEY_COLUMNS, SOURCE_SCHEMAS
 
 
 class SourceCatalog:
@@ -27,8 +30,11 @@ class SourceCatalog:
     - ``parquet_root``: ``<root>/<name>`` or ``<root>/<name>.parquet``
     - ``table_prefix``: ``spark.table(prefix + name)``
 
-    The stored report history (Part A) is ``history`` if given, else the
-    source named ``history_table``.
+    A source that is not there raises ``KeyError``; one that is there and
+    cannot be read raises Spark's error. The stored report history (Part A)
+    is ``history`` if given, else the source named ``history_table``.
+    ``key_mode`` is the comparison rule of keys, codes and status values
+    (:func:`tessera.functions.normalize_key`), applied by :meth:`table`.
     """
 
     def __init__(
@@ -39,7 +45,9 @@ class SourceCatalog:
         table_prefix: str | None = None,
         history: DataFrame | None = None,
         history_table: str = "report_history",
+        key_mode: str = "binary",
     ) -> None:
+        self.key_mode = key_mode
         self.spark = spark
         self.frames = dict(frames or {})
         self.parquet_root = parquet_root
@@ -61,13 +69,15 @@ class SourceCatalog:
                     # resolved by Spark's filesystem layer, not the driver's local disk
                     df = self.spark.read.parquet(cand)
                     break
-                except AnalysisException:
-                    continue
+                except AnalysisException as missing:
+                    if missing.getCondition() != "PATH_NOT_FOUND":
+                        raise
         if df is None and self.table_prefix is not None:
             try:
                 df = self.spark.table(self.table_prefix + name)
-            except AnalysisException:
-                df = None
+            except AnalysisException as missing:
+                if missing.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+                    raise
         if df is None:
             raise KeyError(f"no source for table {name!r}")
         self._resolved[name] = df
@@ -79,8 +89,16 @@ class SourceCatalog:
         schema = SOURCE_SCHEMAS.get(name)
         if schema is None:
             return df
-        return df.selectExpr(*[
-            f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
+        keys = KEY_COLUMNS.get(name, ())
+        return df.select(*[
+            (normalize_key(F.col(f"`{f.name}`").cast(f.dataType), self.key_mode) if f.name in keys
+             else F.col(f"`{f.name}`").cast(f.dataType)).alias(f.name) for f in schema.fields])
+
+    def with_key_mode(self, mode: str) -> "SourceCatalog":
+        """The same sources under another comparison rule."""
+        out = copy(self)
+        out.key_mode = mode
+        return out
 
     def has(self, name: str) -> bool:
         try:

@@ -1,7 +1,8 @@
 """Declared schemas of the report's 22 source tables.
 
 Types follow how the report uses each column (codes that look numeric
-stay strings; money is decimal; audit times are timestamp_ntz).
+stay strings; money is decimal; audit times and dates that may carry a
+time of day are timestamp_ntz).
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
     "kiosk_registrations": _struct(("session_id", S), ("event_id", S), ("session_name", S)),
     "transactions": _struct(
         ("sales_order_id", S), ("refund_reason", S), ("refund_amount", MONEY),
-        ("transaction_date", D),
+        ("transaction_date", TS),
     ),
     "notes": _struct(("ticket_id", S), ("note", S)),
     "history": _struct(
@@ -64,7 +65,7 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
     ),
     "DimCustomer": _struct(
         ("CVCustomerID", S), ("NetSuiteID", L), ("VerticalName", S),
-        ("AnnualBusinessRevenueName", S), ("First10X360PurchaseDate", D),
+        ("AnnualBusinessRevenueName", S), ("First10X360PurchaseDate", TS),
     ),
     "DimEmployee": _struct(("EmployeeName", S), ("Email", S)),
     "silver_Companies": _struct(("CVCustomerID", S), ("CompanyID", L)),
@@ -74,7 +75,7 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
         ("BusinessOwner", I), ("CVPersonID", S), ("Email", S),
     ),
     "silver_Transaction": _struct(
-        ("EntityID", L), ("ItemName", S), ("TransactionDate", D), ("SubsidiaryID", I),
+        ("EntityID", L), ("ItemName", S), ("TransactionDate", TS), ("SubsidiaryID", I),
         ("TransactionType", S), ("TransactionDisplayName", S), ("SalesRepName", S),
         ("SalesRep2Name", S), ("TransactionID", L), ("TransactionLineID", I),
     ),
@@ -82,9 +83,35 @@ SOURCE_SCHEMAS: dict[str, StructType] = {
     "bronze_OrdersSelectedEventsFULL": _struct(
         ("order_id", S), ("selected_event_name", S), ("selected_event_id", S),
     ),
-    "silver_Events": _struct(("EventID", S), ("StartDate", D)),
+    "silver_Events": _struct(("EventID", S), ("StartDate", TS)),
     # sales-rep alias table (deployment data, see ReportConfig.rep_aliases)
     "rep_aliases": _struct(("source_name", S), ("alias", S)),
 }
 
 SOURCE_TABLES = tuple(n for n in SOURCE_SCHEMAS if n != "rep_aliases")
+
+# Columns that are compared (joined on, looked up in a list or recoded).
+KEY_COLUMNS: dict[str, tuple[str, ...]] = {
+    "tickets": ("ticket_id", "event_id", "attendee_id", "customer_id", "status", "sales_order_id"),
+    "ticket_no_show_resets": ("ticket_id", "attendee_id", "customer_id", "sales_order_id", "attendee_email",
+                              "vertical", "cv_customer_id"),
+    "attendees": ("attendee_id", "person_id", "attendee_email"),
+    "customers": ("id", "cv_customer_id", "abr", "vertical", "status"),
+    "attendee_ticket_sessions": ("attendee_ticket_id", "event_session_code"),
+    "attendee_tickets": ("attendee_ticket_id", "ticket_id"),
+    "silver_EventSession": ("CVEventSessionID", "Event"),
+    "kiosk_usage": ("ticket_id", "session_id", "event_id", "flow_type"),
+    "kiosk_registrations": ("session_id", "event_id"),
+    "transactions": ("sales_order_id",),
+    "notes": ("ticket_id",),
+    "history": ("ticket_id", "action", "changed_by"),
+    "DimCustomer": ("CVCustomerID", "AnnualBusinessRevenueName"),
+    "DimEmployee": ("EmployeeName",),
+    "silver_Companies": ("CVCustomerID",),
+    "silver_Contacts": ("AnnualBusinessRevenue", "CVPersonID", "Email"),
+    "silver_Transaction": ("TransactionType", "TransactionDisplayName", "SalesRepName", "SalesRep2Name"),
+    "bronze_OrdersFULL": ("order_id", "sales_order_ids"),
+    "bronze_OrdersSelectedEventsFULL": ("order_id", "selected_event_id"),
+    "silver_Events": ("EventID",),
+    "rep_aliases": ("source_name",),
+}

@@ -1,17 +1,15 @@
 """Writing the report and its history table.
 
 The history table (Part A of the report) is read with ``date < cutoff``.
-Written partitioned by the month of that date and read with the
-matching month bound (:func:`read_history`), whole folders after the
-cutoff are never listed or scanned. Writes go through Spark's commit
-protocol, so a lost executor re-runs its tasks and the folder is only
-published complete.
+Written by roll and, inside it, by the month of that date, and read with
+the matching month bound (:func:`read_history`), whole folders after the
+cutoff are never scanned. Writes go through Spark's commit protocol, so a
+lost executor re-runs its tasks and the folder is only published complete.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,32 +18,35 @@ from pyspark.sql import functions as F
 from tessera.session import checkpoint_dir
 
 MONTH_COL = "report_month"
+ROLL_COL = "rolled_to"
 
 
-def write_history(df: DataFrame, path: str, date_col: str, mode: str = "overwrite") -> None:
-    """Write report rows partitioned by ``yyyy-MM`` of ``date_col``.
+def write_history(df: DataFrame, path: str, date_col: str, roll: str) -> None:
+    """Write report rows as the roll named ``roll`` of the history at ``path``.
 
-    ``spark.sql.sources.partitionOverwriteMode=dynamic`` makes an
-    overwrite replace only the months present in ``df``.
+    Each roll has a folder of its own, partitioned by ``yyyy-MM`` of
+    ``date_col``. Writing a roll again replaces that roll and nothing else,
+    so a job that is run twice leaves the same history.
     """
     (df.withColumn(MONTH_COL, F.date_format(F.col(f"`{date_col}`"), "yyyy-MM"))
-       .write.mode(mode).partitionBy(MONTH_COL).parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", "static")
+       .partitionBy(MONTH_COL).parquet(f"{path.rstrip('/')}/{ROLL_COL}={roll}"))
 
 
 def read_history(spark: SparkSession, path: str, before: str | _dt.date | None = None) -> DataFrame:
-    """Read a history folder written by :func:`write_history` (drops the partition column).
+    """Read a history folder: one of :func:`write_history`, or any plain Parquet folder.
 
     With ``before`` (the report cutoff), only month folders up to the
-    cutoff's month are listed and read: Spark prunes partitions only on
-    predicates over the partition column, so the month bound is stated
-    explicitly. The exact ``date < cutoff`` filter is applied by the
-    report on top of it.
+    cutoff's month are listed and read where there are such folders: Spark
+    prunes partitions only on predicates over the partition column, so the
+    month bound is stated explicitly. The exact ``date < cutoff`` filter is
+    applied by the report on top of it. A missing folder is an error.
     """
     df = spark.read.parquet(path)
-    if before is not None:
+    if before is not None and MONTH_COL in df.columns:
         d = _dt.date.fromisoformat(before) if isinstance(before, str) else before
         df = df.where(F.col(MONTH_COL) <= F.lit(d.strftime("%Y-%m")))
-    return df.drop(MONTH_COL)
+    return df.drop(MONTH_COL, ROLL_COL)
 
 
 def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -61,6 +62,6 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     root = checkpoint_dir(spark)
     if not root:
         raise RuntimeError("spark.checkpoint.dir is not set; cannot materialize")
-    path = os.path.join(root, f"tessera-{name}-{uuid.uuid4().hex}")
+    path = f"{root.rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -33,13 +33,36 @@ def test_history_round_trip_and_month_pruning(spark):
     rows = [(dt.datetime(2026, 7, 1), "a"), (dt.datetime(2026, 8, 20), "b"), (None, "c")]
     df = spark.createDataFrame(rows, "d timestamp_ntz, v string")
     path = os.path.join(tempfile.mkdtemp(prefix="tessera-hist-"), "h")
-    write_history(df, path, "d")
+    write_history(df, path, "d", roll="2026-09-01")
     assert sorted(r["v"] for r in read_history(spark, path).collect()) == ["a", "b", "c"]
     pruned = read_history(spark, path, before="2026-08-11")
     assert sorted(r["v"] for r in pruned.collect()) == ["a", "b"]      # month bound; date filter is the report's
     assert pruned.columns == ["d", "v"]
 
 
+def test_rolls_replace_themselves_alone(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame([(dt.datetime(2026, 7, 1), "a"), (dt.datetime(2026, 8, 20), "b")], "d timestamp_ntz, v string")
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-hist-"), "h")
+    write_history(df, path, "d", roll="2026-09-01")
+    write_history(df.where("v = 'b'").selectExpr("d", "'c' AS v"), path, "d", roll="2026-10-01")
+    write_history(df.where("v = 'a'"), path, "d", roll="2026-09-01")
+    assert sorted(r["v"] for r in read_history(spark, path).collect()) == ["a", "c"]
+
+
+def test_damaged_source_is_an_error(spark):
+    root = tempfile.mkdtemp(prefix="tessera-bad-")
+    os.makedirs(os.path.join(root, "tickets"))
+    with open(os.path.join(root, "tickets", "part-0.parquet"), "w") as f:
+        f.write("no parquet")
+    cat = SourceCatalog(spark, parquet_root=root)
+    with pytest.raises(Exception) as raised:
+        cat.has("tickets")
+    assert not isinstance(raised.value, KeyError)
+    assert not cat.has("attendees")
+
+
 def test_write_report_and_materialize(spark):
     df = spark.range(10).selectExpr("id", "id * 2 AS twice")
     path = os.path.join(tempfile.mkdtemp(prefix="tessera-out-"), "r")
