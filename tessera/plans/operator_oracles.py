@@ -38,7 +38,8 @@ _FIRST_BIG = """first_big AS (
                row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey ASC NULLS FIRST) AS rn
         FROM orders WHERE o_totalprice > 400000) x
     WHERE rn = 1)"""
-_CUST_KEY = "'Customer#' || lpad(CAST({k} AS VARCHAR), 9, '0')"
+_CUST_KEY = """'Customer#' || CASE WHEN length(CAST({k} AS VARCHAR)) < 9
+                THEN lpad(CAST({k} AS VARCHAR), 9, '0') ELSE CAST({k} AS VARCHAR) END"""
 _SEGMENT_CASE = """CASE {c} WHEN 'BUILDING' THEN 'Construction' WHEN 'AUTOMOBILE' THEN 'Automotive'
                  WHEN 'MACHINERY' THEN 'Manufacturing' {extra} ELSE {c} END"""
 _BRANCH = """SELECT {tag} AS record_type,
@@ -246,29 +247,22 @@ synth AS (
                 ELSE CAST(o_orderkey AS VARCHAR) END AS sales_order_id,
            CASE WHEN o_orderstatus = 'P' THEN o_orderdate ELSE NULL END AS undecided_ts
     FROM orders),
-hr AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'click'),
-hwu AS (SELECT DISTINCT user_id FROM events WHERE event_type = 'error')
-SELECT s.o_orderkey,
-  CASE
-    WHEN COALESCE(s.is_comped, 0) = 1 AND (s.sales_order_id IS NULL OR rtrim(s.sales_order_id) = '')
-         AND hr.user_id IS NOT NULL THEN 'Rescheduled + Comp'
-    WHEN COALESCE(s.is_comped, 0) = 1 AND (s.sales_order_id IS NULL OR rtrim(s.sales_order_id) = '') THEN 'Comp'
-    WHEN hr.user_id IS NOT NULL AND (hwu.user_id IS NOT NULL OR s.undecided_ts IS NOT NULL)
-         THEN 'Rescheduled + Undecided'
-    WHEN hr.user_id IS NOT NULL THEN 'Rescheduled'
-    WHEN sop.purchase_source = 'POS' THEN 'Sales'
-    WHEN sop.purchase_source = 'Concierge' THEN 'Undecided'
-    ELSE 'Sales'
-  END AS seat_attribution,
-  CASE
-    WHEN COALESCE(s.is_comped, 0) = 1 AND s.sales_order_id IS NOT NULL THEN 'Comp - Sales Order'
-    WHEN COALESCE(s.is_comped, 0) = 1 AND s.sales_order_id IS NULL THEN 'Comp - No Sales Order'
-    ELSE NULL
-  END AS comp_type
-FROM synth s
-JOIN sop ON s.o_orderkey = sop.o_orderkey
-LEFT JOIN hr ON s.o_custkey = hr.user_id
-LEFT JOIN hwu ON s.o_custkey = hwu.user_id""",
+touched AS (
+    SELECT user_id, bool_or(event_type = 'click') AS moved, bool_or(event_type = 'error') AS unsure
+    FROM events GROUP BY user_id),
+facts AS (
+    SELECT s.o_orderkey, s.sales_order_id, sop.purchase_source,
+           coalesce(s.is_comped = 1, false) AS comped,
+           coalesce(rtrim(s.sales_order_id), '') = '' AS no_order,
+           coalesce(t.moved, false) AS moved,
+           coalesce(t.unsure, false) OR s.undecided_ts IS NOT NULL AS unsure
+    FROM synth s JOIN sop USING (o_orderkey) LEFT JOIN touched t ON t.user_id = s.o_custkey)
+SELECT o_orderkey,
+  CASE WHEN comped AND no_order THEN if(moved, 'Rescheduled + Comp', 'Comp')
+       WHEN moved THEN if(unsure, 'Rescheduled + Undecided', 'Rescheduled')
+       ELSE if(purchase_source = 'Concierge', 'Undecided', 'Sales') END AS seat_attribution,
+  if(comped, if(sales_order_id IS NULL, 'Comp - No Sales Order', 'Comp - Sales Order'), NULL) AS comp_type
+FROM facts""",
 
     "name_split": """SELECT p_partkey, full_name,
        split_part(full_name, ' ', 1) AS first_name,
@@ -312,253 +306,3 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 ORDER BY o.o_orderdate ASC NULLS FIRST, c.c_name ASC NULLS FIRST, o.o_orderkey ASC NULLS FIRST""",
 }
 
-
-# --------------------------------------------------------------------------
-# Report datasets over the benchmark-derived sources (tessera.sources.
-# benchmark_roles): the derived columns a dataset reads are restated here.
-# --------------------------------------------------------------------------
-
-_DRIVERS = """drivers AS (
-    SELECT 'T' || o_orderkey AS ticket_id,
-           CASE WHEN o_orderpriority = '5-LOW' THEN NULL
-                WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
-                ELSE CAST(o_orderkey AS VARCHAR) END AS sales_order_id
-    FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))"""
-_TRANSACTIONS = """transactions AS (
-    SELECT CAST(l_orderkey AS VARCHAR) AS sales_order_id,
-           CASE l_returnflag WHEN 'R' THEN 'Returned' WHEN 'N' THEN 'Other' END AS refund_reason,
-           CAST(l_discount * l_extendedprice AS DECIMAL(18,2)) AS refund_amount,
-           CAST(l_shipdate AS DATE) AS transaction_date
-    FROM lineitem)"""
-
-REPORT_ORACLE_SQL: dict[str, str] = {
-    "report_ticket_transactions": f"""WITH {_DRIVERS}, {_TRANSACTIONS}
-SELECT sales_order_id, CAST(min(transaction_date) AS TIMESTAMP) AS date_of_purchase
-FROM transactions
-WHERE sales_order_id IN (SELECT sales_order_id FROM drivers WHERE sales_order_id IS NOT NULL)
-GROUP BY sales_order_id""",
-
-    "report_refunds": f"""WITH {_DRIVERS}, {_TRANSACTIONS}
-SELECT sales_order_id, 'Yes - ' || string_agg(refund_reason, '; ' ORDER BY refund_reason) AS refund_info
-FROM transactions
-WHERE refund_amount > 0
-  AND sales_order_id IN (SELECT sales_order_id FROM drivers WHERE sales_order_id IS NOT NULL)
-GROUP BY sales_order_id""",
-
-    "report_ticket_notes": f"""WITH {_DRIVERS}
-SELECT 'T' || conv_id AS ticket_id, string_agg(text, ' | ' ORDER BY text) AS notes
-FROM conversations
-WHERE text NOT LIKE '%Created from POS%' AND text NOT LIKE '%Created from Fabric%'
-  AND 'T' || conv_id IN (SELECT ticket_id FROM drivers)
-GROUP BY conv_id""",
-
-    "report_pos_event_dates": f"""WITH {_DRIVERS},
-headers AS (
-    SELECT DISTINCT l.l_orderkey * 10 + l.l_linenumber AS transaction_id, 'Sales Order #' || l.l_orderkey AS display_name
-    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-    WHERE l.l_linenumber = 1 AND l.l_tax <= 0.06),
-pos_orders AS (
-    SELECT 'PO' || l_orderkey AS order_id, CAST(l_orderkey * 10 + 1 AS VARCHAR) AS sales_order_ids
-    FROM lineitem WHERE l_linenumber = 1),
-pos_order_events AS (
-    SELECT 'PO' || l.l_orderkey AS order_id, 'EV' || l.l_partkey AS selected_event_id
-    FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
-    WHERE p.p_name LIKE '%blue%'),
-pos_events AS (
-    SELECT 'EV' || p_partkey AS event_id, DATE '2001-01-01' + CAST(p_size * 3 AS INTEGER) AS start_date FROM part)
-SELECT d.ticket_id, CAST(min(e.start_date) AS TIMESTAMP) AS original_event_date
-FROM drivers d
-JOIN headers h ON h.display_name = 'Sales Order #' || d.sales_order_id
-JOIN pos_orders po ON po.sales_order_ids = CAST(h.transaction_id AS VARCHAR)
-JOIN pos_order_events pe ON pe.order_id = po.order_id
-JOIN pos_events e ON e.event_id = pe.selected_event_id
-WHERE d.sales_order_id IS NOT NULL
-GROUP BY d.ticket_id""",
-
-    "report_confirmed_by": """WITH live AS (
-    SELECT 'T' || o_orderkey AS ticket_id FROM orders
-    WHERE o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL)),
-changes AS (
-    SELECT 'T' || event_id AS ticket_id, event_type, ts AS changed_at,
-           CASE WHEN value > 300 THEN 'System' WHEN value > 250 THEN NULL ELSE 'user' || user_id END AS changed_by
-    FROM events)
-SELECT ticket_id, changed_by FROM (
-    SELECT ticket_id, changed_by,
-           row_number() OVER (PARTITION BY ticket_id
-                              ORDER BY changed_at DESC NULLS LAST, changed_by DESC NULLS LAST) AS rn
-    FROM changes
-    WHERE event_type = 'click' AND changed_by NOT IN ('System', 'bulk-import')
-      AND ticket_id IN (SELECT ticket_id FROM live)) x
-WHERE rn = 1""",
-
-    "report_contact_by_email": """WITH people AS (
-    SELECT o_custkey, o_orderstatus, o_orderdate FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')),
-emails_in_use AS (
-    SELECT lower(lower(c_name) || '@example.test') AS email FROM customer
-    WHERE c_custkey IN (SELECT o_custkey FROM people)
-    UNION
-    SELECT lower('guest' || o_custkey || '@example.test') FROM people WHERE o_orderstatus = 'F'),
-contacts AS (
-    SELECT event_id AS contact_id, ts AS updated_at,
-           lower(lower('Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0')) || '@example.test') AS email
-    FROM events)
-SELECT email AS "Email", contact_id AS "ContactID" FROM (
-    SELECT email, contact_id,
-           row_number() OVER (PARTITION BY email ORDER BY updated_at DESC NULLS LAST,
-                              contact_id DESC NULLS LAST) AS rn
-    FROM contacts WHERE email IN (SELECT email FROM emails_in_use)) x
-WHERE rn = 1""",
-
-    "report_rescheduled": """WITH live AS (
-    SELECT 'T' || o_orderkey AS ticket_id FROM orders
-    WHERE o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL)),
-changes AS (
-    SELECT 'T' || event_id AS ticket_id, event_type,
-           CASE WHEN value > 20 THEN 'E1' ELSE '' END AS old_value, 'E2' AS new_value
-    FROM events)
-SELECT DISTINCT ticket_id FROM changes
-WHERE event_type = 'view' AND rtrim(old_value) != '' AND rtrim(new_value) != ''
-  AND ticket_id IN (SELECT ticket_id FROM live)""",
-
-    "report_contact_by_person": """WITH people AS (
-    SELECT o_custkey FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')),
-persons AS (SELECT 'P' || c_custkey AS person_id FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)),
-contacts AS (SELECT event_id AS contact_id, ts AS updated_at, 'P' || user_id AS person_id FROM events)
-SELECT person_id AS "CVPersonID", contact_id AS "ContactID" FROM (
-    SELECT person_id, contact_id,
-           row_number() OVER (PARTITION BY person_id ORDER BY updated_at DESC NULLS LAST,
-                              contact_id DESC NULLS LAST) AS rn
-    FROM contacts WHERE person_id IN (SELECT person_id FROM persons)) x
-WHERE rn = 1""",
-
-    "report_ryb_purchases": """WITH people AS (
-    SELECT o_custkey FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')),
-erp AS (
-    SELECT o.o_custkey AS entity_id,
-           CASE WHEN l.l_returnflag = 'R' THEN 'RYB ' || l.l_linestatus ELSE 'Item ' || l.l_partkey END AS item,
-           CAST(l.l_shipdate AS DATE) AS txn_date,
-           CASE WHEN l.l_linestatus = 'F' THEN 11 ELSE 12 END AS subsidiary,
-           CASE WHEN l.l_tax > 0.06 THEN 'Cash Sale' ELSE 'Sales Order' END AS txn_type,
-           l.l_orderkey * 10 + l.l_linenumber AS txn_id
-    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
-SELECT cv_customer_id, item AS "ItemName" FROM (
-    SELECT 'CV' || c.c_custkey AS cv_customer_id, e.item,
-           row_number() OVER (PARTITION BY c.c_custkey
-                              ORDER BY e.txn_date DESC NULLS LAST, e.txn_id DESC NULLS LAST,
-                                       e.item DESC NULLS LAST) AS rn
-    FROM customer c JOIN erp e ON c.c_custkey = e.entity_id
-    WHERE c.c_custkey IN (SELECT o_custkey FROM people)
-      AND e.item LIKE '%RYB%' AND e.subsidiary = 11 AND e.txn_type IN ('Sales Order', 'Cash Sale')) x
-WHERE rn = 1""",
-
-    "report_sales_reps": f"""WITH {_DRIVERS},
-lines AS (
-    SELECT 'Sales Order #' || l.l_orderkey AS display_name,
-           'Rep ' || n.n_name AS rep1,
-           CASE WHEN l.l_linenumber <= 2 THEN 'Rep NATION_' || l.l_linenumber END AS rep2,
-           l.l_orderkey * 10 + l.l_linenumber AS txn_id
-    FROM lineitem l
-    JOIN orders o ON l.l_orderkey = o.o_orderkey
-    LEFT JOIN (supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey) ON l.l_suppkey = s.s_suppkey
-    WHERE l.l_tax <= 0.06 AND l.l_linenumber != 1)
-SELECT display_name AS "TransactionDisplayName", max(rep1) AS "SalesRepName",
-       max(rep2) AS "SalesRep2Name", min(txn_id) AS "TransactionID"
-FROM lines
-WHERE display_name IN (SELECT 'Sales Order #' || sales_order_id FROM drivers WHERE sales_order_id IS NOT NULL)
-GROUP BY display_name""",
-
-    "report_business_revenue": """WITH people AS (
-    SELECT o_custkey FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01')),
-dim AS (
-    SELECT c_custkey, CASE WHEN c_acctbal > 2000 THEN '1 Million+' WHEN c_acctbal < 0 THEN '8' END AS dim_revenue
-    FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)),
-owners AS (
-    SELECT user_id AS company_id, event_id AS contact_id, ts,
-           CASE event_type WHEN 'purchase' THEN '10 Million+' WHEN 'signup' THEN '' END AS revenue
-    FROM events WHERE value > 100),
-latest_owner AS (
-    SELECT company_id, revenue FROM (
-        SELECT company_id, revenue,
-               row_number() OVER (PARTITION BY company_id ORDER BY ts DESC NULLS LAST,
-                                  contact_id DESC NULLS LAST) AS rn
-        FROM owners WHERE revenue IS NOT NULL) x
-    WHERE rn = 1)
-SELECT 'CV' || d.c_custkey AS cv_customer_id,
-       COALESCE(CASE WHEN rtrim(o.revenue) = '' THEN NULL ELSE o.revenue END, d.dim_revenue)
-           AS annual_business_revenue
-FROM dim d LEFT JOIN latest_owner o ON o.company_id = d.c_custkey""",
-
-    "report_first_purchase_flag": """WITH people AS (
-    SELECT o_custkey FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))
-SELECT DISTINCT 'CV' || c_custkey AS cv_customer_id,
-       CASE WHEN c_acctbal > 7500 THEN 'Yes' END AS is_10x360_flag,
-       CASE WHEN c_acctbal > 7500 THEN CAST(DATE '2000-01-01' - CAST(c_nationkey AS INTEGER) AS TIMESTAMP) END
-           AS first_10x360_purchase_date
-FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
-
-    "report_tickets": """SELECT 'T' || o_orderkey AS ticket_id, 'E' || strftime(o_orderdate, '%Y') AS event_id,
-       'A' || o_custkey AS attendee_id, 'C' || o_custkey AS customer_id,
-       CASE o_orderstatus WHEN 'O' THEN 'Scheduled' ELSE 'ATTENDED' END AS status,
-       o_orderdate AS event_date,
-       CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
-            ELSE CAST(o_orderkey AS VARCHAR) END AS sales_order_id,
-       CAST(CASE WHEN o_totalprice < 60000 THEN 1 WHEN o_totalprice < 200000 THEN 0 END AS VARCHAR) AS is_comped,
-       CAST(CASE o_orderpriority WHEN '2-HIGH' THEN 1 WHEN '1-URGENT' THEN 0 END AS VARCHAR) AS is_walkin,
-       CASE WHEN o_orderpriority = '3-MEDIUM' AND o_orderstatus = 'P' THEN o_orderdate END AS undecided_timestamp
-FROM orders
-WHERE o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL)""",
-
-    "report_attendees": """WITH people AS (
-    SELECT o_custkey FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))
-SELECT 'A' || c_custkey AS attendee_id, 'P' || c_custkey AS person_id,
-       c_name || ' ' || c_mktsegment AS attendee_name, lower(c_name) || '@example.test' AS attendee_email,
-       CAST(NULL AS VARCHAR) AS attendee_phone,
-       CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'Vegan' END AS dietary_restrictions
-FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
-
-    "report_customers": """WITH people AS (
-    SELECT o_custkey FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))
-SELECT 'C' || c_custkey AS customer_id, c_name AS company_name, 'CV' || c_custkey AS cv_customer_id,
-       CASE WHEN c_acctbal > 8000 THEN '5 Million+' WHEN c_acctbal > 5000 THEN '2 Million +'
-            WHEN c_acctbal < 0 THEN 'To Be Determined' END AS abr,
-       CAST(c_nationkey AS VARCHAR) AS vertical,
-       CASE WHEN c_acctbal > 9000 THEN '3' WHEN c_acctbal > 7000 THEN '4' WHEN c_acctbal > 6000 THEN '9' END
-           AS customer_status
-FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
-
-    "report_employees": """SELECT DISTINCT 'Rep ' || n_name AS "EmployeeName", lower(n_name) || '@example.test' AS "Email"
-FROM nation
-UNION
-SELECT 'Rep ' || n_name, lower(n_name || '.alt') || '@example.test' FROM nation WHERE n_nationkey < 3""",
-
-    "report_customer_verticals": """WITH people AS (
-    SELECT o_custkey FROM orders
-    WHERE (o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))
-       OR (o_orderstatus = 'F' AND o_orderdate >= DATE '2001-01-01'))
-SELECT 'CV' || c_custkey AS cv_customer_id,
-       CASE WHEN c_mktsegment = 'BUILDING' THEN 'Construction' END AS vertical
-FROM customer WHERE c_custkey IN (SELECT o_custkey FROM people)""",
-
-    "report_was_undecided": """SELECT DISTINCT 'T' || event_id AS ticket_id FROM events
-WHERE event_type = 'error'
-  AND 'T' || event_id IN (
-      SELECT 'T' || o_orderkey FROM orders
-      WHERE o_orderstatus IN ('O', 'P') AND (o_orderdate >= DATE '2001-01-01' OR o_orderdate IS NULL))""",
-}
-ORACLE_SQL.update(REPORT_ORACLE_SQL)

@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
 from tessera.functions import (
-    classify_like, date_span_label, first_nonblank, is_blank, normalize_key, not_blank,
-    on_or_after, on_or_after_or_null, prefixed_key, recode, split_first_word,
-    yes_no, yes_or_null,
+    classify_like, comp_type, date_span_label, first_nonblank, normalize_key, not_blank,
+    on_or_after, on_or_after_or_null, padded_key, prefixed_key, purchase_source, recode,
+    seat_attribution, split_first_word, yes_no, yes_or_null,
 )
 from tessera.operators import (
     first_per_key, flag_pivot, hybrid_union, joined_text, key_pool, latest_per_key,
@@ -80,7 +80,7 @@ def reset_orders(tb: BenchmarkTables, *cols: str) -> DataFrame:
 def customer_name_key(custkey: Column | str) -> Column:
     """``'Customer#' + zero-padded key``: a computed (concatenated) join key."""
     c = F.col(custkey) if isinstance(custkey, str) else custkey
-    return prefixed_key(CUSTOMER_PREFIX, F.lpad(c.cast("string"), KEY_WIDTH, "0"))
+    return prefixed_key(CUSTOMER_PREFIX, padded_key(c, KEY_WIDTH))
 
 
 def _pos_chain(tb: BenchmarkTables, drivers: DataFrame) -> DataFrame:
@@ -110,11 +110,9 @@ def _source_of_purchase(tb: BenchmarkTables) -> DataFrame:
                   .groupBy("l_orderkey").agg(F.min("l_shipdate").alias("first_big_ship")))
     o = tb.read("orders", "o_orderkey", "o_orderdate", "o_orderpriority")
     j = o.join(big_ship, o["o_orderkey"] == big_ship["l_orderkey"], "left")
-    decision = (F.when(F.col("first_big_ship").isNotNull(),
-                       F.when(F.to_date("o_orderdate") == F.to_date("first_big_ship"), F.lit("POS"))
-                        .otherwise(F.lit("Concierge")))
-                 .when(F.col("o_orderpriority") == "1-URGENT", F.lit("Concierge"))
-                 .otherwise(F.lit("POS")))
+    urgent = F.coalesce(F.col("o_orderpriority") == "1-URGENT", F.lit(False))
+    decision = purchase_source(F.col("o_orderdate"), F.to_date("first_big_ship"), urgent,
+                               F.lit(None).cast("timestamp_ntz"), F.lit(False))
     return j.select("o_orderkey", decision.alias("purchase_source"))
 
 
@@ -142,13 +140,13 @@ def q_union_distinct_pool(spark, sf_dir):
 def q_semi_single(spark, sf_dir):
     tb = _tables(spark, sf_dir)
     errors = tb.read("events", "user_id", "event_type").where(F.col("event_type") == "error")
-    scoped = scope_by_keys(errors, "user_id", live_orders(tb).select("o_custkey"))
+    scoped = scope_by_keys(errors, "user_id", key_pool((live_orders(tb), "o_custkey")))
     return scoped.select("user_id").distinct()
 
 
 def q_shared_base(spark, sf_dir):
     tb = _tables(spark, sf_dir)
-    # one read of the dimension feeds every consumer
+    # one narrow relation feeds every consumer; each consumer scans it for its own columns
     base = (tb.read("customer", "c_custkey", "c_nationkey", "c_acctbal")
               .where(F.col("c_custkey").isNotNull())
               .select("c_custkey", "c_nationkey",
@@ -436,19 +434,11 @@ def q_seat_attribution(spark, sf_dir):
     synth = presence_flag(synth, ev.where(F.col("event_type") == "error"), on="o_custkey",
                           keys_on="user_id", name="was_undecided")
     j = synth.join(_source_of_purchase(tb), "o_orderkey", "inner")
-    comp = F.coalesce(F.col("is_comped"), F.lit(0)) == 1
-    no_order = is_blank("sales_order_id")
-    hr, hwu = F.col("rescheduled"), F.col("was_undecided")
-    seat = (F.when(comp & no_order & hr, F.lit("Rescheduled + Comp"))
-             .when(comp & no_order, F.lit("Comp"))
-             .when(hr & (hwu | F.col("undecided_ts").isNotNull()), F.lit("Rescheduled + Undecided"))
-             .when(hr, F.lit("Rescheduled"))
-             .when(F.col("purchase_source") == "POS", F.lit("Sales"))
-             .when(F.col("purchase_source") == "Concierge", F.lit("Undecided"))
-             .otherwise(F.lit("Sales")))
-    comp_type = (F.when(comp & F.col("sales_order_id").isNotNull(), F.lit("Comp - Sales Order"))
-                  .when(comp & F.col("sales_order_id").isNull(), F.lit("Comp - No Sales Order")))
-    return j.select("o_orderkey", seat.alias("seat_attribution"), comp_type.alias("comp_type"))
+    c = F.col
+    seat = seat_attribution(c("is_comped"), c("sales_order_id"), c("rescheduled"), c("was_undecided"),
+                            c("undecided_ts"), c("purchase_source"))
+    return j.select("o_orderkey", seat.alias("seat_attribution"),
+                    comp_type(c("is_comped"), c("sales_order_id")).alias("comp_type"))
 
 
 def q_name_split(spark, sf_dir):

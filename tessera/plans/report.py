@@ -12,9 +12,9 @@ are first left-joined with each other into one *profile* per key, at the
 grain of that key; the fact is then joined to four profiles. Re-associating
 left joins this way yields the same rows, including the fan-out of
 non-unique lookups (each fact row gets the product of its lookups'
-matches, NULLs where none). Profiles keyed like the fact's partitioning
-need no further exchange, and AQE broadcasts any profile that turns out
-small at runtime.
+matches, NULLs where none). Each of these joins shuffles the fact by
+another key, with missing and blank keys spread, unless AQE finds the
+profile small enough to broadcast at runtime.
 """
 
 from __future__ import annotations
@@ -31,9 +31,9 @@ from pyspark.sql.types import (
 from tessera import config as C
 from tessera.config import ReportConfig
 from tessera.functions import (
-    date_span_label, normalize_key, prefixed_key, recode, split_first_word, yes_no,
+    comp_type, date_span_label, normalize_key, prefixed_key, recode, split_first_word, yes_no,
 )
-from tessera.operators import hybrid_union, left_join_spread_nulls, union_all
+from tessera.operators import hybrid_union, left_join_spread, union_all
 from tessera.operators.union import conform
 from tessera.plans.datasets import ReportDatasets
 from tessera.plans.stages import stage
@@ -46,8 +46,8 @@ REPORT_COLUMNS: tuple[tuple[str, object], ...] = (
     ("Record Type", S), ("Tab Name", S), ("Seat Attribution", S), ("Product", S),
     ("Ticket Type", S), ("Room Origination - Addition Effort", S), ("Attendee Full Name", S),
     ("First Name", S), ("Last Name", S), ("Attendee Email", S), ("Phone Number", S),
-    ("Customer Email", S), ("Company Name", S), ("Date of Purchase", D),
-    ("Original Event Scheduled Date", D), ("Attendance Confirmed", S), ("Confirmed By", S),
+    ("Customer Email", S), ("Company Name", S), ("Date of Purchase", TS),
+    ("Original Event Scheduled Date", TS), ("Attendance Confirmed", S), ("Confirmed By", S),
     ("Hotel/Flight Details", S), ("Confirmation Method", S), ("Confirmation Date", D),
     ("Blast Date", D), ("Do not contact", S), ("Last Called Date", D), ("Notes", S),
     ("Dietary Restrictions", S), ("Refund Request", S), ("Price", MONEY),
@@ -55,7 +55,7 @@ REPORT_COLUMNS: tuple[tuple[str, object], ...] = (
     ("Sales Person 2 Name", S), ("Source of Purchase", S), ("Comp Type", S),
     ("DATE Selection (DNT)", TS), ("Hubspot Contact ID", L), ("Annual Business Revenue", S),
     ("Vertical", S), ("Elite Status", S), ("Vertical Summit?", S), ("Status", S),
-    ("Products Sold At the Event", S), ("10X360", S), ("First 10X360 Purchase Date", D),
+    ("Products Sold At the Event", S), ("10X360", S), ("First 10X360 Purchase Date", TS),
     ("RYB", S), ("TCV", MONEY), ("CV-CustomerID", S), ("CVPersonID", S), ("Attended", S),
     ("Is No Show", S), ("Walk-In", S), ("Registration Day 1", S), ("Registration Day 2", S),
     ("Registration Day 3", S), ("10X Vertical Summit", S), ("Ticket ID", S),
@@ -89,12 +89,6 @@ def _vertical(col: F.Column) -> F.Column:
     return recode(col, C.VERTICAL_RECODE)
 
 
-def _comp_type(is_comped: str, sales_order_id: str) -> F.Column:
-    comp = F.coalesce(F.col(is_comped), F.lit(0)) == 1
-    return (F.when(comp & F.col(sales_order_id).isNotNull(), F.lit("Comp - Sales Order"))
-             .when(comp & F.col(sales_order_id).isNull(), F.lit("Comp - No Sales Order")))
-
-
 class Report:
     """Builds the report's branches from a source catalog."""
 
@@ -103,8 +97,8 @@ class Report:
         self.ds = ReportDatasets(sources, self.cfg)
         self.src = sources
 
-    def _stage(self, df: DataFrame) -> DataFrame:
-        return stage(df, self.cfg.materialize, self.ds._kept)
+    def _stage(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, self.cfg.materialize, self.ds._kept, name)
 
     # ------------------------------------------------------------------
     # profiles: lookups pre-joined at the grain of their key
@@ -118,14 +112,14 @@ class Report:
                 .join(ds.dim_customer.withColumnRenamed("vertical", "dc_vertical"), "cv_customer_id", "left")
                 .join(ds.hubspot_abr, "cv_customer_id", "left")
                 .join(ds.ryb_purchases, "cv_customer_id", "left")
-                .join(ds.is_10x360, "cv_customer_id", "left"))
+                .join(ds.is_10x360, "cv_customer_id", "left"), "cv-profile")
 
     @cached_property
     def customer_profile(self) -> DataFrame:
         """customer_id -> scoped customer columns + its cv profile."""
         c = self.ds.customers
         cvp = self.cv_profile.withColumnRenamed("cv_customer_id", "p_cv_customer_id")
-        return c.join(cvp, c["cv_customer_id"] == cvp["p_cv_customer_id"], "left").drop("p_cv_customer_id")
+        return left_join_spread(c, cvp, "cv_customer_id", "customer_id", dim_key="p_cv_customer_id")
 
     @cached_property
     def sales_order_profile(self) -> DataFrame:
@@ -138,13 +132,13 @@ class Report:
             F.col("TransactionDisplayName").alias("so_display_name"), "SalesRepName", "SalesRep2Name")
         e1 = ds.dim_employee.select(F.col("EmployeeName").alias("e1_name"), F.col("Email").alias("rep1_email"))
         e2 = ds.dim_employee.select(F.col("EmployeeName").alias("e2_name"), F.col("Email").alias("rep2_email"))
-        return self._stage(keys
-                .join(ds.refunds, "sales_order_id", "left")
-                .join(ds.ticket_transactions, "sales_order_id", "left")
-                .join(nsr, "so_display_name", "left")
-                .join(e1, F.col("SalesRepName") == e1["e1_name"], "left")
-                .join(e2, F.col("SalesRep2Name") == e2["e2_name"], "left")
-                .drop("so_display_name", "e1_name", "e2_name"))
+        j = (keys.join(ds.refunds, "sales_order_id", "left")
+                 .join(ds.ticket_transactions, "sales_order_id", "left")
+                 .join(nsr, "so_display_name", "left"))
+        # most orders have no second representative: NULL names are spread
+        j = left_join_spread(j, e1, "SalesRepName", "sales_order_id", dim_key="e1_name")
+        j = left_join_spread(j, e2, "SalesRep2Name", "sales_order_id", dim_key="e2_name")
+        return self._stage(j.drop("so_display_name"), "order-profile")
 
     @cached_property
     def attendee_profile(self) -> DataFrame:
@@ -153,9 +147,9 @@ class Report:
         a = ds.attendees
         hp = ds.hubspot_person.select(F.col("CVPersonID").alias("hp_person_id"), F.col("ContactID").alias("hp_contact_id"))
         he = ds.hubspot_email.select(F.col("Email").alias("he_email"), F.col("ContactID").alias("he_contact_id"))
-        return (a.join(hp, a["person_id"] == hp["hp_person_id"], "left")
-                 .join(he, normalize_key(a["attendee_email"], "lcase") == he["he_email"], "left")
-                 .drop("hp_person_id", "he_email"))
+        a = a.withColumn("a_email", normalize_key(F.col("attendee_email"), "lcase"))
+        j = left_join_spread(a, hp, "person_id", "attendee_id", dim_key="hp_person_id")
+        return left_join_spread(j, he, "a_email", "attendee_id", dim_key="he_email").drop("a_email")
 
     @cached_property
     def ticket_profile(self) -> DataFrame:
@@ -196,7 +190,7 @@ class Report:
         cp = self._prefixed(self.customer_profile, "c_", "customer_id")
         j = t
         for profile, key in ((tp, "ticket_id"), (so, "sales_order_id"), (ap, "attendee_id"), (cp, "customer_id")):
-            j = left_join_spread_nulls(j, profile, key, spread_by="ticket_id")
+            j = left_join_spread(j, profile, key, spread_by="ticket_id")
         first, rest = split_first_word(F.col("a_attendee_name"))
         cols = [
             F.lit("Active"),
@@ -216,7 +210,7 @@ class Report:
             F.col("so_rep1_email"), F.col("so_SalesRepName"),
             F.col("so_rep2_email"), F.col("so_SalesRep2Name"),
             F.col("tp_source_of_purchase"),
-            _comp_type("is_comped", "sales_order_id"),
+            comp_type(F.col("is_comped"), F.col("sales_order_id")),
             F.col("event_date"),
             F.coalesce(F.col("a_hp_contact_id"), F.col("a_he_contact_id")),
             _abr(F.coalesce(F.col("c_annual_business_revenue"), F.col("c_abr"))),
@@ -247,7 +241,7 @@ class Report:
         j = r.withColumn("he_email", normalize_key(F.col("attendee_email"), "lcase"))
         for profile, key in ((tp, "ticket_id"), (so, "sales_order_id"), (a2, "attendee_id"), (c2, "customer_id"),
                              (cvp, "cv_customer_id"), (he, "he_email")):
-            j = left_join_spread_nulls(j, profile, key, spread_by="ticket_id")
+            j = left_join_spread(j, profile, key, spread_by="ticket_id")
         first, rest = split_first_word(F.col("attendee_name"))
         cols = [
             F.lit("No Show Reset"),
@@ -267,7 +261,7 @@ class Report:
             F.col("so_rep1_email"), F.col("so_SalesRepName"),
             F.col("so_rep2_email"), F.col("so_SalesRep2Name"),
             _null(S),
-            _comp_type("is_comped", "sales_order_id"),
+            comp_type(F.col("is_comped"), F.col("sales_order_id")),
             F.col("event_date"),
             F.col("he_contact_id"),
             _abr(F.coalesce(F.col("cv_annual_business_revenue"), F.col("c_abr"))),
@@ -286,8 +280,12 @@ class Report:
     def history(self) -> DataFrame | None:
         return self.src.history()
 
+    def duplicates(self) -> DataFrame:
+        """Keys that multiply rows of the report; see :meth:`ReportDatasets.duplicates`."""
+        return self.ds.duplicates()
+
     def release(self) -> None:
-        """Unpersist the cached live drivers once the report has been written."""
+        """Unpersist the cached stages once the report has been written."""
         self.ds.release()
 
     def live(self) -> DataFrame:

@@ -1,139 +1,105 @@
-"""The full report as registered queries over the benchmark tables."""
+"""The full report and its datasets as registered queries over the benchmark tables.
+
+Every query runs the report's own code. Casts here are for the comparison
+with the DuckDB twins alone: dates as timestamps, nullable numbers as text
+and money as double on both sides.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DecimalType
 
-from tessera.plans.report import Report
+from tessera.operators import hybrid_union
+from tessera.plans.datasets import ReportDatasets
+from tessera.plans.report import DATE_COL, REPORT_SCHEMA, Report
 from tessera.sources.benchmark_roles import BENCHMARK_CONFIG, benchmark_catalog
 
+NULLABLE_NUMBERS = ("is_comped", "is_walkin", "HubspotContactID")
 
-def q_attendee_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both live branches (active tickets + no-show resets), 55 columns, sorted."""
-    return Report(benchmark_catalog(spark, sf_dir), BENCHMARK_CONFIG).build()
-
-
-def _datasets(spark: SparkSession, sf_dir: str):
-    return Report(benchmark_catalog(spark, sf_dir), BENCHMARK_CONFIG).ds
-
-
-def q_report_ticket_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B13 of the report: first transaction date per live sales order."""
-    ds = _datasets(spark, sf_dir).ticket_transactions
-    return ds.select("sales_order_id", F.col("date_of_purchase").cast("timestamp_ntz").alias("date_of_purchase"))
-
-
-def q_report_refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B11 of the report: 'Yes - ' + refund reasons per live sales order."""
-    return _datasets(spark, sf_dir).refunds
-
-
-def q_report_ticket_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B12 of the report: a live ticket's notes (whole texts) joined by ' | '."""
-    return _datasets(spark, sf_dir).ticket_notes
-
-
-def q_report_pos_event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B20-B21 of the report: earliest POS event start per ticket over both drivers."""
-    ds = _datasets(spark, sf_dir).pos_original_event_dedup
-    return ds.select("ticket_id", F.col("original_event_date").cast("timestamp_ntz").alias("original_event_date"))
 
+def comparable(df: DataFrame) -> DataFrame:
+    def cast(f):
+        if isinstance(f.dataType, DateType):
+            return F.col(f"`{f.name}`").cast("timestamp_ntz").alias(f.name)
+        if isinstance(f.dataType, DecimalType):
+            return F.col(f"`{f.name}`").cast("double").alias(f.name)
+        return F.col(f"`{f.name}`").cast("string").alias(f.name) if f.name in NULLABLE_NUMBERS else F.col(f"`{f.name}`")
 
-def q_report_confirmed_by(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B19 of the report: user of the latest confirmation change per live ticket."""
-    return _datasets(spark, sf_dir).confirmed_by
+    return df.select(*[cast(f) for f in df.schema.fields])
 
 
-def q_report_contact_by_email(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B18 of the report: latest CRM contact per lower-cased email in use."""
-    return _datasets(spark, sf_dir).hubspot_email
+def _report(spark: SparkSession, sf_dir: str) -> Report:
+    return Report(benchmark_catalog(spark, sf_dir), BENCHMARK_CONFIG)
 
 
-def q_report_rescheduled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B22 of the report: live tickets with an assign/unassign change, both values set."""
-    return _datasets(spark, sf_dir).history_rescheduled
-
-
-def q_report_contact_by_person(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B17 of the report: latest CRM contact per person id in use."""
-    return _datasets(spark, sf_dir).hubspot_person
-
-
-def q_report_ryb_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B09 of the report: item of each customer's latest qualifying ERP line."""
-    return _datasets(spark, sf_dir).ryb_purchases
-
-
-def q_report_sales_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B14 of the report: independent max rep 1 / max rep 2 / min id per live sales order."""
-    return _datasets(spark, sf_dir).netsuite
-
-
-def q_report_business_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B08 of the report: owner contact's revenue (latest, if not blank) else the dimension's."""
-    return _datasets(spark, sf_dir).hubspot_abr
-
-
-def q_report_first_purchase_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B10 of the report: distinct (customer, flag, first purchase date)."""
-    ds = _datasets(spark, sf_dir).is_10x360
-    return ds.select("cv_customer_id", "is_10x360_flag",
-                     F.col("first_10x360_purchase_date").cast("timestamp_ntz").alias("first_10x360_purchase_date"))
-
+def q_attendee_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three parts (stored history, active tickets, no-show resets), 55 columns, sorted."""
+    return comparable(_report(spark, sf_dir).build())
 
-def q_report_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B01 of the report: live tickets (type-stable columns)."""
-    # the nullable 0/1 flags are emitted as text so both engines hand over one type
-    return _datasets(spark, sf_dir).tickets.select(
-        "ticket_id", "event_id", "attendee_id", "customer_id", "status", "event_date",
-        "sales_order_id", F.col("is_comped").cast("string").alias("is_comped"),
-        F.col("is_walkin").cast("string").alias("is_walkin"), "undecided_timestamp")
 
+def q_report_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows dated before the cutoff."""
+    history = _report(spark, sf_dir).history()
+    return comparable(hybrid_union(history, [], REPORT_SCHEMA, BENCHMARK_CONFIG.cutoff, DATE_COL))
 
-def q_report_attendees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B02 of the report: attendees used by a live ticket or reset."""
-    return _datasets(spark, sf_dir).attendees
 
+def q_report_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The active branch."""
+    return comparable(_report(spark, sf_dir).active)
 
-def q_report_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B03 of the report: customers used by a live ticket or reset, renamed."""
-    return _datasets(spark, sf_dir).customers
 
+def q_report_no_show(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The no-show branch."""
+    return comparable(_report(spark, sf_dir).no_show)
 
-def q_report_employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B16 of the report: distinct (employee, email) with an email."""
-    return _datasets(spark, sf_dir).dim_employee
 
+def _dataset(name: str, *columns: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A query of one of the report's datasets (all its columns, or the named ones)."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = getattr(_report(spark, sf_dir).ds, name)
+        return comparable(df.select(*columns) if columns else df)
 
-def q_report_customer_verticals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B05 of the report: (customer, vertical) rows of the scoped customer dimension."""
-    return _datasets(spark, sf_dir).dim_customer
+    query.__doc__ = getattr(ReportDatasets, name).__doc__
+    return query
 
 
-def q_report_was_undecided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """B23 of the report: live tickets that were once set to undecided."""
-    return _datasets(spark, sf_dir).history_was_undecided
+def q_report_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that multiply rows of the report."""
+    return _report(spark, sf_dir).duplicates()
 
 
 REPORT_QUERIES = {
     "attendee_report": q_attendee_report,
-    "report_ticket_transactions": q_report_ticket_transactions,
-    "report_refunds": q_report_refunds,
-    "report_ticket_notes": q_report_ticket_notes,
-    "report_pos_event_dates": q_report_pos_event_dates,
-    "report_confirmed_by": q_report_confirmed_by,
-    "report_contact_by_email": q_report_contact_by_email,
-    "report_rescheduled": q_report_rescheduled,
-    "report_contact_by_person": q_report_contact_by_person,
-    "report_ryb_purchases": q_report_ryb_purchases,
-    "report_sales_reps": q_report_sales_reps,
-    "report_business_revenue": q_report_business_revenue,
-    "report_first_purchase_flag": q_report_first_purchase_flag,
-    "report_tickets": q_report_tickets,
-    "report_attendees": q_report_attendees,
-    "report_customers": q_report_customers,
-    "report_employees": q_report_employees,
-    "report_customer_verticals": q_report_customer_verticals,
-    "report_was_undecided": q_report_was_undecided,
+    "report_history": q_report_history,
+    "report_active": q_report_active,
+    "report_no_show": q_report_no_show,
+    "report_tickets": _dataset("tickets", "ticket_id", "event_id", "attendee_id", "customer_id", "status", "event_date",
+                               "sales_order_id", "is_comped", "is_walkin", "undecided_timestamp"),
+    "report_attendees": _dataset("attendees"),
+    "report_customers": _dataset("customers"),
+    "report_customer_verticals": _dataset("dim_customer"),
+    "report_sessions": _dataset("sessions"),
+    "report_checkins": _dataset("session_checkins"),
+    "report_business_revenue": _dataset("hubspot_abr"),
+    "report_ryb_purchases": _dataset("ryb_purchases"),
+    "report_first_purchase_flag": _dataset("is_10x360"),
+    "report_refunds": _dataset("refunds"),
+    "report_ticket_notes": _dataset("ticket_notes"),
+    "report_ticket_transactions": _dataset("ticket_transactions"),
+    "report_sales_reps": _dataset("netsuite"),
+    "report_rep_names": _dataset("netsuite_names"),
+    "report_employees": _dataset("dim_employee"),
+    "report_contact_by_person": _dataset("hubspot_person"),
+    "report_contact_by_email": _dataset("hubspot_email"),
+    "report_confirmed_by": _dataset("confirmed_by"),
+    "report_pos_event_dates": _dataset("pos_original_event_dedup"),
+    "report_rescheduled": _dataset("history_rescheduled"),
+    "report_was_undecided": _dataset("history_was_undecided"),
+    "report_purchase_source": _dataset("source_of_purchase"),
+    "report_seat_attribution": _dataset("seat_attribution"),
+    "report_duplicate_keys": q_report_duplicate_keys,
 }

@@ -1,17 +1,19 @@
-"""Materializing shared stages of the report.
+"""Materializing relations that several steps of the report read.
 
-The report is a DAG: the live drivers, the per-ticket flags and the key
-profiles are each read by several later steps. Left inline, every reader
-embeds (and re-executes) the whole sub-plan. A *stage* is computed once:
+The report is a DAG: the live drivers, the scoped dimensions, the ticket's
+history and flags and the key profiles each have several readers. Left
+inline, every reader embeds (and re-executes) the whole sub-plan. A *stage*
+is computed once, when the plan that needs it is built:
 
-- ``checkpoint``: written to the shared folder named by
-  ``spark.checkpoint.dir`` and read back - the lineage is cut, so a lost
-  executor costs only the current stage, and later plans stay small;
+- ``table``: written as Parquet to the shared folder named by
+  ``spark.checkpoint.dir`` and read back. The lineage is cut, so a lost
+  executor costs only its running tasks, later plans stay small, and each
+  reader still prunes columns;
 - ``persist``: cached in executor memory, spilling to local disk; lost
-  blocks are recomputed from lineage;
-- ``none``: inline.
+  blocks are recomputed from lineage (lazy: filled by the first reader);
+- ``none``: inline, nothing runs before an action on the report.
 
-``auto`` checkpoints when the session names a checkpoint folder and
+``auto`` writes tables when the session names a checkpoint folder and
 persists otherwise (a machine-local folder is never chosen here).
 """
 
@@ -20,32 +22,20 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-MODES = ("auto", "checkpoint", "persist", "none")
+from tessera.session import checkpoint_dir
+from tessera.sources.sink import materialize
 
+MODES = ("auto", "table", "persist", "none")
 
-def _has_checkpoint_dir(df: DataFrame) -> bool:
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return True
-    return spark.sparkContext.getCheckpointDir() is not None
 
-
-def stage(df: DataFrame, mode: str = "auto", kept: list | None = None) -> DataFrame:
+def stage(df: DataFrame, mode: str = "auto", kept: list | None = None, name: str = "stage") -> DataFrame:
     """Return ``df`` materialized according to ``mode``."""
     if mode not in MODES:
         raise ValueError(f"materialize mode must be one of {MODES}")
     if mode == "auto":
-        mode = "checkpoint" if _has_checkpoint_dir(df) else "persist"
-    if mode == "checkpoint":
-        from tessera.session import checkpoint_dir
-
-        checkpoint_dir(df.sparkSession)
-        # cached first so the checkpoint write reads the computed blocks
-        # instead of running the plan a second time
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out = cached.checkpoint(eager=True)
-        cached.unpersist()
-        return out
+        mode = "table" if checkpoint_dir(df.sparkSession) else "persist"
+    if mode == "table":
+        return materialize(df.sparkSession, df, name)
     if mode == "persist":
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
         if kept is not None:

@@ -79,7 +79,7 @@ CUSTOMERS = [
 ]
 
 DIM_CUSTOMER = [
-    ("CV1", 501, "Roofing", "5 Million+", D(2024, 1, 1)),
+    ("CV1", 501, "Roofing", "5 Million+", ts(2024, 1, 1)),
     ("CV2", 502, "Retail", "8", None),
     ("CV2", 502, "Retail2", "8", None),           # duplicated key: fans out
     (None, 503, "Ghost", None, None),
@@ -99,14 +99,14 @@ SILVER_CONTACTS = [
 SILVER_TRANSACTION = [
     # EntityID, ItemName, TransactionDate, SubsidiaryID, TransactionType, TransactionDisplayName,
     # SalesRepName, SalesRep2Name, TransactionID, TransactionLineID
-    (501, "RYB Kit", D(2026, 1, 5), 11, "Sales Order", "Sales Order #1001", "Zed Rep", "Amy Rep", 9001, 1),
-    (501, "RYB Pro", D(2026, 3, 5), 11, "Cash Sale", "Cash Sale #77", None, None, 9002, 1),
-    (501, "RYB Old", D(2026, 5, 1), 12, "Sales Order", "Sales Order #55", None, None, 9010, 1),
-    (501, "Book", D(2026, 6, 1), 11, "Sales Order", "Sales Order #56", None, None, 9011, 1),
-    (None, "Other", D(2026, 1, 1), 11, "Sales Order", "Sales Order #1001", "Bob Rep", "Zoe Rep", 9003, 2),
-    (None, None, D(2026, 1, 1), 11, "Sales Order", "Sales Order #1001", None, None, 9000, 0),
-    (None, None, D(2026, 1, 1), 11, "Sales Order", "Sales Order #1002", None, None, 9100, 0),
-    (None, None, D(2026, 1, 1), 11, "Invoice", "Sales Order #1002", "Inv Rep", None, 9101, 3),
+    (501, "RYB Kit", ts(2026, 1, 5), 11, "Sales Order", "Sales Order #1001", "Zed Rep", "Amy Rep", 9001, 1),
+    (501, "RYB Pro", ts(2026, 3, 5), 11, "Cash Sale", "Cash Sale #77", None, None, 9002, 1),
+    (501, "RYB Old", ts(2026, 5, 1), 12, "Sales Order", "Sales Order #55", None, None, 9010, 1),
+    (501, "Book", ts(2026, 6, 1), 11, "Sales Order", "Sales Order #56", None, None, 9011, 1),
+    (None, "Other", ts(2026, 1, 1), 11, "Sales Order", "Sales Order #1001", "Bob Rep", "Zoe Rep", 9003, 2),
+    (None, None, ts(2026, 1, 1), 11, "Sales Order", "Sales Order #1001", None, None, 9000, 0),
+    (None, None, ts(2026, 1, 1), 11, "Sales Order", "Sales Order #1002", None, None, 9100, 0),
+    (None, None, ts(2026, 1, 1), 11, "Invoice", "Sales Order #1002", "Inv Rep", None, 9101, 3),
 ]
 
 BRONZE_ORDERS = [("O1", "9000"), ("O2", "9100"), ("O3", "9999")]
@@ -115,7 +115,7 @@ BRONZE_ORDER_EVENTS = [
     ("O1", "Other Event", "EV2"),
     ("O2", "Elite Edge December", "EV3"),
 ]
-SILVER_EVENTS = [("EV1", D(2026, 8, 11)), ("EV2", D(2026, 1, 1)), ("EV3", D(2026, 12, 1))]
+SILVER_EVENTS = [("EV1", ts(2026, 8, 11)), ("EV2", ts(2026, 1, 1)), ("EV3", ts(2026, 12, 1))]
 
 DIM_EMPLOYEE = [
     ("Zed Rep", "zed@x.test"),
@@ -126,11 +126,11 @@ DIM_EMPLOYEE = [
 
 TRANSACTIONS = [
     # sales_order_id, refund_reason, refund_amount, transaction_date
-    ("1001", "Late", Decimal("10.00"), D(2026, 7, 1)),
-    ("1001", "Dup", Decimal("5.00"), D(2026, 6, 1)),
-    ("1001", None, Decimal("0.00"), D(2026, 5, 1)),
-    ("1002", None, Decimal("3.00"), D(2026, 7, 2)),
-    ("9999", "x", Decimal("1.00"), D(2020, 1, 1)),
+    ("1001", "Late", Decimal("10.00"), ts(2026, 7, 1)),
+    ("1001", "Dup", Decimal("5.00"), ts(2026, 6, 1)),
+    ("1001", None, Decimal("0.00"), ts(2026, 5, 1)),
+    ("1002", None, Decimal("3.00"), ts(2026, 7, 2)),
+    ("9999", "x", Decimal("1.00"), ts(2020, 1, 1)),
 ]
 
 NOTES = [
@@ -200,4 +200,5 @@ SOURCES = {
     "bronze_OrdersFULL": BRONZE_ORDERS,
     "bronze_OrdersSelectedEventsFULL": BRONZE_ORDER_EVENTS,
     "silver_Events": SILVER_EVENTS,
+    "rep_aliases": REP_ALIASES,
 }

@@ -68,8 +68,8 @@ def test_active_ticket_values(report_rows):
     assert r["SourceofPurchase"] == "POS"          # POS event date equals the ticket date
     assert r["RoomOriginationAdditionEffort"] == "Roofing Founders Summit, Vertical Summit"
     assert (r["FirstName"], r["LastName"]) == ("John", "Smith")
-    assert r["DateofPurchase"] == dt.date(2026, 5, 1)   # min over all transactions, refund or not
-    assert r["OriginalEventScheduledDate"] == dt.date(2026, 8, 11)
+    assert r["DateofPurchase"] == dt.datetime(2026, 5, 1)   # min over all transactions, refund or not
+    assert r["OriginalEventScheduledDate"] == dt.datetime(2026, 8, 11)
     assert r["ConfirmedBy"] == "alice"                   # System and NULL users excluded
     assert r["Notes"] == "Also VIP | Call back"          # system notes and NULL excluded
     assert r["RefundRequest"] == "Yes - Dup; Late"
@@ -81,7 +81,7 @@ def test_active_ticket_values(report_rows):
     assert r["AnnualBusinessRevenue"] == "$5 Million+"   # blank owner revenue falls back to the dimension
     assert r["Vertical"] == "Roofing"
     assert r["EliteStatus"] == "E125"
-    assert r["10X360"] == "Yes" and r["First10X360PurchaseDate"] == dt.date(2024, 1, 1)
+    assert r["10X360"] == "Yes" and r["First10X360PurchaseDate"] == dt.datetime(2024, 1, 1)
     assert r["RYB"] == "RYB Pro"                         # latest qualifying line
     assert r["CVCustomerID"] == "CV1" and r["CVPersonID"] == "P1"
     assert (r["Attended"], r["IsNoShow"], r["WalkIn"]) == ("No", "No", "Yes")
@@ -124,7 +124,7 @@ def test_no_show_values(report_rows):
     assert (r1["FirstName"], r1["LastName"]) == ("Mary", "Ann Smith")
     assert r1["CompanyName"] == "Acme Reset" and r1["ConfirmedBy"] == "carol"
     assert r1["Notes"] == "Also VIP | Call back"                 # shares the ticket id with T1
-    assert r1["OriginalEventScheduledDate"] == dt.date(2026, 8, 11)
+    assert r1["OriginalEventScheduledDate"] == dt.datetime(2026, 8, 11)
     assert r1["HubspotContactID"] is None                        # email lookup only
     assert r1["EliteStatus"] == "E125" and r1["Status"] == "no show"
     assert r1["Vertical"] == "Roofing"
@@ -184,7 +184,7 @@ def test_hybrid_history_plus_live_equals_earlier_live(spark, fixture_sources):
     earlier_live = Report(fixture_sources, early).live()
     scratch = tempfile.mkdtemp(prefix="tessera-hist-")
     path = os.path.join(scratch, "history")
-    write_history(earlier_live, path, "DATESelectionDNT")
+    write_history(earlier_live, path, "DATESelectionDNT", roll="2026-08-11")
     history = read_history(spark, path, before=dt.date(2026, 8, 11))
     src = SourceCatalog(spark, frames=fixture_sources.frames, history=history)
     hybrid = Report(src).build(sort=False)
@@ -211,7 +211,7 @@ def test_history_without_matching_columns_is_rejected(spark, fixture_sources):
 
 @pytest.mark.parametrize("mode", ["none", "persist"])
 def test_stage_modes_give_the_same_report(spark, fixture_sources, report_rows, mode):
-    """The default run here checkpoints stages (tests set a checkpoint folder)."""
+    """The default run here writes stages as tables (tests set a checkpoint folder)."""
     rep = Report(fixture_sources, ReportConfig(materialize=mode))
     rows = rows_of(rep.build())
     rep.release()
@@ -219,17 +219,95 @@ def test_stage_modes_give_the_same_report(spark, fixture_sources, report_rows, m
     assert key(rows) == key(report_rows)
 
 
-def test_checkpoint_stage_cuts_lineage(spark, fixture_sources):
+def test_written_stage_cuts_lineage_and_prunes_columns(spark, fixture_sources):
     from tessera.plans.stages import stage
 
     df = Report(fixture_sources).ds.tickets
-    cut = stage(df.where("status IS NOT NULL"), "checkpoint")
-    plan = cut._jdf.queryExecution().analyzed().toString()
-    assert "LogicalRDD" in plan and "Filter" not in plan
+    cut = stage(df.where("status IS NOT NULL"), "table")
+    plan = cut.select("ticket_id")._jdf.queryExecution().executedPlan().toString()
+    assert "Filter (" not in plan and "ReadSchema: struct<ticket_id:string>" in plan
     with pytest.raises(ValueError):
         stage(df, "sometimes")
 
 
+def test_each_source_is_read_once(spark, fixture_sources):
+    """Every job of the staged report together: one scan of the customer dimension and of the change log."""
+    import uuid
+
+    root = f"{spark.sparkContext.getCheckpointDir()}/sources-{uuid.uuid4().hex}"
+    frames = {}
+    for name, frame in fixture_sources.frames.items():
+        frame.write.parquet(f"{root}/{name}")
+        frames[name] = spark.read.parquet(f"{root}/{name}")
+    reads = Counter()
+
+    def count(df):
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for k in range(leaves.size()):
+            leaf = leaves.apply(k)
+            if leaf.getClass().getSimpleName() == "LogicalRelation":
+                reads.update(p.rsplit("/", 1)[1] for p in leaf.relation().location().rootPaths().mkString(",").split(","))
+
+    import tessera.plans.stages as stages
+
+    real = stages.materialize
+
+    def counted(session, df, name):
+        count(df)
+        return real(session, df, name)
+
+    stages.materialize = counted
+    try:
+        count(Report(SourceCatalog(spark, frames=frames), ReportConfig()).build())
+    finally:
+        stages.materialize = real
+    for name in ("DimCustomer", "history", "silver_Companies", "transactions", "notes", "attendees", "customers", "tickets"):
+        assert reads[name] == 1, (name, reads)
+    assert reads["silver_Transaction"] == 2     # by sales order, and by customer for the latest RYB line
+
+
+@pytest.mark.parametrize("key_mode, rows", [("binary_rtrim", 2), ("binary", 0)])
+def test_trailing_blanks_of_keys(spark, key_mode, rows):
+    from report_fixture import SOURCES
+
+    tickets = [t if t[0] != "T1" else ("T1", "E1", "A1 ", "C1  ") + t[4:6] + ("Attended ",) + t[7:] for t in SOURCES["tickets"]]
+    customers = [c if c[0] != "C1" else c[:5] + ("3 ",) for c in SOURCES["customers"]]
+    src = SourceCatalog(spark, frames=frames_from_rows(spark, dict(SOURCES, tickets=tickets, customers=customers)))
+    t1 = [r for r in rows_of(Report(src, ReportConfig(key_mode=key_mode)).build(sort=False))
+          if r["TicketID"] == "T1" and r["RecordType"] == "Active"]
+    assert len(t1) == rows
+    assert all(r["EliteStatus"] == "E125" and r["AttendeeFullName"] == "John Smith" and r["Attended"] == "Yes" for r in t1)
+
+
+def test_time_of_day_counts(spark):
+    from report_fixture import SOURCES
+
+    at = dt.datetime(2026, 8, 11, 9)
+    events = [e if e[0] != "EV1" else ("EV1", at) for e in SOURCES["silver_Events"]]
+    later = [(501, "RYB Late", dt.datetime(2026, 3, 5, 18), 11, "Cash Sale", "Cash Sale #78", None, None, 8000, 1)]
+    src = SourceCatalog(spark, frames=frames_from_rows(spark, dict(
+        SOURCES, silver_Events=events, silver_Transaction=SOURCES["silver_Transaction"] + later)))
+    t1 = [r for r in rows_of(Report(src).build(sort=False)) if r["TicketID"] == "T1" and r["RecordType"] == "Active"]
+    assert {r["SourceofPurchase"] for r in t1} == {"Concierge"}   # a start at 09:00 is not the day itself
+    assert {r["OriginalEventScheduledDate"] for r in t1} == {at}
+    assert {r["RYB"] for r in t1} == {"RYB Late"}                 # the later line of the same day
+
+
+def test_rep_aliases_are_required(spark):
+    from report_fixture import SOURCES
+
+    tables = {k: v for k, v in SOURCES.items() if k != "rep_aliases"}
+    src = SourceCatalog(spark, frames=frames_from_rows(spark, tables))
+    with pytest.raises(KeyError, match="rep_aliases"):
+        Report(src).build()
+    assert Report(src, ReportConfig(rep_aliases=())).build().count() == 11
+
+
+def test_duplicate_keys_are_reported(fixture_sources):
+    found = {(r["dataset"], r["key"]): r["rows"] for r in Report(fixture_sources).duplicates().collect()}
+    assert found == {("dim_customer", "CV2"): 2, ("hubspot_abr", "CV2"): 2, ("dim_employee", "Zed Rep"): 2}
+
+
 @pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="no sf0.01 data")
 def test_scoping_is_exact_on_benchmark_sources(spark):
     from tessera.sources.benchmark_roles import BENCHMARK_CONFIG, benchmark_catalog
@@ -261,8 +339,11 @@ def test_job_entry_point_writes_report_and_rolls_history(spark, fixture_sources)
         df.write.parquet(os.path.join(root, "sources", name))
     hist, out = os.path.join(root, "history"), os.path.join(root, "out")
     # first run: no history yet; roll the live rows before 2026-09-01 into it
-    assert main(["--sources", os.path.join(root, "sources"), "--out", out, "--history", hist,
-                 "--append-history", "--roll-to", "2026-09-01"]) == 0
+    first_run = ["--sources", os.path.join(root, "sources"), "--out", out, "--history", hist, "--first-run",
+                 "--append-history", "--roll-to", "2026-09-01", "--duplicates-out", os.path.join(root, "dup")]
+    assert main(first_run) == 0
+    assert main(first_run) == 0                     # run twice: the same history
+    assert spark.read.parquet(os.path.join(root, "dup")).count() == 3
     first = spark.read.parquet(out)
     assert first.count() == 11
     rolled = read_history(spark, hist)
@@ -275,3 +356,27 @@ def test_job_entry_point_writes_report_and_rolls_history(spark, fixture_sources)
     assert second.columns[33] == "DATE Selection (DNT)"
     key = lambda rows: Counter(tuple(str(v) for v in r) for r in rows)
     assert key(second.collect()) == key(first.collect())
+
+
+def test_job_refuses_a_history_it_cannot_read(spark, fixture_sources):
+    from pyspark.errors import AnalysisException
+
+    from tessera.__main__ import main
+
+    root = tempfile.mkdtemp(prefix="tessera-job-")
+    for name, df in fixture_sources.frames.items():
+        df.write.parquet(os.path.join(root, "sources", name))
+    out = os.path.join(root, "out")
+    base = ["--sources", os.path.join(root, "sources"), "--out", out]
+    with pytest.raises(AnalysisException):
+        main([*base, "--history", os.path.join(root, "no_such_folder")])
+    with pytest.raises(SystemExit):
+        main([*base, "--append-history", "--roll-to", "2026-09-01"])
+    with pytest.raises(SystemExit):
+        main([*base, "--first-run"])
+    assert not os.path.exists(out)
+    # a plain folder, not partitioned by month, is a history like any other
+    plain = os.path.join(root, "plain")
+    Report(fixture_sources, ReportConfig(cutoff=dt.date(2026, 1, 1))).live().write.parquet(plain)
+    assert main([*base, "--history", plain]) == 0
+    assert {"T4", "R4"} <= {r["TicketID"] for r in spark.read.parquet(out).collect()}
