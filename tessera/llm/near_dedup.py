@@ -149,11 +149,8 @@ def _sets(rows: DataFrame, words: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those ``pairs`` (hub, node) whose full sets are similar enough."""
-    portions = F.ceil(F.col("members") / PORTION)
-    hubs = (pairs.groupBy("hub").agg(F.count("*").alias("members"))
-            .join(sets.select(F.col("node").alias("hub"), F.col("hashes").alias("hub_set")), "hub")
-            .withColumn("portions", portions.cast("long")))
-    sizes = hubs.select("hub", "portions")
+    sizes = materialize(pairs.groupBy("hub").agg(F.ceil(F.count("*") / PORTION).alias("portions")), "sizes")
+    hubs = sizes.join(sets.select(F.col("node").alias("hub"), F.col("hashes").alias("hub_set")), "hub")
     dealt = (pairs.join(sizes, "hub")
              .withColumn("portion", F.pmod(F.xxhash64("node"), F.col("portions")))
              .select("hub", "portion", "node").join(sets.select("node", "hashes"), "node"))
@@ -179,7 +176,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         near = (both.join(labels.withColumnRenamed("node", "b"), "b")
                 .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near")))
-        step = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("next"))
+        step = materialize(labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("next")), "step")
         jump = step.select(F.col("node").alias("next"), F.col("next").alias("far"))
         new = materialize(step.join(jump, "next", "left")
                           .select("node", "comp", F.least("next", F.coalesce("far", "next")).alias("new")), "labels")
@@ -192,7 +189,10 @@ def _linked_nodes(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -
     """``node, comp`` for the nodes that have a link."""
     spark = nodes.sparkSession
     bands = nodes.select("node", F.explode("bands").alias("key"))
-    hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("m")).where("m > 1").drop("m")
+    # Here and below, the grouped side of a join is written first: then both
+    # sides are shuffled for the join, and a hot key can be split at runtime.
+    hubs = materialize(bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("m"))
+                       .where("m > 1").drop("m"), "hubs")
     members = materialize(bands.join(hubs, "key").where("node <> hub").select("key", "hub", "node"), "members")
 
     # sets of the nodes that some bucket holds together with another
@@ -276,7 +276,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = materialize(rows.select("rid", "id", "sha", "n", "digest").join(named, "digest", "left")
                          .select("rid", "id", "sha", "n", F.coalesce("comp", "rid").alias("comp")), "placed")
     # a null id is last, so it names a component and is kept only if no row has an id
-    first = placed.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("f"))
+    first = materialize(
+        placed.groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rid")).alias("f")), "first")
     return (placed.join(first, "comp")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.col("f.id").alias("component_id"), (F.col("rid") == F.col("f.rid")).alias("kept"),
