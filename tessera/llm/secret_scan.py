@@ -22,7 +22,7 @@ and null ids pass through; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
 
 import pyarrow as pa
@@ -72,15 +72,16 @@ def strong_spans(text: str) -> list[Span]:
 
 
 def weak_candidates(text: str, strong: list[Span]) -> list[Span]:
-    """Parts that mean something only beside their complement; none inside a strong finding."""
+    """Parts that mean something only beside their complement; none wholly inside
+    a strong finding. One that encloses a strong finding stays and may link to it."""
     found: list[Span] = []
     taken = sorted((s, e) for s, e, _ in strong)
     starts = [s for s, _ in taken]
     reach = list(accumulate((e for _, e in taken), max))
 
     def free(s: int, e: int) -> bool:
-        k = bisect_left(starts, e)
-        return k == 0 or reach[k - 1] <= s
+        k = bisect_right(starts, s)
+        return k == 0 or reach[k - 1] < e
 
     for m in _KEY.finditer(text):
         v = m[0]
