@@ -10,7 +10,12 @@ that complement it. A weak candidate is reported only if the join finds one
 within the same scope (``SCOPE_CHARS`` characters, and no blank line between).
 
 Complements: ``key`` needs an access identifier, a user name or an endpoint;
-``user`` and ``endpoint`` need an assignment, an access identifier or a key.
+``user`` and ``endpoint`` need an assignment, an access identifier, a long hex
+string or a key.
+
+A key is a whole run of at least 32 characters of the base64 or the URL-safe
+base64 alphabet, however long, with a digit, a capital and a small letter.
+Where a run of one alphabet lies inside a run of the other, the longer counts.
 
 Scopes lie inside one document, so each task scans whole texts and joins
 their parts in place; nothing is shuffled and rows need no unique id.
@@ -45,7 +50,9 @@ _ASSIGN = re.compile(
 _ASSIGN_HINT = re.compile(r"[:=]")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_KEY = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/]{32,64}={0,2}(?![A-Za-z0-9+/_=-])")
+# whole runs of either base64 alphabet
+_KEYS = (re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}={0,2}"),
+         re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{32,}={0,2}"))
 _USER = re.compile(r"""(?:user(?:name)?|login|account|client_id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""",
                    re.IGNORECASE | re.ASCII)
 _ENDPOINT = re.compile(r"[a-z][a-z0-9+.-]{1,20}://[^\s\"'<>]+")
@@ -53,8 +60,8 @@ _BLANK_LINE = re.compile(r"\n[\x20\t\r]*\n")
 
 _COMPLEMENTS = {
     "key": ("access", "user", "endpoint"),
-    "user": ("assign", "access", "key"),
-    "endpoint": ("assign", "access", "key"),
+    "user": ("assign", "access", "hex", "key"),
+    "endpoint": ("assign", "access", "hex", "key"),
 }
 
 Span = tuple[int, int, str]  # start, end (code points, end exclusive), kind
@@ -83,10 +90,14 @@ def weak_candidates(text: str, strong: list[Span]) -> list[Span]:
         k = bisect_right(starts, s)
         return k == 0 or reach[k - 1] < e
 
-    for m in _KEY.finditer(text):
-        v = m[0]
-        if re.search(r"[0-9]", v) and re.search(r"[A-Z]", v) and re.search(r"[a-z]", v) and free(m.start(), m.end()):
-            found.append((m.start(), m.end(), "key"))
+    runs = {(m.start(), m.end()) for pattern in _KEYS for m in pattern.finditer(text)
+            if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))}
+    widest = -1
+    for s, e in sorted(runs, key=lambda x: (x[0], -x[1])):
+        if e > widest:
+            widest = e
+            if free(s, e):
+                found.append((s, e, "key"))
     if _ASSIGN_HINT.search(text):
         found += [(m.start(1), m.end(1), "user") for m in _USER.finditer(text) if free(m.start(1), m.end(1))]
     if "://" in text:
@@ -99,20 +110,22 @@ def linked(candidates: list[Span], strong: list[Span], text: str, scope: int = S
     if not candidates:
         return []
     breaks = [m.start() for m in _BLANK_LINE.finditer(text)]
-    by_kind: dict[str, list[tuple[int, int]]] = {}
-    longest: dict[str, int] = {}
+    # of each kind: (paragraph, start) in order, and how far the parts up to there reach in their paragraph
+    places: dict[str, list[tuple[int, int]]] = {}
+    reach: dict[str, list[int]] = {}
     for s, e, kind in sorted(candidates + strong):
-        by_kind.setdefault(kind, []).append((s, e))
-        longest[kind] = max(longest.get(kind, 0), e - s)
+        at, far = places.setdefault(kind, []), reach.setdefault(kind, [])
+        here = bisect_left(breaks, s)
+        far.append(max(e, far[-1]) if at and at[-1][0] == here else e)
+        at.append((here, s))
     kept = []
     for s, e, kind in candidates:
+        here = bisect_left(breaks, s)
         for other in _COMPLEMENTS[kind]:
-            parts = by_kind.get(other, [])
-            # parts that begin before the widened end and can reach the widened start
-            lo = bisect_left(parts, (s - scope - longest.get(other, 0), 0))
-            hi = bisect_left(parts, (e + scope, 0))
-            if any(b > s - scope and bisect_left(breaks, min(s, a)) == bisect_left(breaks, max(s, a))
-                   for a, b in parts[lo:hi]):
+            # the parts of the paragraph that begin before the widened end; one must reach the widened start
+            at = places.get(other, [])
+            k = bisect_left(at, (here, e + scope))
+            if k and at[k - 1][0] == here and reach[other][k - 1] > s - scope:
                 kept.append((s, e, kind))
                 break
     return kept
