@@ -13,7 +13,8 @@ share a hash is seen in the sorted order; if so, all blocks are hashed anew
 with the next seed, until no two do.
 
 The rounds run on distinct block sequences, counted before any shuffle, so
-a text that a third of all rows hold is one sequence.
+a text that a third of all rows hold is one sequence. The groups of equal
+texts, their sizes and the ids they keep are taken from the names.
 
 Defined cases: a null text equals the empty one; rows that repeat id and
 text all come back, and one of them is kept; a null id stays only where the
@@ -97,9 +98,12 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = materialize(texts.select("id", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"),
                                     _hashed("norm", block_chars, seed).alias("hashes")), "rows")
     classes = materialize(
-        rows.groupBy("hashes").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
+        rows.groupBy("hashes").agg(F.min("id").alias("least"), F.count("*").alias("rows"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    ident = (classes.join(identities(classes, block_names), "cid")
+    # sequences of one identity are one group
+    named = materialize(classes.select("cid", "least", "rows").join(identities(classes, block_names), "cid"), "named")
+    groups = named.groupBy("n", "name").agg(F.min("least").alias("keep_id"), F.sum("rows").alias("group_size"))
+    ident = (named.join(groups, ["n", "name"]).join(classes.select("cid", "hashes"), "cid")
              .select("hashes", "keep_id", "group_size", F.concat_ws(":", "n", "name").alias("identity")))
     counted = rows.groupBy("id", "sha", "hashes").agg(F.count("*").alias("copies"))
     return (counted.join(ident, "hashes")

@@ -17,6 +17,7 @@ from tessera.llm.exact_dedup import exact_dedup, op9_exact_dedup
 from tessera.llm.pii import find_pii, op6_pii
 from tessera.llm.sharding import op10_sharding, shard_rows
 from tessera.llm.url_filter import RULES, Rule, filter_urls, host_and_path, rule_frame
+import tessera.llm.exact_dedup as exact_dedup_module
 import tessera.llm.url_filter as url_filter
 
 from .helpers import LONG, ROWS, awkward, empty, same_rows
@@ -137,6 +138,16 @@ def test_exact_whole_table(spark):
     assert same_rows(op9_exact_dedup(spark, SMALL).collect(), brute_exact([tuple(r) for r in docs]))
 
 
+def test_exact_groups_follow_the_identity(spark, monkeypatch):
+    # names that take all one-block texts for one content must show in the groups
+    monkeypatch.setattr(exact_dedup_module, "identities", lambda classes, names: classes.select(
+        "cid", F.size("hashes").alias("n"), F.lit(7).cast("long").alias("name")))
+    df = spark.createDataFrame([(3, "a"), (1, "b"), (2, "b"), (4, "abcdefgh"), (5, "abcdefgh")], "doc_id long, text string")
+    out = exact_dedup(df, block_chars=4).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in out) == [
+        (1, 1, 3, True), (2, 1, 3, False), (3, 1, 3, False), (4, 4, 2, True), (5, 4, 2, False)]
+
+
 # ---- personal data
 
 def luhn(d):
