@@ -21,17 +21,25 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm.common import keep_rows, plain, read_table, slices, texts_of
+from tessera.llm.common import keep_rows, materialize, plain, read_table, slices, text_or_empty, texts_of
 
 ERROR_RATE = 0.05
 BLOCK_ITEMS = 50_000
+BLOCK_CHARS = 4_000_000   # of pieces in one automaton
+
+# id, normalised text, number, first and last (exclusive) of the pieces to look for
+Item = tuple[object, str, int, int, int]
 
 
 def normalize(text: str) -> str:
@@ -77,21 +85,21 @@ def myers_distance(pattern: str, text: str) -> int:
 class Matcher:
     """Finds the items of one block in a normalised text."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float) -> None:
+    def __init__(self, items: list[Item], error_rate: float) -> None:
         self.items = items
-        self.errors = [int(len(t) * error_rate) for _, t in items]
+        self.errors = [int(len(item[1]) * error_rate) for item in items]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, text) in enumerate(items):
-            for offset, piece in pieces(text, self.errors[k]):
+        for k, (_, text, _, first, last) in enumerate(items):
+            for offset, piece in pieces(text, self.errors[k])[first:last]:
                 places[piece].append((k, offset))
         for piece, where in places.items():
             self.automaton.add_word(piece, (len(piece), where))
         if places:
             self.automaton.make_automaton()
 
-    def found(self, text: str) -> Iterator[tuple[int, int]]:
-        """``(item id, distance)`` of every item that is in ``text``."""
+    def found(self, text: str) -> Iterator[tuple[Item, int]]:
+        """``(item, distance)`` of every item that is in ``text``."""
         if not text or not len(self.automaton):
             return
         tried: dict[int, set[int]] = defaultdict(set)
@@ -119,41 +127,102 @@ class Matcher:
                     distance = myers_distance(item, text[max(0, lo):max(0, hi)])
                 if distance <= err:
                     done.add(k)
-                    yield self.items[k][0], distance
-
-
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_items: int) -> Iterator[list[tuple[int, str]]]:
-    """Normalised, distinct items, a bounded block at a time."""
-    rows = plain(benchmark, {"id": id_col, "text": text_col}).distinct().orderBy("id", "text").toLocalIterator()
-    block: list[tuple[int, str]] = []
-    seen: set[tuple[int, str]] = set()
-    for r in rows:
-        item = (r["id"], normalize(r["text"] or ""))
-        if item[1] and item not in seen:
-            block.append(item)
-            seen.add(item)
-        if len(block) == block_items:
-            yield block
-            block, seen = [], set()
-    if block:
-        yield block
-
-
-def _matcher_of(spark, block, error_rate: float):
+                    yield self.items[k], distance
+
+
+def _dealt(benchmark: DataFrame, id_col: str, text_col: str, block_items: int, block_chars: int) -> DataFrame:
+    """``id, text, block``: normalised, distinct items; one that is too long for a block is alone in its own."""
+    rows = plain(benchmark, {"id": id_col, "text": text_col})
+    schema = T.StructType([rows.schema["id"], T.StructField("text", T.StringType())])
+
+    def normalized(batches):
+        for b in slices(batches):
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([normalize(t) for t in texts_of(b)], pa.string())], names=["id", "text"])
+
+    def numbered(batches):
+        block, n, chars = TaskContext.get().partitionId() << 32, 0, 0
+        for b in slices(batches):
+            blocks = []
+            for text in texts_of(b):
+                if n and (n == block_items or chars + len(text) > block_chars):
+                    block, n, chars = block + 1, 0, 0
+                n, chars = n + 1, chars + len(text)
+                blocks.append(block)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(blocks, pa.int64())], names=["id", "text", "block"])
+
+    items = materialize(rows.mapInArrow(normalized, schema).where("text != ''").distinct(), "items")
+    total = items.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
+    least = max(1, -(-total["n"] // block_items), -(-total["chars"] // block_chars))
+    schema = T.StructType([*schema, T.StructField("block", T.LongType())])
+    return materialize(items.coalesce(least).mapInArrow(numbered, schema), "benchmark-blocks")
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str, error_rate: float, block_items: int,
+            block_chars: int) -> Iterator[list[Item]]:
+    """The pieces of all items, a bounded block at a time."""
+    items, number = _dealt(benchmark, id_col, text_col, block_items, block_chars), 0
+    for (block,) in items.select("block").distinct().orderBy("block").collect():
+        rows = [(r["id"], r["text"]) for r in items.where(F.col("block") == block).collect()]
+        counts = [int(len(t) * error_rate) + 1 for _, t in rows]
+        # only an item that is alone can be too long
+        step = max(1, block_chars * counts[0] // len(rows[0][1])) if len(rows) == 1 else max(counts)
+        for first in range(0, max(counts), step):
+            yield [(i, t, number + k, first, first + step) for k, (i, t) in enumerate(rows)]
+        number += len(rows)
+
+
+def _found(docs: DataFrame, blocks: Iterator[list[Item]], text_col: str, item_type: T.DataType,
+           error_rate: float) -> DataFrame:
+    """``key, hits`` of every text that holds an item, by the text's digest; a block's broadcast ends before the next."""
+    rows = docs.select(_key(text_col).alias("key"), F.col(f"`{text_col}`").alias("text"))
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("number", T.LongType()),
+                           T.StructField("item", item_type), T.StructField("distance", T.IntegerType())])
+    item_arrow = to_arrow_type(item_type)
+    written = []
+    for block in blocks:
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches, shared=shared):
+            matcher = Matcher(shared.value, error_rate)
+            for b in slices(batches):
+                new = [(key, item[2], item[0], distance) for key, t in zip(b.column(0).to_pylist(), texts_of(b))
+                       for item, distance in matcher.found(normalize(t))]
+                kinds = (pa.string(), pa.int64(), item_arrow, pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array([x[c] for x in new], kind) for c, kind in enumerate(kinds)],
+                                                 names=schema.fieldNames())
+
+        written.append(materialize(rows.mapInArrow(run, schema), "hits"))
+        shared.destroy()
+    # a repeated text, or an item whose pieces lie in several blocks, is found more than once
+    return (reduce(DataFrame.unionByName, written).groupBy("key", "number", "item").agg(F.min("distance").alias("distance"))
+            .groupBy("key").agg(F.collect_list(F.struct("item", "distance")).alias("hits")))
+
+
+def _key(text_col: str):
+    return F.sha2(text_or_empty(f"`{text_col}`").cast("binary"), 256)
+
+
+def _matcher_of(spark, block: list[Item], error_rate: float):
     shared = spark.sparkContext.broadcast(block)
     return lambda: Matcher(shared.value, error_rate)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", error_rate: float = ERROR_RATE,
-                  block_items: int = BLOCK_ITEMS) -> DataFrame:
+                  block_items: int = BLOCK_ITEMS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``id, contaminated, n_items, item_ids, distances`` for every row of ``docs``."""
     item_type = benchmark.schema[item_id].dataType
     hits = T.ArrayType(T.StructType([T.StructField("item", item_type), T.StructField("distance", T.IntegerType())]))
-    rows = plain(docs, {"id": id_col, "text": text_col}).withColumn("hits", F.lit(None).cast(hits))
-    for block in _blocks(benchmark, item_id, item_text, block_items):
+    blocks = _blocks(benchmark, item_id, item_text, error_rate, block_items, block_chars)
+    block, more = next(blocks, []), next(blocks, None)
+    if more is None:
+        rows = plain(docs, {"id": id_col, "text": text_col}).withColumn("hits", F.lit(None).cast(hits))
         rows = _add_hits(rows, _matcher_of(docs.sparkSession, block, error_rate))
-    found = F.array_sort(F.coalesce("hits", F.array().cast(hits)))
+    else:
+        found = _found(docs, chain((block, more), blocks), text_col, item_type, error_rate)
+        rows = docs.select(F.col(f"`{id_col}`").alias("id"), _key(text_col).alias("key")).join(found, "key", "left")
+    found = F.array_sort(F.coalesce(F.col("hits").cast(hits), F.array().cast(hits)))
     return (rows.withColumn("hits", found)
             .select(F.col("id").alias(id_col), (F.size("hits") > 0).alias("contaminated"),
                     F.size("hits").cast("long").alias("n_items"),
@@ -164,9 +233,7 @@ def _add_hits(rows: DataFrame, matcher_of) -> DataFrame:
     def run(batches):
         matcher = matcher_of()
         for b in slices(batches):
-            was = b.column(2).to_pylist()
-            new = [(old or []) + [{"item": i, "distance": d} for i, d in matcher.found(normalize(t))]
-                   for old, t in zip(was, texts_of(b))]
+            new = [[{"item": item[0], "distance": d} for item, d in matcher.found(normalize(t))] for t in texts_of(b)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(new, type=b.column(2).type)],
                                              names=["id", "text", "hits"])
 
@@ -174,17 +241,23 @@ def _add_hits(rows: DataFrame, matcher_of) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
-               item_text: str = "text", error_rate: float = ERROR_RATE, block_items: int = BLOCK_ITEMS) -> DataFrame:
+               item_text: str = "text", error_rate: float = ERROR_RATE, block_items: int = BLOCK_ITEMS,
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Rows of ``docs`` that hold no benchmark item; columns stay."""
-    for block in _blocks(benchmark, item_id, item_text, block_items):
+    blocks = _blocks(benchmark, item_id, item_text, error_rate, block_items, block_chars)
+    block, more = next(blocks, []), next(blocks, None)
+    if more is None:
         matcher_of = _matcher_of(docs.sparkSession, block, error_rate)
 
-        def decide(matcher_of=matcher_of):
+        def decide():
             matcher = matcher_of()
             return lambda texts: [next(matcher.found(normalize(t)), None) is None for t in texts]
 
-        docs = keep_rows(docs, text_col, decide)
-    return docs
+        return keep_rows(docs, text_col, decide)
+    found = _found(docs, chain((block, more), blocks), text_col, benchmark.schema[item_id].dataType, error_rate)
+    # the texts are shuffled once, the digests are the build side
+    dirty = found.select(F.col("key").alias("__dirty")).hint("shuffle_hash")
+    return docs.join(dirty, _key(text_col) == F.col("__dirty"), "left_anti")
 
 
 def op3_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import tessera.llm.decontaminate as decontaminate_module
 from tessera.llm import byte_bpe, near_dedup, secret_scan
 from tessera.llm.byte_bpe import decode, default_codec, encode, merge_bytes, op5_byte_bpe, round_trip
 from tessera.llm.common import read_table
@@ -325,6 +326,33 @@ def test_leaks(spark, block):
     assert decontaminate(df.limit(0), bench).count() == 0
 
 
+def test_blocks_are_bounded_by_characters(spark):
+    rng = random.Random(6)
+    items = [(k, "".join(rng.choices("abcdefgh", k=n))) for k, n in enumerate((30, 60, 1000, 45, 90, 700, 5))] + [(2, "zz yy")]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    blocks = list(decontaminate_module._blocks(bench, "item_id", "text", ERROR_RATE, 50_000, 200))
+    seen = Counter()
+    for block in blocks:
+        cut = [(i, t, p) for i, t, _, first, last in block for p in decontaminate_module.pieces(t, int(len(t) * ERROR_RATE))[first:last]]
+        assert sum(len(p) for *_, (_, p) in cut) <= 200
+        seen.update(cut)
+    assert seen == Counter((i, t, p) for i, t in items for p in decontaminate_module.pieces(t, int(len(t) * ERROR_RATE)))
+    # one broadcast at a time; ids whose item is cut over blocks count once
+    rows = [(1, "x " + items[2][1][:500] + "zz" + items[2][1][502:]), (2, items[5][1]), (2, items[5][1]), (None, None),
+            (3, f"{items[1][1]} zz yy {items[4][1]}"), (4, "clean")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate(df, bench, block_chars=200).collect()
+    assert same_rows([(*r[:3], sorted(r[3])) for r in got], brute_leaks_of(rows, items))
+    assert [r["doc_id"] for r in keep_clean(df, bench, block_chars=200).orderBy("doc_id").collect()] == [None, 4]
+
+
+def brute_leaks_of(rows, items):
+    """As ``brute_leaks``, for items that share an id."""
+    each = [brute_leaks(rows, [item]) for item in items]
+    return [(i, any(e[k][1] for e in each), sum(e[k][2] for e in each), sorted(x for e in each for x in e[k][3]))
+            for k, (i, _) in enumerate(rows)]
+
+
 def test_leaks_whole_table(spark):
     docs = [tuple(r) for r in read_table(spark, SMALL, "documents").select("doc_id", "text").collect()]
     items = [tuple(r) for r in read_table(spark, SMALL, "benchmark").select("item_id", "text").collect()]
