@@ -10,9 +10,10 @@ word of the category (``SEEDS``, a parameter).
 
 The models see words and word beginnings (so that inflected forms share a
 stem), chosen by their association with the label. Models are fitted on a
-bounded sample of labelled rows: those with the ``SAMPLE_ROWS`` smallest
-hashes of their ids. Every text is scored whole, in one pass without a
-shuffle.
+bounded sample of labelled rows: of the ``SAMPLE_ROWS`` ids with the smallest
+hashes, the distinct rows (id and text), and of these the ``SAMPLE_ROWS``
+with the smallest hashes, so an id that many rows hold does not lift the
+bound. Every text is scored whole, in one pass without a shuffle.
 
 Defined cases: null and empty texts have no words and get the models' base
 scores; labels repeated for an id count by their mean; null labels are
@@ -150,7 +151,12 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
              .groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("y"))
              .orderBy(F.xxhash64("id"), "id").limit(sample_rows))
     # at most sample_rows narrow rows are broadcast
-    rows = materialize(plain(docs, {"id": id_col, "text": text_col}).join(F.broadcast(marks), "id"), "toxic-sample")
+    rows = materialize(plain(docs, {"id": id_col, "text": text_col}).join(F.broadcast(marks), "id").distinct(), "toxic-sample")
+    if rows.count() > sample_rows:
+        # ids that several rows hold: only hashes are sorted
+        place = F.xxhash64("id", "text")
+        last = rows.select(place.alias("h")).orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+        rows = rows.where(place <= last)
 
     def counted(batches):
         # of the sample's rows alone, so the counts of a task are bounded

@@ -156,6 +156,20 @@ def test_logistic_reaches_the_optimum():
     assert np.abs(gradient).max() < 1e-6
 
 
+def test_toxicity_sample_is_bounded_by_rows(spark, monkeypatch):
+    rows = [(7, f"you idiot moron n{'abcdefgh'[k % 8] * (k // 8 + 1)}") for k in range(80)] + [(7, "you idiot moron")] * 200
+    rows += [(100 + k, "fine words here" if k % 2 else "stupid moron") for k in range(30)]
+    labels = [(7, 1)] + [(100 + k, 1 - k % 2) for k in range(30)]
+    seen = []
+    real = toxicity.fit_chain
+    monkeypatch.setattr(toxicity, "fit_chain", lambda x, t, f, n: seen.append(n.sum()) or real(x, t, f, n))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    fit_toxicity(docs, labels, sample_rows=60)
+    # equal rows count once
+    fit_toxicity(docs, labels)
+    assert seen == [60, 80 + 1 + 30]
+
+
 @pytest.mark.parametrize("marks", [[], [(1, 1), (5, 1)], [(1, None), (None, 1)]])
 def test_toxicity_without_evidence(spark, marks):
     labels = spark.createDataFrame(marks, "doc_id long, toxic int")
