@@ -11,8 +11,11 @@ two-column Parquet table (source_name, alias); without that table the run
 needs ``--no-rep-aliases``. The history must be readable, except on a run
 that is marked ``--first-run``. With ``--append-history`` the live rows
 dated before ``--roll-to`` are written into the history folder as the roll
-of that date (running the job again replaces this roll), so the next run
-with cutoff ``--roll-to`` reads them instead of recomputing them.
+from the cutoff to that date (running the job again replaces this roll), so
+the next run with cutoff ``--roll-to`` reads them instead of recomputing
+them. A roll that would overlap the history or leave a gap is refused, as is
+a history that ends before the cutoff. ``--source name=place`` names the
+place of a single source, a path or a catalog table.
 """
 
 from __future__ import annotations
@@ -34,6 +37,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--sources", help="folder holding one Parquet folder per source table")
     src.add_argument("--table-prefix", help="read sources as catalog tables <prefix><name>")
+    p.add_argument("--source", action="append", default=[], metavar="NAME=PLACE",
+                   help="path or catalog table of one source, instead of --sources or --table-prefix; repeatable")
     p.add_argument("--history", help="history folder (Part A)")
     p.add_argument("--cutoff", type=dt.date.fromisoformat, default=ReportConfig().cutoff)
     p.add_argument("--out", required=True, help="output folder for the report")
@@ -58,6 +63,8 @@ def check_args(args: argparse.Namespace) -> None:
         raise SystemExit("--roll-to must be after --cutoff")
     if args.first_run and not args.history:
         raise SystemExit("--first-run is about --history, which is not given")
+    if any(not all(s.partition("=")) for s in args.source):
+        raise SystemExit("--source takes NAME=PLACE")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -68,9 +75,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.rep_aliases:
         frames["rep_aliases"] = spark.read.parquet(args.rep_aliases)
     # a history that cannot be read is an error: the report would lack Part A
-    history = read_history(spark, args.history, before=args.cutoff) if args.history and not args.first_run else None
+    history = (read_history(spark, args.history, before=args.cutoff, date_col=DATE_COL)
+               if args.history and not args.first_run else None)
     src = SourceCatalog(spark, frames=frames, parquet_root=args.sources, table_prefix=args.table_prefix,
-                        history=history)
+                        history=history, locations=dict(s.split("=", 1) for s in args.source))
     cfg = ReportConfig(cutoff=args.cutoff, key_mode=args.key_mode, rep_aliases=() if args.no_rep_aliases else None)
     report = Report(src, cfg)
     out = report.build()
@@ -78,10 +86,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.duplicates_out:
         report.duplicates().write.mode("overwrite").parquet(args.duplicates_out)
     if args.append_history:
-        # live rows are dated on/after the cutoff; the roll gets a folder of its
-        # own in the history and replaces that folder when the job runs again
+        # live rows are dated on/after the cutoff, where the roll begins
         live = report.live().where(F.col(DATE_COL) < F.lit(args.roll_to))
-        write_history(live, args.history, DATE_COL, roll=args.roll_to.isoformat())
+        write_history(live, args.history, DATE_COL, roll=args.roll_to, start=args.cutoff)
     report.release()
     return 0
 

@@ -29,6 +29,8 @@ class SourceCatalog:
     - ``frames``: explicit DataFrames by name (take precedence)
     - ``parquet_root``: ``<root>/<name>`` or ``<root>/<name>.parquet``
     - ``table_prefix``: ``spark.table(prefix + name)``
+    - ``locations``: a place of its own for single sources (before the two
+      above): a path, if it holds a ``/``, else a catalog table
 
     A source that is not there raises ``KeyError``; one that is there and
     cannot be read raises Spark's error. The stored report history (Part A)
@@ -46,8 +48,10 @@ class SourceCatalog:
         history: DataFrame | None = None,
         history_table: str = "report_history",
         key_mode: str = "binary",
+        locations: Mapping[str, str] | None = None,
     ) -> None:
         self.key_mode = key_mode
+        self.locations = dict(locations or {})
         self.spark = spark
         self.frames = dict(frames or {})
         self.parquet_root = parquet_root
@@ -62,7 +66,11 @@ class SourceCatalog:
         if name in self._resolved:
             return self._resolved[name]
         df = None
-        if self.parquet_root:
+        if name in self.locations:
+            place = self.locations[name]
+            # named explicitly: a place that is not there is an error
+            df = self.spark.read.parquet(place) if "/" in place else self.spark.table(place)
+        elif self.parquet_root:
             root = self.parquet_root.rstrip("/")
             for cand in (f"{root}/{name}", f"{root}/{name}.parquet"):
                 try:
