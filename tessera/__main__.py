@@ -47,6 +47,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--no-rep-aliases", action="store_true", help="no sales-rep name needs an alias")
     p.add_argument("--key-mode", choices=("binary_rtrim", "binary"), default=ReportConfig().key_mode,
                    help="do trailing blanks of keys count (binary) or not (binary_rtrim, the default)")
+    p.add_argument("--unique-lookups", action="store_true",
+                   help="fail at a lookup key that has several rows, instead of multiplying report rows")
     p.add_argument("--duplicates-out", help="output folder for the keys that multiply report rows")
     p.add_argument("--first-run", action="store_true", help="there is no history yet: do not read --history")
     p.add_argument("--append-history", action="store_true",
@@ -79,10 +81,13 @@ def main(argv: list[str] | None = None) -> int:
                if args.history and not args.first_run else None)
     src = SourceCatalog(spark, frames=frames, parquet_root=args.sources, table_prefix=args.table_prefix,
                         history=history, locations=dict(s.split("=", 1) for s in args.source))
-    cfg = ReportConfig(cutoff=args.cutoff, key_mode=args.key_mode, rep_aliases=() if args.no_rep_aliases else None)
+    cfg = ReportConfig(cutoff=args.cutoff, key_mode=args.key_mode, rep_aliases=() if args.no_rep_aliases else None,
+                       unique_lookups=args.unique_lookups)
     report = Report(src, cfg)
     out = report.build()
     write_report(with_labels(out) if args.labels else out, args.out)
+    for name, rows in report.multiplied().items():
+        print(f"lookup {name}: repeated keys added {rows} rows", file=sys.stderr)
     if args.duplicates_out:
         report.duplicates().write.mode("overwrite").parquet(args.duplicates_out)
     if args.append_history:

@@ -150,6 +150,9 @@ class ReportConfig:
     # Restrict dimension reads to the keys the live rows use (semi-joins).
     # Results are the same either way; off is only for checking that.
     scope_sources: bool = True
+    # Refuse lookup keys that have several rows (the run fails and names the
+    # key); off, such keys multiply rows, as in the original, and are counted.
+    unique_lookups: bool = False
     # How relations that several steps read are materialized while the plan is
     # built: "auto" = written as Parquet under spark.checkpoint.dir when the
     # session names one, else persist(MEMORY_AND_DISK); or "table",

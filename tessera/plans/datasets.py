@@ -25,7 +25,7 @@ from tessera.operators import (
     duplicate_keys, first_per_key, flag_pivot, joined_text, key_pool, latest_per_key, left_join_spread,
     presence_flag, scope_by_keys, union_all,
 )
-from tessera.plans.stages import stage
+from tessera.plans.stages import Staged, resolve_mode, stage
 from tessera.sources import SourceCatalog
 
 
@@ -36,7 +36,7 @@ class ReportDatasets:
         self.cfg = cfg or ReportConfig()
         self.src = sources.with_key_mode(self.cfg.key_mode)
         self._pools: dict[str, DataFrame] = {}
-        self._kept: list[DataFrame] = []
+        self._kept: list[Staged] = []
 
     # ------------------------------------------------------------------
     # drivers
@@ -68,11 +68,29 @@ class ReportDatasets:
         """Materialize a relation several later steps read; see :func:`tessera.plans.stages.stage`."""
         return stage(df, self.cfg.materialize, self._kept, name)
 
+    @property
+    def writes_tables(self) -> bool:
+        """Are stages written (and computed while plans are built)?"""
+        return resolve_mode(self.src.spark, self.cfg.materialize) == "table"
+
+    def forget(self, *tables: DataFrame) -> None:
+        """Release the given stages, and drop the plans that were built on them: asked for again, they are rebuilt."""
+        for staged in [s for s in self._kept if any(s.df is t for t in tables)]:
+            staged.release()
+            self._kept.remove(staged)
+        held = self.held()
+        for name, value in list(self.__dict__.items()):
+            if isinstance(value, DataFrame) and id(value) not in held:
+                del self.__dict__[name]
+        self._pools.clear()
+
+    def held(self) -> set[int]:
+        """Identities of the stages that are held."""
+        return {id(s.df) for s in self._kept}
+
     def release(self) -> None:
-        """Unpersist everything :meth:`_keep` persisted."""
-        for df in self._kept:
-            df.unpersist()
-        self._kept.clear()
+        """Release every stage: unpersist it or remove its table."""
+        self.forget(*[s.df for s in self._kept])
 
     # key pools: tickets ∪ resets, each built once
     def _pool(self, col: str, prefix: str | None = None) -> DataFrame:
@@ -170,13 +188,18 @@ class ReportDatasets:
     # CRM / ERP
     # ------------------------------------------------------------------
     @cached_property
-    def hubspot_abr(self) -> DataFrame:
-        """Revenue per customer-dimension row: owner contact's (latest) if not blank, else the dimension's."""
+    def _first_company(self) -> DataFrame:
+        """Customer key -> its first company (for B08)."""
         companies = self.src.table("silver_Companies").where(F.col("CVCustomerID").isNotNull())
         # top-1 per key only looks at rows of that key: scoping the keys is exact
         companies = self._scope(companies, "CVCustomerID", lambda: self.cv_pool)
-        first_company = self._keep(first_per_key(companies, "CVCustomerID", "CompanyID").select(
+        return self._keep(first_per_key(companies, "CVCustomerID", "CompanyID").select(
             F.col("CVCustomerID").alias("hc_cv_customer_id"), F.col("CompanyID").alias("hc_company_id")), "company")
+
+    @cached_property
+    def hubspot_abr(self) -> DataFrame:
+        """Revenue per customer-dimension row: owner contact's (latest) if not blank, else the dimension's."""
+        first_company = self._first_company
         contacts = self.src.table("silver_Contacts").where(
             (F.col("BusinessOwner") == 1) & F.col("AnnualBusinessRevenue").isNotNull())
         assoc = self._scope(self.src.table("silver_ContactCompanyAssoc"), "CompanyID",

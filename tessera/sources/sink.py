@@ -115,7 +115,9 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """
     path = staged_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path  # for remove_staged
+    return out
 
 
 def staged_path(spark: SparkSession, name: str) -> str:

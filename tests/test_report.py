@@ -219,6 +219,53 @@ def test_stage_modes_give_the_same_report(spark, fixture_sources, report_rows, m
     assert key(rows) == key(report_rows)
 
 
+def staged_tables(spark):
+    root = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    found = []
+    for top in [root, os.path.dirname(root)]:
+        found += [os.path.join(top, n) for n in os.listdir(top) if n.startswith("tessera-")]
+    return set(found)
+
+
+def test_stages_are_removed(spark, fixture_sources, report_rows):
+    """Stages go after the last stage that reads them, the branches' rows with release()."""
+    before = staged_tables(spark)
+    rep = Report(fixture_sources)
+    out = rep.build()
+    left = {os.path.basename(p).removeprefix("tessera-").rsplit("-", 1)[0] for p in staged_tables(spark) - before}
+    assert left == {"active", "no-show"}
+    assert len(rows_of(out)) == len(report_rows)
+    assert rep.duplicates().count() == 3            # its relations are rebuilt
+    rep.release()
+    assert staged_tables(spark) == before
+    assert len(rows_of(rep.build())) == len(report_rows)   # and so is a released report
+    rep.release()
+    assert staged_tables(spark) == before
+
+
+def test_a_failed_stage_fails_the_report(spark, fixture_sources):
+    from tessera.plans.stages import run_stages
+
+    ran = []
+    stages = {"a": (lambda: ran.append("a"), ()), "b": (lambda: 1 / 0, ("a",)), "c": (lambda: ran.append("c"), ("b",)),
+              "d": (lambda: ran.append("d"), ("a",))}
+    with pytest.raises(ZeroDivisionError):
+        run_stages(stages)
+    assert sorted(ran) == ["a", "d"]
+
+
+def test_repeated_lookup_keys_are_counted_or_refused(fixture_sources):
+    rep = Report(fixture_sources)
+    rep.build().collect()
+    # CV2 twice in the customer dimension (vertical x revenue, then the ticket's four rows), Zed Rep has two emails
+    assert rep.multiplied() == {"customer vertical": 1, "business revenue": 2, "sales rep 1": 1,
+                                "active: customer_id": 3, "active: sales_order_id": 1, "no-show: sales_order_id": 1}
+    rep.release()
+    strict = Report(fixture_sources, ReportConfig(unique_lookups=True))
+    with pytest.raises(Exception, match="lookup .*: key (CV2|Zed Rep) has 2 rows"):
+        strict.build().collect()
+
+
 def test_written_stage_cuts_lineage_and_prunes_columns(spark, fixture_sources):
     from tessera.plans.stages import stage
 
