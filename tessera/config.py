@@ -153,6 +153,10 @@ class ReportConfig:
     # Refuse lookup keys that have several rows (the run fails and names the
     # key); off, such keys multiply rows, as in the original, and are counted.
     unique_lookups: bool = False
+    # Joined texts (notes, refund reasons): range segments that a key's rows are
+    # split into (0: none), and the longest text of one key, above which a run fails.
+    text_segments: int = 0
+    max_text_bytes: int = 64 << 20
     # How relations that several steps read are materialized while the plan is
     # built: "auto" = written as Parquet under spark.checkpoint.dir when the
     # session names one, else persist(MEMORY_AND_DISK); or "table",

@@ -1,5 +1,6 @@
 """DataFrame -> DataFrame building blocks of the report."""
 
+from tessera.operators.fanout import joined_projections
 from tessera.operators.flags import flag_pivot, presence_flag
 from tessera.operators.lookup import (
     HotKeys, LookupCounts, duplicate_keys, hot_keys, left_join_spread, lookup, unique_rows,
@@ -11,6 +12,6 @@ from tessera.operators.union import conform, hybrid_union, union_all
 
 __all__ = [
     "HotKeys", "LookupCounts", "conform", "duplicate_keys", "first_per_key", "flag_pivot",
-    "hot_keys", "hybrid_union", "joined_text", "key_pool", "latest_per_key", "left_join_spread",
+    "hot_keys", "hybrid_union", "joined_projections", "joined_text", "key_pool", "latest_per_key", "left_join_spread",
     "lookup", "ordered_listagg", "presence_flag", "scope_by_keys", "union_all", "unique_rows",
 ]

@@ -6,14 +6,18 @@ NULL when every value is NULL, like the original; a prefix is glued on
 with a NULL-propagating ``concat`` so an all-NULL group stays NULL
 (``concat_ws`` over ``collect_list`` would give the bare prefix).
 
-Unless another order is asked for, values are ordered by themselves and
-equal values stand side by side. So the (key, value) pairs are counted
-first, with a partial + final aggregate, and each value's copies are
-written when the text is put together (one copy for ``distinct=True``):
-what reaches one task per key is bounded by the number of its distinct
-values, not of its rows. With an ``order`` of other columns every row of a
-key takes part in its sort; the text of one key must then fit in a task,
-as the resulting cell does.
+Rows that are equal in key, order and value stand side by side in the text.
+So they are counted first, with a partial + final aggregate, and a value's
+copies are written when the text is put together (one copy for
+``distinct=True``): what reaches one task per key is bounded by the number of
+its distinct rows, not of its rows.
+
+A key with very many distinct values is joined in two levels where
+``segments`` is given: the rows are split by range of (key, order, value), so
+that a hot key's rows lie in several tasks in order; each task joins its
+segment, and one task per key joins the segments in order. A text that would
+be longer than ``max_bytes`` is an error that names the size, not a cell that
+no task can hold.
 """
 
 from __future__ import annotations
@@ -26,6 +30,10 @@ from pyspark.sql import functions as F
 from tessera.operators._util import as_list, names, quote_ident, sql_string
 
 
+# longest text of one key, in bytes of UTF-8, unless the caller says otherwise
+MAX_TEXT_BYTES = 64 << 20
+
+
 def _order_sql(order: Sequence[str | tuple[str, bool]]) -> str:
     parts = []
     for o in order:
@@ -42,6 +50,12 @@ def ordered_listagg(value: str, sep: str, order: Sequence[str | tuple[str, bool]
     )
 
 
+def _bounded(text: Column, size: Column, max_bytes: int) -> Column:
+    """``text``, or an error where ``size`` is above the bound."""
+    message = F.concat(F.lit("joined text of "), size.cast("string"), F.lit(f" bytes: more than {max_bytes}"))
+    return F.when(size > max_bytes, F.raise_error(message).cast("string")).otherwise(text)
+
+
 def joined_text(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -51,23 +65,44 @@ def joined_text(
     order: Sequence[str | tuple[str, bool]] | None = None,
     distinct: bool = False,
     prefix: str | None = None,
+    segments: int = 0,
+    max_bytes: int = MAX_TEXT_BYTES,
 ) -> DataFrame:
     """One row per ``keys`` with the values of ``value`` joined by ``sep``.
 
-    ``order`` lists the ordering columns (name, or (name, ascending));
-    default is the value itself. With ``prefix``, the result is
-    ``prefix + text`` and NULL when all values are NULL.
+    ``order`` lists the ordering columns (name, or (name, ascending)), rows
+    that are equal there are ordered by the value; default is the value
+    itself, as with ``distinct``. With ``prefix``, the result is ``prefix +
+    text`` and NULL when all values are NULL.
+
+    ``segments`` above 0 splits the rows by range into that many tasks first
+    (for keys of very many distinct values; it costs a sample and a shuffle
+    more). ``max_bytes`` bounds the text of a key.
     """
     key_names = names(as_list(keys))
-    if distinct or not order:
-        src = df.where(F.col(value).isNotNull()) if distinct else df
-        src = src.groupBy(*key_names, value).agg(F.count("*").alias("__copies"))
-        copies = F.lit(1) if distinct else F.col("__copies").cast("int")
-        src = src.withColumn("__text", F.when(F.col(value).isNotNull(),
-                                              F.array_join(F.array_repeat(F.col(value), copies), sep)))
-        text = ordered_listagg("__text", sep, [value])
-    else:
-        src, text = df, ordered_listagg(value, sep, order)
+    order = [] if distinct or not order else list(order)
+    order_names = [o if isinstance(o, str) else o[0] for o in order]
+    order = [*order, *([] if value in order_names else [value])]
+    src = df.where(F.col(value).isNotNull()) if distinct else df
+    grouped = list(dict.fromkeys([*key_names, *order_names, value]))
+    src = src.groupBy(*[quote_ident(c) for c in grouped]).agg(F.count("*").alias("__copies"))
+    copies = F.lit(1).cast("long") if distinct else F.col("__copies")
+    own = F.col(quote_ident(value)).cast("string")
+    size = F.when(own.isNotNull(), copies * F.octet_length(F.concat(own, F.lit(sep))))
+    piece = F.when(own.isNotNull(), F.array_join(F.array_repeat(own, copies.cast("int")), sep))
+    # checked before the copies are written
+    src = src.withColumn("__bytes", size).withColumn("__text", _bounded(piece, F.col("__bytes"), max_bytes))
+    text = ordered_listagg("__text", sep, order)
+    if segments:
+        by = [F.col(quote_ident(k)) for k in key_names]
+        for o in order:
+            name, ascending = (o, True) if isinstance(o, str) else o
+            by.append(F.col(quote_ident(name)).asc_nulls_first() if ascending else F.col(quote_ident(name)).desc_nulls_last())
+        dealt = src.repartitionByRange(segments, *by).withColumn("__segment", F.spark_partition_id())
+        src = dealt.groupBy(*key_names, "__segment").agg(
+            _bounded(text, F.sum("__bytes"), max_bytes).alias("__text"), F.sum("__bytes").alias("__bytes"))
+        text = ordered_listagg("__text", sep, ["__segment"])
+    text = _bounded(text, F.sum("__bytes"), max_bytes)
     if prefix is not None:
         text = F.concat(F.lit(prefix), text)
     return src.groupBy(*key_names).agg(text.alias(alias))

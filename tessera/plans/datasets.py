@@ -92,6 +92,10 @@ class ReportDatasets:
         """Release every stage: unpersist it or remove its table."""
         self.forget(*[s.df for s in self._kept])
 
+    @property
+    def _text_bounds(self) -> dict[str, int]:
+        return {"segments": self.cfg.text_segments, "max_bytes": self.cfg.max_text_bytes}
+
     # key pools: tickets ∪ resets, each built once
     def _pool(self, col: str, prefix: str | None = None) -> DataFrame:
         if col not in self._pools:
@@ -253,7 +257,7 @@ class ReportDatasets:
         """Sales order -> 'Yes - ' + its refund reasons (NULL if every reason is NULL)."""
         tr = self._transactions.where(F.col("refund_amount") > 0)
         return joined_text(tr, "sales_order_id", "refund_reason", C.REFUND_SEPARATOR,
-                           alias="refund_info", prefix=C.REFUND_PREFIX)
+                           alias="refund_info", prefix=C.REFUND_PREFIX, **self._text_bounds)
 
     @cached_property
     def ticket_notes(self) -> DataFrame:
@@ -264,7 +268,8 @@ class ReportDatasets:
             term = ~F.col("note").contains(p)
             keep = term if keep is None else keep & term
         n = self._scope(n.where(keep), "ticket_id", lambda: self._pool("ticket_id"))
-        return self._keep(joined_text(n, "ticket_id", "note", C.NOTES_SEPARATOR, alias="notes"), "notes")
+        return self._keep(joined_text(n, "ticket_id", "note", C.NOTES_SEPARATOR, alias="notes",
+                                      **self._text_bounds), "notes")
 
     @cached_property
     def ticket_transactions(self) -> DataFrame:

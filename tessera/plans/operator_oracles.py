@@ -76,6 +76,32 @@ FROM customer c
 LEFT JOIN dim_nation dn ON c.c_custkey = dn.c_custkey
 LEFT JOIN dim_flag df ON c.c_custkey = df.c_custkey""",
 
+    "lookup_unique": """SELECT c.c_custkey, n.n_name, r.r_name
+FROM customer c
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
+
+    "lookup_counted": """WITH shipments AS (
+    SELECT o.o_custkey FROM orders o
+    LEFT JOIN (SELECT l_orderkey FROM lineitem WHERE l_shipdate >= DATE '2001-01-01') l ON o.o_orderkey = l.l_orderkey),
+errors AS (
+    SELECT s.o_custkey FROM shipments s
+    LEFT JOIN (SELECT user_id FROM events WHERE event_type = 'error') e ON s.o_custkey = e.user_id),
+customers AS (
+    SELECT e.o_custkey FROM errors e LEFT JOIN customer c ON e.o_custkey = c.c_custkey)
+SELECT 'shipments' AS lookup, (SELECT count(*) FROM orders) AS rows_before, (SELECT count(*) FROM shipments) AS rows_after
+UNION ALL SELECT 'errors', (SELECT count(*) FROM shipments), (SELECT count(*) FROM errors)
+UNION ALL SELECT 'customer', (SELECT count(*) FROM errors), (SELECT count(*) FROM customers)""",
+
+    "hot_key_lookup": """SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.part_key, p.p_brand
+FROM (SELECT l_orderkey, l_linenumber, l_partkey,
+             CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_partkey END AS part_key FROM lineitem) l
+LEFT JOIN part p ON l.part_key = p.p_partkey""",
+
+    "text_segments": """SELECT l_returnflag,
+       string_agg(strftime(l_shipdate, '%Y%m%d'), ',' ORDER BY l_orderkey, strftime(l_shipdate, '%Y%m%d')) AS shipments
+FROM lineitem GROUP BY l_returnflag""",
+
     "filter_eq": """SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem
 WHERE l_returnflag = 'R' AND l_linenumber = 3""",
 

@@ -36,8 +36,8 @@ from tessera.functions import (
     seat_attribution, split_first_word, yes_no, yes_or_null,
 )
 from tessera.operators import (
-    first_per_key, flag_pivot, hybrid_union, joined_text, key_pool, latest_per_key,
-    presence_flag, scope_by_keys,
+    LookupCounts, first_per_key, flag_pivot, hot_keys, hybrid_union, joined_projections, joined_text,
+    key_pool, latest_per_key, lookup, presence_flag, scope_by_keys,
 )
 from tessera.sources import BenchmarkTables
 
@@ -146,17 +146,46 @@ def q_semi_single(spark, sf_dir):
 
 def q_shared_base(spark, sf_dir):
     tb = _tables(spark, sf_dir)
-    # one narrow relation feeds every consumer; each consumer scans it for its own columns
-    base = (tb.read("customer", "c_custkey", "c_nationkey", "c_acctbal")
-              .where(F.col("c_custkey").isNotNull())
-              .select("c_custkey", "c_nationkey",
-                      yes_or_null(F.col("c_acctbal") > 5000).alias("big_balance")))
-    dim_nation = base.select("c_custkey", "c_nationkey")
-    dim_flag = base.select("c_custkey", "big_balance").distinct()
-    cust = tb.read("customer", "c_custkey", "c_name")
-    return (cust.join(dim_nation, "c_custkey", "left")
-                .join(dim_flag, "c_custkey", "left")
-                .select("c_custkey", "c_name", "c_nationkey", "big_balance"))
+    # customers, their nations and their distinct balance flags, all from one scan
+    base = tb.read("customer", "c_custkey", "c_name", "c_nationkey", "c_acctbal").withColumn(
+        "big_balance", yes_or_null(F.col("c_acctbal") > 5000))
+    return joined_projections(base, "c_custkey", ["c_name"], [(["c_nationkey"], False), (["big_balance"], True)])
+
+
+def q_lookup_unique(spark, sf_dir):
+    """Customers with their nation and region; a repeated key in either would fail the query."""
+    tb = _tables(spark, sf_dir)
+    c = tb.read("customer", "c_custkey", "c_nationkey")
+    n = tb.read("nation", "n_nationkey", "n_name", "n_regionkey")
+    r = tb.read("region", "r_regionkey", "r_name")
+    j = lookup(c, n, "c_nationkey", dim_on="n_nationkey", name="nation")
+    return lookup(j, r, "n_regionkey", dim_on="r_regionkey", name="region").select("c_custkey", "n_name", "r_name")
+
+
+def q_lookup_counted(spark, sf_dir):
+    """Rows before and after three lookups, counted while they run: repeated keys add rows in two of them."""
+    tb = _tables(spark, sf_dir)
+    counts = LookupCounts()
+    o = tb.read("orders", "o_orderkey", "o_custkey")
+    shipped = tb.read("lineitem", "l_orderkey", "l_shipdate").where(F.col("l_shipdate") >= F.lit(_dt.date(2001, 1, 1)))
+    users = tb.read("events", "user_id", "event_type").where(F.col("event_type") == "error")
+    j = lookup(o, shipped, "o_orderkey", unique=False, dim_on="l_orderkey", name="shipments", counts=counts)
+    j = lookup(j, users, "o_custkey", unique=False, dim_on="user_id", name="errors", counts=counts)
+    j = lookup(j, tb.read("customer", "c_custkey", "c_name"), "o_custkey", unique=False, dim_on="c_custkey",
+               name="customer", counts=counts)
+    j.write.format("noop").mode("overwrite").save()
+    rows = [(name, before, after) for name, (before, after) in counts.rows().items()]
+    return spark.createDataFrame(rows, "lookup string, rows_before long, rows_after long")
+
+
+def q_hot_key_lookup(spark, sf_dir):
+    """Lines with a part key that a third of them share, and the part's brand: the hot key is spread."""
+    tb = _tables(spark, sf_dir)
+    li = tb.read("lineitem", "l_orderkey", "l_linenumber", "l_partkey")
+    li = li.withColumn("part_key", F.when(F.col("l_orderkey") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("l_partkey")))
+    hot = hot_keys(li, "part_key")["part_key"]
+    return lookup(li, tb.read("part", "p_partkey", "p_brand"), "part_key", dim_on="p_partkey", name="part",
+                  spread_by="l_orderkey", hot=hot)
 
 
 def q_filter_eq(spark, sf_dir):
@@ -370,6 +399,14 @@ def q_notes_listagg(spark, sf_dir):
     return joined_text(kept, "conv_id", "text", " | ", alias="notes", order=["turn"])
 
 
+def q_text_segments(spark, sf_dir):
+    """Ship dates of all lines, in one text per return flag: three keys, their rows split by range."""
+    tb = _tables(spark, sf_dir)
+    li = tb.read("lineitem", "l_orderkey", "l_returnflag", "l_shipdate")
+    lines = li.select("l_returnflag", "l_orderkey", F.date_format("l_shipdate", "yyyyMMdd").alias("shipped"))
+    return joined_text(lines, "l_returnflag", "shipped", ",", alias="shipments", order=["l_orderkey"], segments=16)
+
+
 def q_distinct_rows(spark, sf_dir):
     return _tables(spark, sf_dir).read("orders", "o_custkey", "o_orderstatus").distinct()
 
@@ -527,6 +564,10 @@ QUERIES: dict[str, Query] = {
     "union_distinct_pool": q_union_distinct_pool,
     "semi_single": q_semi_single,
     "shared_base": q_shared_base,
+    "lookup_unique": q_lookup_unique,
+    "lookup_counted": q_lookup_counted,
+    "hot_key_lookup": q_hot_key_lookup,
+    "text_segments": q_text_segments,
     "filter_eq": q_filter_eq,
     "filter_ne": q_filter_ne,
     "null_tests": q_null_tests,

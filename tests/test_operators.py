@@ -12,7 +12,7 @@ from tessera.functions import (
     recode, split_first_word, yes_no, yes_or_null,
 )
 from tessera.operators import (
-    conform, duplicate_keys, first_per_key, flag_pivot, joined_text, key_pool,
+    conform, duplicate_keys, first_per_key, flag_pivot, joined_projections, joined_text, key_pool,
     latest_per_key, left_join_spread, presence_flag, scope_by_keys,
 )
 
@@ -148,6 +148,54 @@ def test_joined_text_counts_equal_values_before_the_shuffle(spark):
     assert plan.count("Aggregate") == 2 and "count(1)" in plan
 
 
+def test_joined_text_in_segments(spark):
+    """One key of very many rows: its distinct rows are dealt to many tasks, and its text is the same."""
+    hot = spark.range(200_000).selectExpr("if(id % 50 = 0, concat('c', id % 7), 'k') AS k", "concat('v', id % 30011) AS v",
+                                          "id % 97 AS o", "if(id % 3 = 0, null, concat('x', id % 11)) AS x")
+    for order, value, distinct in ((None, "v", True), (["o"], "v", False), ([("o", False)], "x", False), (None, "x", False)):
+        plain = {r["k"]: r["t"] for r in joined_text(hot, "k", value, ";", "t", order=order, distinct=distinct).collect()}
+        out = joined_text(hot, "k", value, ";", "t", order=order, distinct=distinct, segments=12)
+        assert {r["k"]: r["t"] for r in out.collect()} == plain
+    pairs = hot.groupBy("k", "o", "v").count()
+    dealt = pairs.repartitionByRange(12, "k", "o", "v").groupBy(F.spark_partition_id().alias("p")).count()
+    sizes = sorted(r["count"] for r in dealt.collect())
+    assert len(sizes) == 12 and sizes[-1] < pairs.count() / 6
+
+
+def test_joined_text_of_ten_million_copies(spark):
+    """Copies are counted before they are shuffled, and a text above the bound is an error."""
+    hot = spark.range(0, 10_000_000, 1, 8).selectExpr("'' AS k", "concat('r', id % 3) AS v")
+    out = joined_text(hot, "k", "v", "; ", alias="t")
+    assert out.select(F.length("t")).first()[0] == 10_000_000 * 4 - 2
+    for segments in (0, 4):
+        with pytest.raises(Exception, match="joined text of [0-9]+ bytes: more than 1000000"):
+            joined_text(hot, "k", "v", "; ", alias="t", segments=segments, max_bytes=1_000_000).collect()
+    many = spark.range(3000).selectExpr("'k' AS k", "concat('a value ', id) AS v")   # each within the bound
+    for segments in (0, 4):
+        with pytest.raises(Exception, match="more than 10000"):
+            joined_text(many, "k", "v", "; ", alias="t", segments=segments, max_bytes=10_000).collect()
+
+
+def test_joined_projections(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (2, "c", None), (2, "c", None), (None, "d", 7), (3, None, 8)],
+                               "k int, v string, w int")
+    own = df.select("k", "v")
+    first, second = df.where("k IS NOT NULL").select("k", F.col("v").alias("v2")), df.where("k IS NOT NULL").select("k", "w").distinct()
+    want = own.join(first, "k", "left").join(second, "k", "left")
+    got = joined_projections(df, "k", ["v"], [([F.col("v").alias("v2")], False), (["w"], True)])
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert joined_projections(df.where("false"), "k", ["v"], [(["w"], True)]).count() == 0
+
+
+def test_shared_base_has_one_scan(spark):
+    from conftest import SF_SMALL
+    from tessera.plans.operator_queries import QUERIES
+
+    plan = QUERIES["shared_base"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
 def test_conform_positional(spark):
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 
