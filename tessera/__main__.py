@@ -45,8 +45,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--labels", action="store_true", help="write display labels as column names")
     p.add_argument("--rep-aliases", help="Parquet table (source_name, alias) of sales-rep spellings")
     p.add_argument("--no-rep-aliases", action="store_true", help="no sales-rep name needs an alias")
-    p.add_argument("--key-mode", choices=("binary_rtrim", "binary"), default=ReportConfig().key_mode,
-                   help="do trailing blanks of keys count (binary) or not (binary_rtrim, the default)")
+    p.add_argument("--key-mode", choices=("binary_rtrim", "binary", "ci_rtrim"), default=ReportConfig().key_mode,
+                   help="do trailing blanks of keys count (binary) or not (binary_rtrim, the default), or case, either (ci_rtrim)")
     p.add_argument("--unique-lookups", action="store_true",
                    help="fail at a lookup key that has several rows, instead of multiplying report rows")
     p.add_argument("--duplicates-out", help="output folder for the keys that multiply report rows")

@@ -139,7 +139,8 @@ class ReportConfig:
 
     ``key_mode`` is the comparison rule of keys, codes and status values,
     applied once to each source: ``binary_rtrim`` (trailing blanks do not
-    count, as on the original's server) or ``binary``.
+    count, as on the original's server), ``binary``, or ``ci_rtrim`` (nor does
+    case, also in groups, partitions and substring tests).
     """
 
     cutoff: _dt.date = _dt.date.fromisoformat(CUTOFF)

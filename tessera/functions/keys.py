@@ -11,8 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
-KEY_MODES = ("binary", "binary_rtrim", "lcase")
+KEY_MODES = ("binary", "binary_rtrim", "lcase", "ci_rtrim")
+# the comparison of a server whose default collation ignores case (and trailing blanks)
+CI_COLLATION = "UTF8_LCASE_RTRIM"
 
 
 def normalize_key(col: Column | str, mode: str = "binary") -> Column:
@@ -21,6 +24,9 @@ def normalize_key(col: Column | str, mode: str = "binary") -> Column:
     - ``binary``: unchanged (byte-wise equality)
     - ``binary_rtrim``: trailing blanks removed (blank-padded equality)
     - ``lcase``: lower-cased (case-folded equality)
+    - ``ci_rtrim``: a string of Spark's collation ``UTF8_LCASE_RTRIM``, whose
+      value is unchanged; joins, ``GROUP BY``, ``PARTITION BY``, ``DISTINCT``,
+      equality and substring tests on it ignore case and trailing blanks
     """
     c = F.col(col) if isinstance(col, str) else col
     if mode == "binary":
@@ -29,6 +35,8 @@ def normalize_key(col: Column | str, mode: str = "binary") -> Column:
         return F.rtrim(c)
     if mode == "lcase":
         return F.lower(c)
+    if mode == "ci_rtrim":
+        return F.collate(c, CI_COLLATION)
     raise ValueError(f"unknown key mode {mode!r}; expected one of {KEY_MODES}")
 
 
@@ -47,3 +55,8 @@ def prefixed_key(prefix: str, col: Column | str) -> Column:
 def concat_text(*cols: Column | str) -> Column:
     """``CONCAT(a, b, ...)``: NULL parts count as empty text (never NULL)."""
     return F.concat_ws("", *[F.col(c) if isinstance(c, str) else c for c in cols])
+
+
+def is_collated(kind: DataType) -> bool:
+    """Is it a string type that is not compared byte by byte?"""
+    return isinstance(kind, StringType) and kind.collation != "UTF8_BINARY"

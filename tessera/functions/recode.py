@@ -42,11 +42,14 @@ def recode(
     mapping: Mapping[str, str] | Iterable[tuple[str, str]],
     null_codes: Iterable[str] = (),
     default: str = "pass",
+    collated: bool = False,
 ) -> Column:
     """Map ``col`` through ``mapping``.
 
     ``null_codes`` are codes whose result is NULL; ``default`` is
-    ``"pass"`` (unknown -> the input) or ``"null"`` (unknown -> NULL).
+    ``"pass"`` (unknown -> the input) or ``"null"`` (unknown -> NULL). With
+    ``collated``, codes are compared under the collation of ``col`` (a map
+    takes plain strings only); the result is a plain string either way.
     """
     if default not in ("pass", "null"):
         raise ValueError("default must be 'pass' or 'null'")
@@ -54,8 +57,15 @@ def recode(
     pairs = _pairs(mapping)
     nulls = [k for k in null_codes if k not in dict(pairs)]
     fallback = c if default == "pass" else F.lit(None).cast("string")
+    if collated:
+        fallback = fallback.cast("string")
     if not pairs:
         out = fallback
+    elif collated:
+        out = F.when(c == pairs[0][0], F.lit(pairs[0][1]))
+        for code, text in pairs[1:]:
+            out = out.when(c == code, F.lit(text))
+        out = out.otherwise(fallback)
     else:
         lookup = literal_map(pairs)
         out = F.when(F.map_contains_key(lookup, c), F.try_element_at(lookup, c)).otherwise(fallback)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from tessera.functions.keys import is_collated
 from tessera.operators._util import quote_ident
 
 SPREAD = "__spread_key"
@@ -106,24 +107,30 @@ def left_join_spread(df: DataFrame, dim: DataFrame, key: str, spread_by: str | C
         buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.col(spread_by) if isinstance(spread_by, str) else spread_by
     bucket = F.pmod(F.xxhash64(spread), F.lit(buckets)).cast("string")
-    text = isinstance(df.schema[key].dataType, StringType)
+    kind = df.schema[key].dataType
+    text = isinstance(kind, StringType)
+
+    def named(column: Column) -> Column:
+        # equal values of a collated key may be spelled differently: only the key itself tells them apart
+        return F.lit("") if is_collated(kind) else column.cast("string")
+
     own = F.when(F.col(key).isNull(), F.concat(F.lit("null-"), bucket))
     if text:
         own = own.when(F.col(key) == "", F.concat(F.lit("blank-"), bucket))
     other = dim.withColumnRenamed(dim_key, _DIM_KEY).where(F.col(_DIM_KEY).isNotNull())
-    names = F.array(F.col(_DIM_KEY).cast("string"))
+    names = F.array(named(F.col(_DIM_KEY)))
     columns = df.columns
     if hot is not None and hot.values:
         listed = F.broadcast(hot.table(df))
         df = df.join(listed.withColumnRenamed(_DIM_KEY, "__hot"), F.col(key) == F.col("__hot"), "left").drop("__hot")
         salt = F.pmod(F.xxhash64(spread), F.col(_SALTS)).cast("string")
-        own = own.when(F.col(_SALTS).isNotNull(), F.concat(F.lit("hot-"), salt, F.lit("-"), F.col(key).cast("string")))
+        own = own.when(F.col(_SALTS).isNotNull(), F.concat(F.lit("hot-"), salt, F.lit("-"), named(F.col(key))))
         other = other.join(listed.withColumnRenamed(_DIM_KEY, "__hot"), F.col(_DIM_KEY) == F.col("__hot"), "left").drop("__hot")
         salted = F.transform(F.sequence(F.lit(0), F.col(_SALTS) - 1),
-                             lambda i: F.concat(F.lit("hot-"), i.cast("string"), F.lit("-"), F.col(_DIM_KEY).cast("string")))
+                             lambda i: F.concat(F.lit("hot-"), i.cast("string"), F.lit("-"), named(F.col(_DIM_KEY))))
         names = F.when(F.col(_SALTS).isNotNull(), salted).otherwise(names)
     left = df.select(*[F.col(quote_ident(c)) for c in columns],
-                     own.otherwise(F.col(key).cast("string")).alias(SPREAD))
+                     own.otherwise(named(F.col(key))).alias(SPREAD))
     if text:
         blank = F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)),
                             lambda i: F.concat(F.lit("blank-"), i.cast("string")))

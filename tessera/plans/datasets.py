@@ -19,7 +19,7 @@ from tessera import config as C
 from tessera.config import ReportConfig
 from tessera.functions import (
     classify_like, concat_text, first_nonblank, not_blank, on_or_after, on_or_after_or_null,
-    prefixed_key, purchase_source, recode, seat_attribution, yes_or_null,
+    normalize_key, prefixed_key, purchase_source, recode, seat_attribution, yes_or_null,
 )
 from tessera.operators import (
     duplicate_keys, first_per_key, flag_pivot, joined_text, key_pool, latest_per_key, left_join_spread,
@@ -106,6 +106,15 @@ class ReportDatasets:
         # prefixing is injective, so the prefixed pool stays distinct
         return pool.select(prefixed_key(prefix, F.col(pool.columns[0])).alias(pool.columns[0]))
 
+    @property
+    def collated(self) -> bool:
+        """Are keys and codes collated strings?"""
+        return self.cfg.key_mode == "ci_rtrim"
+
+    def _computed_key(self, col):
+        """A key that is computed, and not read from a source, as one of the sources' kind."""
+        return normalize_key(col, self.cfg.key_mode) if self.collated else col
+
     def _scope(self, df: DataFrame, key, pool_fn) -> DataFrame:
         """``df`` restricted to keys in the pool (skipped when scoping is off)."""
         return scope_by_keys(df, key, pool_fn()) if self.cfg.scope_sources else df
@@ -268,6 +277,7 @@ class ReportDatasets:
             term = ~F.col("note").contains(p)
             keep = term if keep is None else keep & term
         n = self._scope(n.where(keep), "ticket_id", lambda: self._pool("ticket_id"))
+        n = n.withColumn("note", F.col("note").cast("string"))  # spellings stay apart in the text
         return self._keep(joined_text(n, "ticket_id", "note", C.NOTES_SEPARATOR, alias="notes",
                                       **self._text_bounds), "notes")
 
@@ -288,15 +298,17 @@ class ReportDatasets:
     def _recode_rep(self, df: DataFrame, col: str) -> DataFrame:
         """``col`` through the alias table; without one, aliases must be given (``()`` for none)."""
         if self.cfg.rep_aliases is not None:
-            return df.withColumn(col, recode(col, self.cfg.rep_aliases)) if self.cfg.rep_aliases else df
+            if not self.cfg.rep_aliases:
+                return df
+            return df.withColumn(col, self._computed_key(recode(col, self.cfg.rep_aliases, collated=self.collated)))
         if not self.src.has("rep_aliases"):
             raise KeyError("no rep_aliases table: provide one, or set ReportConfig.rep_aliases "
                            "(an empty tuple if no name needs an alias)")
         aliases = first_per_key(self.src.table("rep_aliases"), "source_name", "alias").select(
             "source_name", F.col("alias").alias("__alias"), F.lit(True).alias("__listed"))
         j = left_join_spread(df, aliases, col, "TransactionDisplayName", dim_key="source_name")
-        return j.withColumn(col, F.when(F.col("__listed"), F.col("__alias")).otherwise(F.col(col))) \
-                .drop("__alias", "__listed")
+        return j.withColumn(col, F.when(F.col("__listed"), F.col("__alias")).otherwise(F.col(col).cast("string"))) \
+                .withColumn(col, self._computed_key(F.col(col))).drop("__alias", "__listed")
 
     @cached_property
     def netsuite_names(self) -> DataFrame:
@@ -371,7 +383,7 @@ class ReportDatasets:
         j = (orders
              .join(ns_link, ns_link["TransactionDisplayName"]
                    == concat_text(F.lit(C.SALES_ORDER_PREFIX), orders["sales_order_id"]), "inner")
-             .join(bof, bof["sales_order_ids"] == ns_link["TransactionID"].cast("string"), "inner")
+             .join(bof, bof["sales_order_ids"] == self._computed_key(ns_link["TransactionID"].cast("string")), "inner")
              .join(bose, bose["bose_order_id"] == bof["order_id"], "inner")
              .join(evt, evt["EventID"] == bose["selected_event_id"], "inner"))
         first = j.groupBy("sales_order_id").agg(F.min("StartDate").alias("original_event_date"),

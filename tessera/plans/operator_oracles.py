@@ -318,6 +318,10 @@ FROM customer c LEFT JOIN (
 FROM orders o JOIN customer c
   ON rtrim({_CUST_KEY.format(k='o.o_custkey')} || '   ') = rtrim(c.c_name)""",
 
+    "collated_key": """SELECT lower(p_type) AS part_type, min(p_partkey) AS first_part, arg_min(p_brand, p_partkey) AS first_brand,
+       count(*) AS parts, count(CASE WHEN lower(p_name) LIKE '%ring%' THEN 1 END) AS rings
+FROM part GROUP BY lower(p_type)""",
+
     "hybrid_union": f"""WITH {_T}, {_R},
 history AS ({_BRANCH.format(
         tag="CASE WHEN o_orderstatus = 'F' THEN 'No Show Reset' ELSE 'Active' END", src="orders")})

@@ -518,6 +518,19 @@ def q_trim_key(spark, sf_dir):
              .select("o_orderkey", "c_custkey", "c_name"))
 
 
+def q_collated_key(spark, sf_dir):
+    """Parts by type whatever its case: first part, parts with "ring" in the name, distinct brands in use."""
+    p = _tables(spark, sf_dir).read("part", "p_partkey", "p_name", "p_type", "p_brand")
+    spelled = F.when(F.col("p_partkey") % 2 == 0, F.upper("p_type")).otherwise(F.concat("p_type", F.lit("  ")))
+    p = p.select("p_partkey", "p_brand", normalize_key(spelled, "ci_rtrim").alias("type"),
+                 normalize_key(F.upper("p_name"), "ci_rtrim").alias("name"))
+    first = first_per_key(p, "type", "p_partkey").select(F.col("type"), F.col("p_brand").alias("first_brand"))
+    per_type = p.groupBy("type").agg(F.min("p_partkey").alias("first_part"), F.count("*").alias("parts"),
+                                     F.count(F.when(F.col("name").contains("ring"), 1)).alias("rings"))
+    return per_type.join(first, "type").select(F.rtrim(F.lower("type")).cast("string").alias("part_type"),
+                                               "first_part", "first_brand", "parts", "rings")
+
+
 HYBRID_SCHEMA = StructType([
     StructField("record_type", StringType()),
     StructField("tab_name", StringType()),
@@ -605,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "nullif_coalesce": q_nullif_coalesce,
     "flag_from_null": q_flag_from_null,
     "trim_key": q_trim_key,
+    "collated_key": q_collated_key,
     "hybrid_union": q_hybrid_union,
     "report_sorted": q_report_sorted,
 }

@@ -83,14 +83,6 @@ def _null(t) -> F.Column:
     return F.lit(None).cast(t)
 
 
-def _abr(col: F.Column) -> F.Column:
-    return recode(col, C.ABR_RECODE, null_codes=C.ABR_NULL_CODES)
-
-
-def _vertical(col: F.Column) -> F.Column:
-    return recode(col, C.VERTICAL_RECODE)
-
-
 # Stages and the stages that each reads, which stand before it. The names are
 # properties of the datasets, or of the report.
 STAGES: dict[str, tuple[str, ...]] = {
@@ -300,6 +292,12 @@ class Report:
     def _prefixed(df: DataFrame, prefix: str, keep: str) -> DataFrame:
         return df.select(*[F.col(c).alias(c if c == keep else prefix + c) for c in df.columns])
 
+    def _abr(self, col: F.Column) -> F.Column:
+        return recode(col, C.ABR_RECODE, null_codes=C.ABR_NULL_CODES, collated=self.ds.collated)
+
+    def _vertical(self, col: F.Column) -> F.Column:
+        return recode(col, C.VERTICAL_RECODE, collated=self.ds.collated)
+
     # The output columns need no data: they are put together while the first stages run.
     @cached_property
     def active_columns(self) -> list[F.Column]:
@@ -326,9 +324,9 @@ class Report:
             comp_type(F.col("is_comped"), F.col("sales_order_id")),
             F.col("event_date"),
             F.coalesce(F.col("a_hp_contact_id"), F.col("a_he_contact_id")),
-            _abr(F.coalesce(F.col("c_annual_business_revenue"), F.col("c_abr"))),
-            F.coalesce(F.col("c_dc_vertical"), _vertical(F.col("c_vertical"))),
-            recode(F.col("c_customer_status"), C.ELITE_STATUS_RECODE, default="null"),
+            self._abr(F.coalesce(F.col("c_annual_business_revenue"), F.col("c_abr"))),
+            F.coalesce(F.col("c_dc_vertical"), self._vertical(F.col("c_vertical"))),
+            recode(F.col("c_customer_status"), C.ELITE_STATUS_RECODE, default="null", collated=self.ds.collated),
             _null(S), F.col("status"), _null(S),
             F.col("c_is_10x360_flag"), F.col("c_first_10x360_purchase_date"),
             F.col("c_ItemName"), _null(MONEY),
@@ -365,8 +363,8 @@ class Report:
             comp_type(F.col("is_comped"), F.col("sales_order_id")),
             F.col("event_date"),
             F.col("he_contact_id"),
-            _abr(F.coalesce(F.col("cv_annual_business_revenue"), F.col("c_abr"))),
-            F.coalesce(F.col("cv_dc_vertical"), _vertical(F.col("vertical"))),
+            self._abr(F.coalesce(F.col("cv_annual_business_revenue"), F.col("c_abr"))),
+            F.coalesce(F.col("cv_dc_vertical"), self._vertical(F.col("vertical"))),
             F.col("customer_elite_status"),
             _null(S), F.col("source_ticket_status"), _null(S),
             F.col("cv_is_10x360_flag"), F.col("cv_first_10x360_purchase_date"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import normalize_key
-from tessera.sources.schemas import KEY_COLUMNS, SOURCE_SCHEMAS
+from tessera.sources.schemas import KEY_COLUMNS, PATTERN_COLUMNS, SOURCE_SCHEMAS
 
 
 class SourceCatalog:
@@ -98,6 +98,8 @@ class SourceCatalog:
         if schema is None:
             return df
         keys = KEY_COLUMNS.get(name, ())
+        if self.key_mode == "ci_rtrim":  # case does not count in LIKE, either
+            keys = (*keys, *PATTERN_COLUMNS.get(name, ()))
         return df.select(*[
             (normalize_key(F.col(f"`{f.name}`").cast(f.dataType), self.key_mode) if f.name in keys
              else F.col(f"`{f.name}`").cast(f.dataType)).alias(f.name) for f in schema.fields])

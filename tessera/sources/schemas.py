@@ -115,3 +115,12 @@ KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "silver_Events": ("EventID",),
     "rep_aliases": ("source_name",),
 }
+
+# Columns that the report searches for a pattern (LIKE).
+PATTERN_COLUMNS: dict[str, tuple[str, ...]] = {
+    "silver_EventSession": ("SessionName",),
+    "kiosk_registrations": ("session_name",),
+    "silver_Transaction": ("ItemName",),
+    "bronze_OrdersSelectedEventsFULL": ("selected_event_name",),
+    "notes": ("note",),
+}

@@ -196,6 +196,29 @@ def test_shared_base_has_one_scan(spark):
     assert plan.count("FileScan parquet") == 1
 
 
+def test_collated_keys(spark):
+    """Joins, groups, partitions and substring tests of a collated key ignore case and trailing blanks."""
+    from tessera.operators import flag_pivot, hot_keys, left_join_spread, lookup
+
+    df = spark.createDataFrame([("Ab", 1, "RYB Gold"), ("aB ", 2, "ryb silver"), ("c", 3, "x"), (None, 4, None), ("", 5, "y")],
+                               "k string, v int, t string")
+    df = df.select(normalize_key("k", "ci_rtrim").alias("k"), "v", normalize_key("t", "ci_rtrim").alias("t"))
+    assert sorted(r["v"] for r in latest_per_key(df, "k", "v").collect()) == [2, 3, 4, 5]
+    assert df.where(F.col("t").contains("RYB")).count() == 2
+    flags = flag_pivot(df, "k", "t", [("gold", "GOLD"), ("silver", "Silver")]).where("k = 'AB'").collect()
+    assert [(r["gold"], r["silver"]) for r in flags] == [("Yes", "Yes")]
+    dim = spark.createDataFrame([("AB", 10), ("  ", 20), ("d", 30)], "k string, w int").select(
+        normalize_key("k", "ci_rtrim").alias("k"), "w")
+    for join in (lambda: left_join_spread(df, dim, "k", "v", buckets=4), lambda: lookup(df, dim, "k"),
+                 lambda: left_join_spread(df, dim, "k", "v", hot=hot_keys(df, "k", partitions=4)["k"])):
+        assert {r["v"]: r["w"] for r in join().collect()} == {1: 10, 2: 10, 3: None, 4: None, 5: 20}
+    with pytest.raises(Exception, match="has 2 rows"):
+        lookup(df, dim.unionAll(dim.limit(0)).unionAll(
+            spark.createDataFrame([("ab  ", 11)], "k string, w int").select(normalize_key("k", "ci_rtrim"), "w")), "k").collect()
+    code = recode(F.col("k"), [("AB", "first"), ("c", "third")], null_codes=["C"], collated=True)
+    assert [r[0] for r in df.orderBy("v").select(code).collect()] == ["first", "first", None, None, ""]
+
+
 def test_conform_positional(spark):
     from pyspark.sql.types import LongType, StringType, StructField, StructType
 

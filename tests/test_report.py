@@ -326,6 +326,35 @@ def test_trailing_blanks_of_keys(spark, key_mode, rows):
     assert all(r["EliteStatus"] == "E125" and r["AttendeeFullName"] == "John Smith" and r["Attended"] == "Yes" for r in t1)
 
 
+def test_case_of_keys_codes_and_patterns(spark, fixture_sources, report_rows):
+    """Under ``ci_rtrim`` other spellings of keys, codes and searched texts give the same report."""
+    from report_fixture import SOURCES
+    from tessera.sources.schemas import KEY_COLUMNS, PATTERN_COLUMNS, SOURCE_SCHEMAS
+
+    def respelled(name, rows):
+        fields = [f.name for f in SOURCE_SCHEMAS[name].fields]
+        at = {fields.index(c) for c in (*KEY_COLUMNS.get(name, ()), *PATTERN_COLUMNS.get(name, ()))}
+        return [tuple(v.swapcase() + " " if k in at and isinstance(v, str) and v and n % 2 == 0 else v
+                      for k, v in enumerate(row)) for n, row in enumerate(rows)]
+
+    swapped = {name: rows if name == "rep_aliases" else respelled(name, rows) for name, rows in SOURCES.items()}
+    # the same customer key in two spellings is one partition: the smaller company id wins
+    swapped["silver_Companies"] = [*swapped["silver_Companies"],
+                                   *[(c[0].swapcase(), c[1] + 1000) if SOURCE_SCHEMAS["silver_Companies"].fields[0].name == "CVCustomerID"
+                                     else (c[0] + 1000, c[1].swapcase()) for c in SOURCES["silver_Companies"]
+                                     if all(v is not None for v in c)]]
+
+    def folded(rows):
+        return Counter(tuple(sorted((k, str(v).lower().strip()) for k, v in r.items() if k != "Notes")) for r in rows)
+
+    src = SourceCatalog(spark, frames=frames_from_rows(spark, swapped))
+    rep = Report(src, ReportConfig(key_mode="ci_rtrim"))
+    rows = rows_of(rep.build())
+    rep.release()
+    assert folded(rows) == folded(report_rows)
+    assert {r["RYB"] for r in rows} - {None} != set() and {r["SourceofPurchase"] for r in rows} >= {"POS"}
+
+
 def test_time_of_day_counts(spark):
     from report_fixture import SOURCES
 
