@@ -18,6 +18,9 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # key pools up to this size filter the scans of large tables (operators/scope.py);
+    # a filter of Spark's largest size (8 MB) suits some four million keys
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "64m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # remove checkpoint files once their DataFrame is garbage collected

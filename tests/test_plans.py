@@ -42,6 +42,50 @@ def test_filters_and_projection_reach_the_scan(spark):
         ["l_orderkey:bigint", "l_linenumber:int", "l_returnflag:string", "l_quantity:double"])
 
 
+def shuffled_rows(df) -> int:
+    """Rows written by the shuffles of a plan that has not run yet (without adaptive execution)."""
+    df.collect()
+    total, nodes = 0, [df._jdf.queryExecution().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "Exchange":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+    return total
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_key_pools_filter_large_scans(spark, kind):
+    """Spark's runtime filter is put in above its size threshold; rows stay the same, fewer are shuffled."""
+    import tempfile
+
+    from pyspark.sql import functions as F
+    from tessera.operators import key_pool, scope_by_keys
+
+    root = tempfile.mkdtemp(prefix="tessera-scope-")
+    spark.range(100_000).select(F.col("id").cast(kind).alias("k"), F.col("id").alias("v")).write.parquet(f"{root}/big")
+    spark.range(0, 100_000, 500).select(F.col("id").cast(kind).alias("k")).write.parquet(f"{root}/used")
+    big, used = spark.read.parquet(f"{root}/big"), spark.read.parquet(f"{root}/used")
+    threshold = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        scoped = lambda: scope_by_keys(big, "k", key_pool((used, "k"), (used, "k")))
+        plain = scoped()
+        assert "might_contain" not in optimized_of(plain)       # a small scan
+        spark.conf.set(threshold, "1b")
+        filtered = scoped()
+        assert "might_contain" in optimized_of(filtered) and "LeftSemi" in optimized_of(filtered)
+        assert shuffled_rows(filtered) < shuffled_rows(plain) / 20
+        assert sorted(r["v"] for r in filtered.collect()) == sorted(r["v"] for r in plain.collect()) == list(range(0, 100_000, 500))
+    finally:
+        spark.conf.unset(threshold)
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
 def inline_report(sources):
     """The whole report as one plan, so that stages are looked at, too."""
     return Report(sources, ReportConfig(materialize="none")).build()
