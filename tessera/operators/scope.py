@@ -11,9 +11,10 @@ the join would shuffle is thrown away. Spark can test a Bloom filter of the
 pool's keys while it scans the table, before the shuffle, and does so by
 itself where the scan is above
 ``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``
-(10 GB) and the pool below ``...creationSideThreshold``. It takes only a side
-with a comparison for one that may be selective; so the pool is given one
-that holds for every key. The exact semi-join follows either way.
+(10 GB) and the pool, a written table, below ``...creationSideThreshold``. It
+takes only a side with a comparison for one that may be selective; so the
+pool is given one that holds for every key. The exact semi-join follows
+either way.
 """
 
 from __future__ import annotations

@@ -35,7 +35,6 @@ class ReportDatasets:
     def __init__(self, sources: SourceCatalog, cfg: ReportConfig | None = None) -> None:
         self.cfg = cfg or ReportConfig()
         self.src = sources.with_key_mode(self.cfg.key_mode)
-        self._pools: dict[str, DataFrame] = {}
         self._kept: list[Staged] = []
 
     # ------------------------------------------------------------------
@@ -82,7 +81,6 @@ class ReportDatasets:
         for name, value in list(self.__dict__.items()):
             if isinstance(value, DataFrame) and id(value) not in held:
                 del self.__dict__[name]
-        self._pools.clear()
 
     def held(self) -> set[int]:
         """Identities of the stages that are held."""
@@ -96,13 +94,35 @@ class ReportDatasets:
     def _text_bounds(self) -> dict[str, int]:
         return {"segments": self.cfg.text_segments, "max_bytes": self.cfg.max_text_bytes}
 
-    # key pools: tickets ∪ resets, each built once
-    def _pool(self, col: str, prefix: str | None = None) -> DataFrame:
-        if col not in self._pools:
-            self._pools[col] = key_pool((self.tickets, col), (self.resets, col))
-        pool = self._pools[col]
-        if prefix is None:
-            return pool
+    # Key pools. As tables they are small scans, which Spark may turn into runtime
+    # filters of the large ones (operators/scope.py).
+    def _live_keys(self, col: str) -> DataFrame:
+        """Distinct keys of tickets ∪ resets."""
+        return self._keep(key_pool((self.tickets, col), (self.resets, col)), f"pool-{col}")
+
+    @cached_property
+    def ticket_pool(self) -> DataFrame:
+        return self._live_keys("ticket_id")
+
+    @cached_property
+    def attendee_pool(self) -> DataFrame:
+        return self._live_keys("attendee_id")
+
+    @cached_property
+    def customer_pool(self) -> DataFrame:
+        return self._live_keys("customer_id")
+
+    @cached_property
+    def order_pool(self) -> DataFrame:
+        return self._live_keys("sales_order_id")
+
+    @cached_property
+    def live_ticket_pool(self) -> DataFrame:
+        """Ticket ids of the live tickets alone."""
+        return self._keep(key_pool((self.tickets, "ticket_id")), "pool-live-tickets")
+
+    @staticmethod
+    def _prefixed_pool(pool: DataFrame, prefix: str) -> DataFrame:
         # prefixing is injective, so the prefixed pool stays distinct
         return pool.select(prefixed_key(prefix, F.col(pool.columns[0])).alias(pool.columns[0]))
 
@@ -128,7 +148,7 @@ class ReportDatasets:
         a = self.src.table("attendees").select(
             "attendee_id", "person_id", "attendee_name", "attendee_email", "attendee_phone",
             "dietary_restrictions")
-        return self._keep(self._scope(a, "attendee_id", lambda: self._pool("attendee_id")), "attendees")
+        return self._keep(self._scope(a, "attendee_id", lambda: self.attendee_pool), "attendees")
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -136,7 +156,7 @@ class ReportDatasets:
         c = self.src.table("customers").select(
             F.col("id").alias("customer_id"), F.col("name").alias("company_name"),
             "cv_customer_id", "abr", "vertical", F.col("status").alias("customer_status"))
-        return self._keep(self._scope(c, "customer_id", lambda: self._pool("customer_id")), "customers")
+        return self._keep(self._scope(c, "customer_id", lambda: self.customer_pool), "customers")
 
     @cached_property
     def dim_customer_base(self) -> DataFrame:
@@ -192,7 +212,7 @@ class ReportDatasets:
             & F.col("check_in_undone_at").isNull()
             & F.col("ticket_id").isNotNull()).select("ticket_id", "session_id", "event_id")
         # only live tickets read the check-ins
-        ku = self._scope(ku, "ticket_id", lambda: key_pool((self.tickets, "ticket_id")))
+        ku = self._scope(ku, "ticket_id", lambda: self.live_ticket_pool)
         kr = self.src.table("kiosk_registrations").select("session_id", "event_id", "session_name")
         j = ku.join(kr, ["session_id", "event_id"], "inner")
         return flag_pivot(j, "ticket_id", "session_name", C.CHECKIN_FLAGS)
@@ -251,7 +271,7 @@ class ReportDatasets:
     def _transactions(self) -> DataFrame:
         """Payment lines of live sales orders (one read for B11 and B13)."""
         return self._keep(self._scope(self.src.table("transactions"), "sales_order_id",
-                                      lambda: self._pool("sales_order_id")), "transactions")
+                                      lambda: self.order_pool), "transactions")
 
     @cached_property
     def _erp_lines(self) -> DataFrame:
@@ -259,7 +279,7 @@ class ReportDatasets:
         lines = self.src.table("silver_Transaction").where(F.col("TransactionType") == C.SALES_ORDER_TYPE).select(
             "TransactionDisplayName", "SalesRepName", "SalesRep2Name", "TransactionID", "TransactionLineID")
         return self._keep(self._scope(lines, "TransactionDisplayName",
-                                      lambda: self._pool("sales_order_id", C.SALES_ORDER_PREFIX)), "erp-lines")
+                                      lambda: self._prefixed_pool(self.order_pool, C.SALES_ORDER_PREFIX)), "erp-lines")
 
     @cached_property
     def refunds(self) -> DataFrame:
@@ -276,7 +296,7 @@ class ReportDatasets:
         for p in C.NOTE_EXCLUDED_PATTERNS:
             term = ~F.col("note").contains(p)
             keep = term if keep is None else keep & term
-        n = self._scope(n.where(keep), "ticket_id", lambda: self._pool("ticket_id"))
+        n = self._scope(n.where(keep), "ticket_id", lambda: self.ticket_pool)
         n = n.withColumn("note", F.col("note").cast("string"))  # spellings stay apart in the text
         return self._keep(joined_text(n, "ticket_id", "note", C.NOTES_SEPARATOR, alias="notes",
                                       **self._text_bounds), "notes")
@@ -344,7 +364,7 @@ class ReportDatasets:
         """History rows of live tickets (one scoped read for B19, B22, B23)."""
         h = self.src.table("history").where(F.col("action").isin(
             C.CONFIRM_ACTION, C.RESCHEDULE_ACTION, C.UNDECIDED_ACTION))
-        return self._keep(self._scope(h, "ticket_id", lambda: key_pool((self.tickets, "ticket_id"))), "history")
+        return self._keep(self._scope(h, "ticket_id", lambda: self.live_ticket_pool), "history")
 
     @cached_property
     def confirmed_by(self) -> DataFrame:

@@ -92,12 +92,17 @@ STAGES: dict[str, tuple[str, ...]] = {
     "resets": (),
     "ticket_hot_keys": ("tickets",),
     "reset_hot_keys": ("resets",),
-    "attendees": ("tickets", "resets"),
-    "customers": ("tickets", "resets"),
-    "_transactions": ("tickets", "resets"),
-    "_erp_lines": ("tickets", "resets"),
-    "ticket_notes": ("tickets", "resets"),
-    "_history_scoped": ("tickets",),
+    "live_ticket_pool": ("tickets",),
+    "ticket_pool": ("tickets", "resets"),
+    "attendee_pool": ("tickets", "resets"),
+    "customer_pool": ("tickets", "resets"),
+    "order_pool": ("tickets", "resets"),
+    "attendees": ("attendee_pool",),
+    "customers": ("customer_pool",),
+    "_transactions": ("order_pool",),
+    "_erp_lines": ("order_pool",),
+    "ticket_notes": ("ticket_pool",),
+    "_history_scoped": ("live_ticket_pool",),
     "cv_pool": ("customers", "resets"),
     "hubspot_email": ("attendees", "resets"),
     "pos_original_event_dedup": ("tickets", "resets", "_erp_lines"),
@@ -106,7 +111,7 @@ STAGES: dict[str, tuple[str, ...]] = {
     "_first_company": ("cv_pool",),
     "_ticket_flags": ("tickets", "_history_scoped", "pos_original_event_dedup"),
     "cv_profile": ("cv_pool", "dim_customer_base", "_first_company"),
-    "ticket_facts": ("tickets", "ticket_notes", "_history_scoped"),
+    "ticket_facts": ("tickets", "live_ticket_pool", "ticket_notes", "_history_scoped"),
     "attendee_profile": ("attendees", "hubspot_email"),
     "customer_profile": ("customers", "cv_profile"),
 }

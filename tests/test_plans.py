@@ -66,16 +66,20 @@ def test_key_pools_filter_large_scans(spark, kind):
     spark.range(100_000).select(F.col("id").cast(kind).alias("k"), F.col("id").alias("v")).write.parquet(f"{root}/big")
     spark.range(0, 100_000, 500).select(F.col("id").cast(kind).alias("k")).write.parquet(f"{root}/used")
     big, used = spark.read.parquet(f"{root}/big"), spark.read.parquet(f"{root}/used")
+    key_pool((used, "k"), (used, "k")).write.parquet(f"{root}/pool")
+    pool = spark.read.parquet(f"{root}/pool")
     threshold = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
-    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    # between the sizes of the two tables, as the real bounds are
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "100k"}
     before = {c: spark.conf.get(c) for c in conf}
     try:
         for c, v in conf.items():
             spark.conf.set(c, v)
-        scoped = lambda: scope_by_keys(big, "k", key_pool((used, "k"), (used, "k")))
+        scoped = lambda: scope_by_keys(big, "k", pool)
         plain = scoped()
         assert "might_contain" not in optimized_of(plain)       # a small scan
-        spark.conf.set(threshold, "1b")
+        spark.conf.set(threshold, "100k")
         filtered = scoped()
         assert "might_contain" in optimized_of(filtered) and "LeftSemi" in optimized_of(filtered)
         assert shuffled_rows(filtered) < shuffled_rows(plain) / 20
