@@ -6,15 +6,21 @@ then appear unchanged. All pieces go into one automaton that finds exact
 hits in a single pass over each text; the text around a hit is verified with
 Myers' bit-parallel edit distance against the whole item.
 
+A piece that many items share, as in a benchmark whose items have a common
+stem, is verified for all of them at once.
+
 Texts and items are compared in lower case with white-space runs made one
-space. Items are taken in blocks of ``BLOCK_ITEMS``, each block's pieces are
-broadcast (at most some 2 KB an item), and every document is read against
-every block, so benchmarks of any size are covered in full.
-
-Defined cases: null and empty texts are clean; empty items match nothing;
-items so short that k is 0 must appear whole and between word boundaries;
-repeated items count once by id and text; repeated rows and null ids pass
-through; an empty table gives an empty result.
+space. Items are taken in blocks of at most ``BLOCK_ITEMS`` items and
+``BLOCK_CHARS`` characters of pieces, one block is broadcast at a time, and
+every document is read against every block. The distance reported is the
+least of the item to any part of the text, whatever the blocks.
+
+Defined cases: null and empty texts are clean; a text of any length is read
+whole; empty items match nothing; items so short that k is 0 must appear
+whole and between word boundaries; repeated items count once by id and text;
+items of equal distance are listed by id; repeated rows and null ids pass
+through; an empty table gives an empty result; further columns, whatever
+their names, are not read (or, where rows are kept, pass through).
 """
 
 from __future__ import annotations
@@ -25,6 +31,7 @@ from functools import reduce
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,6 +44,10 @@ from tessera.llm.common import keep_rows, materialize, plain, read_table, slices
 ERROR_RATE = 0.05
 BLOCK_ITEMS = 50_000
 BLOCK_CHARS = 4_000_000   # of pieces in one automaton
+# items that share a piece and are verified together, from so many on, and at most at a time
+MANY, TOGETHER = 24, 4096
+# fills up shorter patterns: no code point
+NO_CODE = 0xFFFFFFFF
 
 # id, normalised text, number, first and last (exclusive) of the pieces to look for
 Item = tuple[object, str, int, int, int]
@@ -82,52 +93,138 @@ def myers_distance(pattern: str, text: str) -> int:
     return best
 
 
+def myers_distances(patterns: np.ndarray, lengths: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Least edit distance of each pattern to any part of ``text``: Myers' recurrence for all patterns at once.
+
+    ``patterns`` holds code points, a row each, filled up with a number that
+    no text holds; a pattern has a bit each in one or more 64-bit words.
+    """
+    n, words = len(patterns), max(1, -(-patterns.shape[1] // 64))
+    one, high = np.uint64(1), np.uint64(63)
+    masks: dict[int, np.ndarray] = {}
+    for code in np.unique(text).tolist():
+        bits = np.zeros((n, words * 64), bool)
+        bits[:, :patterns.shape[1]] = patterns == code
+        masks[code] = np.ascontiguousarray(np.packbits(bits, axis=1, bitorder="little").view("<u8").T)
+    ends = [np.where((lengths - 1) // 64 == w, one << ((lengths - 1) % 64).astype(np.uint64), np.uint64(0))
+            for w in range(words)]
+    vp, vn = np.full((words, n), ~np.uint64(0)), np.zeros((words, n), np.uint64)
+    score = lengths.astype(np.int64)
+    best = score.copy()
+    for code in text.tolist():
+        mask = masks[code]
+        carry = hp_in = hn_in = np.uint64(0)
+        for w in range(words):
+            x, pos, neg = mask[w], vp[w], vn[w]
+            both = x & pos
+            half = both + pos
+            total = half + carry
+            d0 = (total ^ pos) | x | neg
+            hp, hn = neg | ~(d0 | pos), d0 & pos
+            carry = ((half < both) | (total < half)).astype(np.uint64)
+            score += (hp & ends[w]) != 0
+            score -= (hn & ends[w]) != 0
+            hp_next, hn_next = hp >> high, hn >> high
+            hp, hn = hp << one | hp_in, hn << one | hn_in
+            hp_in, hn_in = hp_next, hn_next
+            vp[w], vn[w] = hn | ~(d0 | hp), hp & d0
+        np.minimum(best, score, out=best)
+    return best
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+class Group:
+    """Items with the same piece at the same place and the same error budget: a hit fits all or none of them."""
+
+    def __init__(self, members: list[int], offset: int, errors: int) -> None:
+        self.members, self.offset, self.errors = np.array(members), offset, errors
+
+
 class Matcher:
-    """Finds the items of one block in a normalised text."""
+    """Finds the items of one block in a normalised text.
+
+    A hit of a piece is verified for every item that has the piece there:
+    one by one where they are few, all at once (``myers_distances``) where a
+    stem is shared by many. The distance is the least over all hits, so it
+    does not depend on which pieces stand in the same block.
+    """
 
     def __init__(self, items: list[Item], error_rate: float) -> None:
         self.items = items
         self.errors = [int(len(item[1]) * error_rate) for item in items]
         self.automaton = ahocorasick.Automaton()
-        places: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        places: dict[str, dict[tuple[int, int], list[int]]] = defaultdict(lambda: defaultdict(list))
         for k, (_, text, _, first, last) in enumerate(items):
             for offset, piece in pieces(text, self.errors[k])[first:last]:
-                places[piece].append((k, offset))
-        for piece, where in places.items():
-            self.automaton.add_word(piece, (len(piece), where))
+                places[piece][offset, self.errors[k]].append(k)
+        for piece, groups in places.items():
+            self.automaton.add_word(piece, (len(piece), [Group(m, o, e) for (o, e), m in groups.items()]))
         if places:
             self.automaton.make_automaton()
 
-    def found(self, text: str) -> Iterator[tuple[Item, int]]:
-        """``(item, distance)`` of every item that is in ``text``."""
-        if not text or not len(self.automaton):
-            return
-        tried: dict[int, set[int]] = defaultdict(set)
-        done: set[int] = set()
-        for end, (size, where) in self.automaton.iter(text):
-            for k, offset in where:
-                if k in done:
-                    continue
-                start = end + 1 - size - offset
-                item, err = self.items[k][1], self.errors[k]
-                # hits that one window covers are tried once
-                cell = start // (err + 1)
-                if cell in tried[k]:
-                    continue
-                tried[k].add(cell)
-                lo, hi = cell * (err + 1) - err, cell * (err + 1) + len(item) + 2 * err + 1
-                if err == 0:
-                    a, b = start, start + len(item)
-                    if (a > 0 and text[a - 1].isalnum() and item[0].isalnum()
-                            or b < len(text) and text[b].isalnum() and item[-1].isalnum()):
-                        tried[k].discard(cell)
-                        continue
-                    distance = 0
+    def _windows(self, text: str) -> Iterator[tuple[int, int, np.ndarray]]:
+        """``(error budget, place, items)``: windows to verify, each once per item."""
+        tried: dict[tuple[int, int], set[int]] = defaultdict(set)
+        for end, (size, groups) in self.automaton.iter(text):
+            for group in groups:
+                # hits that one window covers are tried once; without errors the place is exact
+                place = (end + 1 - size - group.offset) // (group.errors + 1)
+                seen = tried[group.errors, place]
+                if seen:
+                    new = np.array([k for k in group.members.tolist() if k not in seen], int)
                 else:
-                    distance = myers_distance(item, text[max(0, lo):max(0, hi)])
-                if distance <= err:
-                    done.add(k)
-                    yield self.items[k], distance
+                    new = group.members
+                if len(new):
+                    seen.update(new.tolist())
+                    yield group.errors, place, new
+
+    def _whole(self, text: str, start: int, k: int) -> bool:
+        """Does an item without error budget, found at ``start``, stand between word boundaries?"""
+        item, end = self.items[k][1], start + len(self.items[k][1])
+        return not (start > 0 and text[start - 1].isalnum() and item[0].isalnum()
+                    or end < len(text) and text[end].isalnum() and item[-1].isalnum())
+
+    def _distances(self, text: str, errors: int, place: int, members: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Items of one window and their distances."""
+        if not errors:
+            yield from ((k, 0) for k in members.tolist() if self._whole(text, place, k))
+            return
+        low = place * (errors + 1) - errors
+        reach = 3 * errors + 1  # errors before, and the place's own uncertainty behind
+        if len(members) < MANY:
+            for k in members.tolist():
+                item = self.items[k][1]
+                yield k, myers_distance(item, text[max(0, low):max(0, low + len(item) + reach)])
+            return
+        lengths = np.array([len(self.items[k][1]) for k in members])
+        # items of one budget differ by less than a word; a window of the longest holds every other
+        window = code_points(text[max(0, low):max(0, low + int(lengths.max()) + reach)])
+        for at in range(0, len(members), TOGETHER):
+            part = members[at:at + TOGETHER]
+            rows = np.full((len(part), int(lengths.max())), NO_CODE, np.uint32)
+            for row, k in enumerate(part.tolist()):
+                rows[row, :len(self.items[k][1])] = code_points(self.items[k][1])
+            yield from zip(part.tolist(), myers_distances(rows, lengths[at:at + TOGETHER], window).tolist())
+
+    def found(self, text: str) -> list[tuple[Item, int]]:
+        """``(item, distance)`` of every item that is in ``text``, with its least distance to a part of it."""
+        if not text or not len(self.automaton):
+            return []
+        best: dict[int, int] = {}
+        for errors, place, members in self._windows(text):
+            for k, distance in self._distances(text, errors, place, members):
+                if distance <= errors and distance < best.get(k, errors + 1):
+                    best[k] = distance
+        return [(self.items[k], distance) for k, distance in best.items()]
+
+    def any_in(self, text: str) -> bool:
+        """Is any item in ``text``? Stops at the first."""
+        return bool(text and len(self.automaton)) and any(
+            distance <= errors for errors, place, members in self._windows(text)
+            for _, distance in self._distances(text, errors, place, members))
 
 
 def _dealt(benchmark: DataFrame, id_col: str, text_col: str, block_items: int, block_chars: int) -> DataFrame:
@@ -251,7 +348,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
 
         def decide():
             matcher = matcher_of()
-            return lambda texts: [next(matcher.found(normalize(t)), None) is None for t in texts]
+            return lambda texts: [not matcher.any_in(normalize(t)) for t in texts]
 
         return keep_rows(docs, text_col, decide)
     found = _found(docs, chain((block, more), blocks), text_col, benchmark.schema[item_id].dataType, error_rate)

@@ -279,9 +279,11 @@ def test_myers():
 
 
 def brute_leaks(rows, items):
+    """``id, contaminated, n_items, [(item, distance)]``."""
     out = []
     for i, t in rows:
         t = normalize(t or "")
+        distance = brute_distance if len(t) < 5000 else myers_distance  # the latter is tested against the former
         hits = []
         for k, item in items:
             item, err = normalize(item or ""), None
@@ -289,11 +291,11 @@ def brute_leaks(rows, items):
                 continue
             err = int(len(item) * ERROR_RATE)
             if err:
-                if brute_distance(item, t) <= err:
-                    hits.append(k)
+                if distance(item, t) <= err:
+                    hits.append((k, distance(item, t)))
             elif re.search((r"(?<![^\W_])" if item[0].isalnum() else "") + re.escape(item)
                            + (r"(?![^\W_])" if item[-1].isalnum() else ""), t):
-                hits.append(k)
+                hits.append((k, 0))
         out.append((i, bool(hits), len(hits), sorted(hits)))
     return out
 
@@ -313,12 +315,14 @@ def test_leaks(spark, block):
             item[p:p + 1] = rng.choice(([], ["z"], ["z", item[p]]))
         text[at:at] = item if k % 2 else []
         rows.append((k, "".join(text).title() if k % 3 else "".join(text).replace(" ", "\n ")))
-    rows += [r[:2] for r in ROWS if r[1] is not LONG] + [(99, "a?!b")]
+    rows += [r[:2] for r in ROWS] + [(99, "a?!b"), (98, LONG + items[4][1][1:] + LONG)]
+    # a copy with an error, then an exact one: the least distance counts, in whichever block a piece stands
+    rows += [(97, f"{items[4][1][:30]}z{items[4][1][30:]} and {items[4][1]}")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, hits string")
     bench = spark.createDataFrame([(*x, "c") for x in items], "item_id long, text string, hits string")
     want = brute_leaks(rows, dict(items).items())
     got = decontaminate(df, bench, block_items=block).collect()
-    assert same_rows([(*r[:3], sorted(r[3])) for r in got], want)
+    assert same_rows([leaks_of(r) for r in got], want)
     clean = keep_clean(df, bench, block_items=block)
     assert clean.columns == df.columns
     assert Counter(r["doc_id"] for r in clean.collect()) == Counter(w[0] for w in want if not w[1])
@@ -326,6 +330,56 @@ def test_leaks(spark, block):
     assert decontaminate(df.limit(0), bench).count() == 0
 
 
+def leaks_of(row):
+    return (*row[:3], sorted(zip(row["item_ids"], row["distances"])))
+
+
+def test_distances_of_many_patterns():
+    rng = random.Random(8)
+    for _ in range(60):
+        patterns = ["".join(rng.choices("abcd", k=rng.randrange(1, 200))) for _ in range(rng.randrange(1, 40))]
+        text = "".join(rng.choices("abcd", k=rng.randrange(0, 200)))
+        sizes = np.array([len(p) for p in patterns])
+        codes = np.full((len(patterns), sizes.max()), decontaminate_module.NO_CODE, np.uint32)
+        for row, p in enumerate(patterns):
+            codes[row, :len(p)] = decontaminate_module.code_points(p)
+        got = decontaminate_module.myers_distances(codes, sizes, decontaminate_module.code_points(text))
+        assert got.tolist() == [myers_distance(p, text) for p in patterns]
+
+
+@pytest.mark.parametrize("together", [7, 4096])
+def test_items_with_a_common_stem(monkeypatch, together):
+    """A hot piece is verified for all its items at once, with the distances of plain Python."""
+    monkeypatch.setattr(decontaminate_module, "TOGETHER", together)
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(200)]
+    stem = "what is the right answer to this question about the history of"
+    items = [(k, normalize(f"{stem} {' '.join(rng.choices(words, k=rng.randrange(2, 30)))}"), k, 0, 10 ** 9) for k in range(300)]
+    matcher = decontaminate_module.Matcher(items, ERROR_RATE)
+    for k in range(0, 300, 25):
+        copy = items[k][1].replace("history", "hstory", k % 2)
+        text = normalize(" ".join(rng.choices(words, k=40)) + f" {stem} {copy} " + " ".join(rng.choices(words, k=40)))
+        want = {i[0]: myers_distance(i[1], text) for i in items}
+        want = {i: d for i, d in want.items() if d <= int(len(items[i][1]) * ERROR_RATE)}
+        assert want and {i[0]: d for i, d in matcher.found(text)} == want
+        assert matcher.any_in(text)
+    assert matcher.found(" ".join(words)) == [] and not matcher.any_in(f"{stem} {' '.join(words)}")
+
+
+def test_a_stem_that_very_many_items_share():
+    import time
+
+    rng = random.Random(10)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 9))) for _ in range(3000)]
+    stem = "what is the correct answer to the following question about the history of "
+    items = [(k, stem + " ".join(rng.choices(words, k=12)), k, 0, 10 ** 9) for k in range(20_000)]
+    matcher = decontaminate_module.Matcher(items, ERROR_RATE)
+    text = (" ".join(rng.choices(words, k=120)) + " " + items[77][1] + " " + " ".join(rng.choices(words, k=120)))[:1620]
+    began = time.process_time()
+    assert [(i[0], d) for i, d in matcher.found(text)] == [(77, 0)]
+    assert time.process_time() - began < 10  # one by one it takes over a minute
+
+
 def test_blocks_are_bounded_by_characters(spark):
     rng = random.Random(6)
     items = [(k, "".join(rng.choices("abcdefgh", k=n))) for k, n in enumerate((30, 60, 1000, 45, 90, 700, 5))] + [(2, "zz yy")]
@@ -342,7 +396,7 @@ def test_blocks_are_bounded_by_characters(spark):
             (3, f"{items[1][1]} zz yy {items[4][1]}"), (4, "clean")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = decontaminate(df, bench, block_chars=200).collect()
-    assert same_rows([(*r[:3], sorted(r[3])) for r in got], brute_leaks_of(rows, items))
+    assert same_rows([leaks_of(r) for r in got], brute_leaks_of(rows, items))
     assert [r["doc_id"] for r in keep_clean(df, bench, block_chars=200).orderBy("doc_id").collect()] == [None, 4]
 
 
