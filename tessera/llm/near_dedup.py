@@ -285,4 +285,6 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def op7_near_dedup(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2)
+    rows = near_duplicates(read_table(spark, sf_dir, "documents"), shingle_words=2)
+    # the operator keeps one row of a component; of rows that share its id, the contract's column takes all
+    return rows.withColumn("row_kept", F.col("kept")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -39,6 +39,9 @@ def test_stages_take_awkward_rows(spark):
         assert out.schema == awkward(spark).schema, name
         assert out.count() > 0
         assert stage(spark, empty(spark), SMALL).count() == 0
+    name, last = corpus_pipeline.STAGES[-1]
+    assert last(spark, awkward(spark), SMALL).count() == awkward(spark).count(), name
+    assert last(spark, empty(spark), SMALL).count() == 0
 
 
 def test_exact_stage_keeps_one_of_repeated_rows(spark):
