@@ -3,6 +3,14 @@
 ``STAGES`` run in order, each on all that the one before kept; ``run``
 writes every stage's result to the shared folder and reads it again, so a
 stage that fails or loses executors repeats only its own work.
+
+Defined cases, in every stage: a null text is the empty text, and stays null
+in the rows that a stage keeps; texts of any length are read whole; rows with
+a null id, and rows that share an id, are documents each; of equal or
+near-equal texts the smallest id stays (a null id only where there is no
+other), and of rows that are equal in id and text one; further columns,
+whatever their names, pass through all stages but the last; an empty table
+stays empty. ``encode`` returns a row for each row it gets.
 """
 
 from __future__ import annotations
