@@ -237,4 +237,5 @@ def op6_pii(spark, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[F.size(F.filter("spans", of_kind(k))).cast("long").alias(f"n_{k}") for k in BASE],
-        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        (F.size("spans") > 0).alias("has_personal_data"))

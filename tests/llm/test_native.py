@@ -194,6 +194,7 @@ def test_pii(spark, monkeypatch):
     check_pii(rows, out)
     added = next(r["spans"] for r in out if r["doc_id"] == 4 and "masked_email" in (r["spans"] or ""))
     assert {x.split(":")[0] for x in added.split(",")} >= {"masked_email", "local_phone", "iban"}
+    assert all(r["has_personal_data"] == (r["spans"] != "") for r in out) and {r["has_personal_data"] for r in out} == {True, False}
     assert find_pii(df.limit(0)).count() == 0
 
 
