@@ -16,11 +16,16 @@ narrow candidate rows are written once and then counted and judged.
 
 A pattern's matches come from ``regexp_extract_all`` and the gaps between
 them from ``split`` by the same pattern; the lengths of both add up to the
-places. The patterns are written without backtracking over long runs.
-
-Defined cases: a null text counts as empty and has no span; repeated rows
-and null ids pass through; an empty table gives an empty result, and without
-any soft candidate nothing is trained.
+places. They are added up in blocks of ``BLOCK`` matches, and a context is read
+from the ends of the matches and gaps of its block, so a text costs about as
+much as it is long and has matches. The patterns are written without
+backtracking over long runs.
+
+Defined cases: a null text counts as empty and has no span; texts of any
+length are read whole; repeated rows and null ids pass through; further
+columns are left out, whatever their names; spans that begin together are
+ordered by kind; a probability of exactly ``ACCEPT`` is reported; an empty
+table gives an empty result, and without any soft candidate nothing is trained.
 """
 
 from __future__ import annotations
@@ -78,24 +83,82 @@ _CUE = (r"(?i)\b(e-?mail|mail|contact|write|phone|tel|call|fax|mobile|ip|host|se
         r"|credit|iban|account|bank|ssn|social|security|passport|id)\b")
 _CONTEXT_BEFORE, _CONTEXT_AFTER = 40, 20
 
+# features of the span classifier, with few values each; it does not see the votes
+_CUES = {
+    "contact": "e-?mail|mail|contact|write|phone|tel|call|fax|mobile",
+    "network": "ip|host|server|address",
+    "payment": "card|visa|pay(ment)?|credit|iban|account|bank",
+    "identity": "ssn|social|security|passport|id",
+}
+VOTES = ("strict", "gazetteer", "context")
+FEATURES = ("kind", "length", "digits", "left", "right", "cue")
+SPANS = ("array<struct<kind:string,s:int,e:int,v:string,strict:int,gazetteer:int,context:int,"
+         "length:int,digits:int,left:string,right:string,cue:string>>")
+
 EM_ROUNDS = 60
 ACCEPT = 0.5
+# spans that are placed together: running sums and contexts are taken inside a block
+BLOCK = 64
+
+
+def _short(v: str) -> str:
+    """``v`` without its middle: the ends that the context of a neighbouring span can reach."""
+    return (f"if(length({v}) > {_CONTEXT_BEFORE + _CONTEXT_AFTER}, "
+            f"concat(left({v}, {_CONTEXT_AFTER}), right({v}, {_CONTEXT_BEFORE})), {v})")
+
+
+def _in_blocks(items: str) -> str:
+    """The array column in slices of ``BLOCK``; null for none. ``items`` is named twice, so it is computed once."""
+    return f"if(size({items}) > 0, transform(sequence(1, size({items}), {BLOCK}), at -> slice({items}, at, {BLOCK})), null)"
+
+
+def _items(kind: str) -> Column:
+    """Each match ``v`` with the length of the gap before it and the ends of both; the text's tail has a null ``v``."""
+    gap, hit = _short(f"x.gaps_{kind}"), _short(f"x.hits_{kind}")
+    return F.expr(f"""transform(arrays_zip(gaps_{kind}, hits_{kind}), x -> named_struct(
+        'gap', length(x.gaps_{kind}), 'v', x.hits_{kind}, 'ends', concat({gap}, coalesce({hit}, '')),
+        'skip', length({gap})))""")
+
+
+def _blocks(kind: str) -> Column:
+    """``array<struct<items, ends, n>>``: a block, the ends of its items in a row, its whole length."""
+    return F.expr(f"""transform({_in_blocks(f"items_{kind}")}, b -> named_struct(
+        'items', b, 'ends', array_join(transform(b, x -> x.ends), ''),
+        'n', aggregate(b, 0, (n, x) -> n + x.gap + coalesce(length(x.v), 0))))""")
+
+
+def _starts(kind: str) -> Column:
+    """Where each block begins in its text."""
+    return F.expr(f"""aggregate(blocks_{kind}, named_struct('p', 0, 'a', cast(array() as array<int>)),
+        (acc, b) -> named_struct('p', acc.p + b.n, 'a', concat(acc.a, array(acc.p))), acc -> acc.a)""")
 
 
-def _spans(text: str, hits: str, gaps: str) -> Column:
-    """``array<struct<s, e, v>>`` from the matches and the gaps before them (code points, end exclusive)."""
-    none = F.array().cast("array<struct<s:int,e:int,v:string>>")
+def _lefts(kind: str) -> Column:
+    """The end of the block before each; a block of ``BLOCK`` matches is longer than a context."""
+    return F.expr(f"""slice(concat(array(''), transform(blocks_{kind}, b -> right(b.ends, {_CONTEXT_BEFORE}))),
+        1, size(blocks_{kind}))""")
 
-    def add(acc: Column, x: Column) -> Column:
-        s = acc["p"] + F.length(x[gaps])
-        e = s + F.length(x[hits])
-        return F.struct(e.alias("p"), F.concat(acc["a"], F.array(F.struct(s.alias("s"), e.alias("e"),
-                                                                          x[hits].alias("v")))).alias("a"))
 
-    pairs = F.arrays_zip(F.slice(gaps, 1, F.size(hits)), F.col(hits))
-    named = F.transform(pairs, lambda x: F.struct(x["0"].alias(gaps), x[hits].alias(hits)))
-    return F.when(F.size(hits) == 0, none).otherwise(
-        F.aggregate(named, F.struct(F.lit(0).alias("p"), none.alias("a")), add, lambda acc: acc["a"]))
+def _rights(kind: str) -> Column:
+    """The beginning of the block after each."""
+    return F.expr(f"""concat(slice(transform(blocks_{kind}, b -> left(b.ends, {_CONTEXT_AFTER})),
+        2, size(blocks_{kind})), array(''))""")
+
+
+def _placed(kind: str) -> Column:
+    """Of each block its ``ends`` with those around it, and ``spans``: places in the
+    text (``s, e``, code points, end exclusive) and among the ends (``at, to``)."""
+    return F.expr(f"""transform(arrays_zip(blocks_{kind}, starts_{kind}, lefts_{kind}, rights_{kind}), b -> named_struct(
+        'ends', concat(b.lefts_{kind}, b.blocks_{kind}.ends, b.rights_{kind}),
+        'spans', aggregate(b.blocks_{kind}.items,
+            named_struct('p', b.starts_{kind}, 'q', length(b.lefts_{kind}),
+                         'a', cast(array() as array<struct<s:int,e:int,v:string,at:int,to:int>>)),
+            (acc, x) -> named_struct(
+                'p', acc.p + x.gap + coalesce(length(x.v), 0), 'q', acc.q + length(x.ends),
+                'a', concat(acc.a, array(named_struct(
+                    's', acc.p + x.gap, 'e', acc.p + x.gap + coalesce(length(x.v), 0), 'v', x.v,
+                    'at', acc.q + x.skip, 'to', acc.q + length(x.ends))))),
+            acc -> acc.a)))""")
 
 
 def _luhn(digits: Column) -> Column:
@@ -115,27 +178,61 @@ def _valid(kind: str, v: Column) -> Column:
     return F.lit(True)
 
 
-def _vote(pattern: str | None, v: Column) -> Column:
-    return F.lit(-1) if pattern is None else v.rlike(pattern).cast("int")
+def _checked(kind: str) -> Column:
+    """``_placed`` without the matches that fail."""
+    return F.transform(f"placed_{kind}", lambda b: F.struct(b["ends"].alias("ends"), F.filter(
+        b["spans"], lambda x: x["v"].isNotNull() & _valid(kind, x["v"])).alias("spans")))
+
+
+def _vote(pattern: str | None) -> str:
+    return "-1" if pattern is None else f"int(c.v rlike r'{pattern}')"
+
+
+def _class(c: str) -> str:
+    """Class of the character beside a span."""
+    return rf"case when {c} rlike r'^[0-9A-Za-z]$' then 'word' when {c} rlike r'^\S$' then 'mark' else 'blank' end"
 
 
-def _candidates(kind: str) -> Column:
-    """Spans of ``kind`` with their votes; context is the text right around the span."""
-    def judge(x: Column) -> Column:
-        before = F.substring(F.col("text"), F.greatest(x["s"] - _CONTEXT_BEFORE, F.lit(0)) + 1,
-                             F.least(x["s"], F.lit(_CONTEXT_BEFORE)))
-        after = F.substring(F.col("text"), x["e"] + 1, F.lit(_CONTEXT_AFTER))
-        glued = before.rlike("[0-9A-Za-z]$") | after.rlike("^[0-9A-Za-z]")
-        context = F.when(before.rlike(_CUE) | after.rlike(_CUE), 1).when(glued, 0).otherwise(-1)
-        return F.struct(F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"),
-                        _vote(_STRICT[kind], x["v"]).alias("strict"),
-                        _vote(_GAZETTEER[kind], x["v"]).alias("gazetteer"), context.alias("context"))
+def _found(kind: str) -> Column:
+    """Spans of ``kind`` by start, with votes and features from the text right around them; an empty array for none."""
+    cues = " ".join(rf"when c.before rlike r'(?i)\b({words})\b' then '{name}'" for name, words in _CUES.items())
+    return F.expr(f"""coalesce(flatten(transform(checked_{kind}, b -> transform(
+        transform(b.spans, x -> named_struct('x', x,
+            'before', substring(b.ends, greatest(x.at - {_CONTEXT_BEFORE}, 0) + 1, least(x.at, {_CONTEXT_BEFORE})),
+            'after', substring(b.ends, x.to + 1, {_CONTEXT_AFTER}), 'v', x.v)),
+        c -> named_struct(
+            'kind', '{kind}', 's', c.x.s, 'e', c.x.e, 'v', c.v,
+            'strict', {_vote(_STRICT[kind])},
+            'gazetteer', {_vote(_GAZETTEER[kind])},
+            'context', case when c.before rlike r'{_CUE}' or c.after rlike r'{_CUE}' then 1
+                when c.before rlike '[0-9A-Za-z]$' or c.after rlike '^[0-9A-Za-z]' then 0 else -1 end,
+            'length', int(least(length(c.v) div 8, 3)),
+            'digits', int(length(regexp_replace(c.v, '[^0-9]', '')) * 2 div length(c.v)),
+            'left', {_class("right(c.before, 1)")}, 'right', {_class("left(c.after, 1)")},
+            'cue', case {cues} else 'none' end)))), cast(array() as {SPANS}))""")
 
-    return F.transform(F.filter(f"spans_{kind}", lambda x: _valid(kind, x["v"])), judge)
+
+def _ranges(kind: str) -> Column:
+    """The spans of one kind in blocks, each with the range that it covers; an empty array for none."""
+    return F.expr(f"""coalesce(transform({_in_blocks(f"found_{kind}")}, b -> named_struct(
+        's', b[0].s, 'e', element_at(b, -1).e, 'spans', b)), cast(array() as array<struct<s:int,e:int,spans:{SPANS}>>))""")
+
+
+def _meet(x: Column, y: Column) -> Column:
+    return (x["s"] < y["e"]) & (y["s"] < x["e"])
+
+
+def _apart(soft: str, base: str) -> Column:
+    """Soft spans that meet no base span: blocks that meet first, then the spans of these."""
+    near = F.transform(soft, lambda x: F.struct(
+        x["spans"].alias("spans"),
+        F.flatten(F.transform(F.filter(base, lambda y: _meet(x, y)), lambda y: y["spans"])).alias("near")))
+    return F.flatten(F.transform(near, lambda b: F.filter(b["spans"], lambda x: ~F.exists(
+        b["near"], lambda y: _meet(x, y)))))
 
 
 def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, found``: all candidate spans by kind and start, with votes; soft ones outside base spans."""
+    """``id, found``: all candidate spans by kind and start, with votes and features; soft ones outside base spans."""
     rows = plain(df, {"id": id_col, "text": text_col}).withColumn("text", text_or_empty())
     empty = F.array().cast("array<string>")
     patterns = {**BASE, **SOFT}
@@ -145,12 +242,15 @@ def candidates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for k, p in patterns.items()})
     rows = rows.withColumns({f"gaps_{k}": F.when(F.size(f"hits_{k}") > 0, F.split("text", p, -1))
                             for k, p in patterns.items()})
-    rows = rows.withColumns({f"spans_{k}": _spans("text", f"hits_{k}", f"gaps_{k}") for k in patterns})
-    rows = rows.withColumns({f"found_{k}": _candidates(k) for k in patterns})
-    base = F.concat(*[F.col(f"found_{k}") for k in BASE])
-    rows = rows.select("id", base.alias("base"), F.concat(*[F.col(f"found_{k}") for k in SOFT]).alias("soft"))
-    apart = F.filter("soft", lambda x: ~F.exists("base", lambda y: (x["s"] < y["e"]) & (y["s"] < x["e"])))
-    return rows.select("id", F.concat("base", apart).alias("found"))
+    for name, step in (("items", _items), ("blocks", _blocks)):
+        rows = rows.select("id", *[step(k).alias(f"{name}_{k}") for k in patterns])
+    around = (("starts", _starts), ("lefts", _lefts), ("rights", _rights))
+    rows = rows.withColumns({f"{name}_{k}": step(k) for name, step in around for k in patterns})
+    for name, step in (("placed", _placed), ("checked", _checked), ("found", _found)):
+        rows = rows.select("id", *[step(k).alias(f"{name}_{k}") for k in patterns])
+    rows = rows.select("id", F.concat(*[F.col(f"found_{k}") for k in BASE]).alias("base"),
+                       F.concat(*map(_ranges, BASE)).alias("covered"), F.concat(*map(_ranges, SOFT)).alias("soft"))
+    return rows.select("id", F.concat("base", _apart("soft", "covered")).alias("found"))
 
 
 @dataclass(frozen=True)
@@ -165,27 +265,34 @@ class SpanModel:
             return F.lit(False)
         known = F.create_map(*[F.lit(v) for pair in self.weights.items() for v in pair])
         z = F.lit(self.bias)
-        for name in ("kind", "strict", "gazetteer", "context"):
+        for name in FEATURES:
             key = F.concat(F.lit(f"{name}="), x[name].cast("string"))
             z = z + F.coalesce(F.try_element_at(known, key), F.lit(0.0))
         return z >= math.log(ACCEPT / (1 - ACCEPT))
 
 
 def fit_spans(found: DataFrame) -> SpanModel:
-    """EM over the counted votes, then the classifier on its probabilities."""
+    """EM over the counted votes, then the classifier on its probabilities.
+
+    The counted table has a row for each combination of kind, votes and
+    features that occurs: at most 8 x 27 x 4 x 3 x 3 x 3 x 5 at any size of input.
+    """
+    keys = (*FEATURES, *VOTES)
     table = (found.select(F.explode("found").alias("x"))
-             .groupBy("x.kind", "x.strict", "x.gazetteer", "x.context").agg(F.count("*").alias("n"))
-             .orderBy("kind", "strict", "gazetteer", "context").collect())
+             .groupBy(*[f"x.{k}" for k in keys]).agg(F.count("*").alias("n")).orderBy(*keys).collect())
     if not any(r["kind"] in SOFT for r in table):
         return SpanModel({}, 0.0)
     n = np.array([r["n"] for r in table], float)
-    votes = np.array([[r["strict"], r["gazetteer"], r["context"]] for r in table])
+    votes = np.array([[r[v] for v in VOTES] for r in table])
     kinds = np.array([KINDS.index(r["kind"]) for r in table])
     posterior = reliabilities(n, votes, kinds)[0]
-    features = [[f"kind={r['kind']}", f"strict={r['strict']}", f"gazetteer={r['gazetteer']}",
-                 f"context={r['context']}"] for r in table]
+    features = [[f"{f}={r[f]}" for f in FEATURES] for r in table]
     names = sorted({f for row in features for f in row})
-    x = np.array([[1.0] + [float(f in row) for f in names] for row in features])
+    place = {name: k for k, name in enumerate(names, 1)}
+    x = np.zeros((len(table), len(names) + 1))
+    x[:, 0] = 1
+    for k, row in enumerate(features):
+        x[k, [place[f] for f in row]] = 1
     w = np.zeros(x.shape[1])
     for _ in range(25):  # Newton steps of the ridge logistic fit to soft labels
         p = 1 / (1 + np.exp(-x @ w))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -204,6 +205,65 @@ def test_pii_whole_table(spark):
     check_pii([tuple(r) for r in docs], got)
 
 
+def brute_candidates(text):
+    """Spans with votes and features, from the whole text by plain Python."""
+    base, found = brute_pii(text), []
+    for kind, a, b in base + [(k, m.start(), m.end()) for k, p in pii.SOFT.items() for m in re.finditer(p, text)]:
+        if kind in pii.SOFT and any(a < e and s < b for _, s, e in base):
+            continue
+        v, before, after = text[a:b], text[max(a - 40, 0):a], text[b:b + 20]
+        digits = sum(c in "0123456789" for c in v)
+        cue = next((n for n, w in pii._CUES.items() if re.search(rf"\b({w})\b", before, re.I | re.A)), "none")
+        both = re.search(pii._CUE, before, re.A) or re.search(pii._CUE, after, re.A)
+        glued = re.search("[0-9A-Za-z]$", before) or re.search("^[0-9A-Za-z]", after)
+        votes = [-1 if p is None else int(bool(re.search(p, v))) for p in (pii._STRICT[kind], pii._GAZETTEER[kind])]
+        beside = ["word" if re.fullmatch("[0-9A-Za-z]", c) else "mark" if re.fullmatch(r"\S", c, re.A) else "blank"
+                  for c in (before[-1:], after[:1])]
+        found.append((kind, a, b, v, *votes, 1 if both else 0 if glued else -1, min(len(v) // 8, 3),
+                      2 * digits // len(v), *beside, cue))
+    return found
+
+
+def test_candidates_of_many_spans_a_text(spark):
+    """More spans than a block holds, contexts across blocks, base and soft spans that overlap."""
+    rng = random.Random(11)
+    bits = ["a@b.com ", "x.y@z.org, ", "1.2.3.4 ", "4111 1111 1111 1111 ", "+1 (743) 555-3824 ", "call (212) 555-1234 ",
+            "ssn 123-45-6789", "=123-45-6789;", " bob [at] mail [dot] com ", "DE44 5001 0517 5407 3249 31 ", "word ", "17 ",
+            "\n", "q" * 70 + " ", "card ", "12" * 40 + " ", "7", "\U0001f600"]
+    texts = ["".join(rng.choices(bits, k=n)) for n in (1, 5, 40, 100, 400, 1000) * 4]
+    got = pii.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["id"]: [tuple(x) for x in r["found"]] for r in got} == dict(enumerate(map(brute_candidates, texts)))
+    assert max(len(r["found"]) for r in got) > 5 * pii.BLOCK
+
+
+def test_a_text_of_very_many_numbers(spark):
+    df = spark.createDataFrame([(1, "17 205 " * 100_000)], "doc_id long, text string")
+    assert pii.candidates(df).collect() == [(1, [])]
+
+
+def test_span_classifier_on_held_out_spans(spark):
+    """Spans with equal votes are told apart by what stands beside them."""
+    rng = random.Random(2)
+
+    def row(k):
+        number = f"{rng.randrange(2, 10)}{rng.randrange(0, 9)}{rng.randrange(10)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+        wrong = f"{rng.choice('01')}{rng.randrange(10, 99)}-{rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+        if k % 2:
+            return f"{rng.choice(('call', 'phone', 'mobile', 'so'))} {number} today", True
+        return f"part#{rng.choice((wrong, wrong, number))};" + " box", False
+
+    rows = [(k, *row(k)) for k in range(2000)]
+    found = pii.candidates(spark.createDataFrame(rows, "doc_id long, text string, truth boolean")).cache()
+    model = pii.fit_spans(found.where("id < 1000"))
+    judged = found.where("id >= 1000").select("id", F.exists("found", model.accepts).alias("is")).collect()
+    assert len(judged) == 1000
+    assert sum(r["is"] == rows[r["id"]][2] for r in judged) >= 950
+    # the labelers alone take the numbers of the right form after a mark for true, too
+    votes = sum(F.element_at("found", 1)[v] for v in pii.VOTES)
+    alone = found.where("id >= 1000").select("id", (votes > 0).alias("is")).collect()
+    assert sum(r["is"] == rows[r["id"]][2] for r in alone) < 900
+
+
 def test_reliabilities_find_the_better_labeler():
     rng = np.random.default_rng(3)
     truth = rng.random(20_000) < 0.4
