@@ -11,17 +11,23 @@ within the same scope (``SCOPE_CHARS`` characters, and no blank line between).
 
 Complements: ``key`` needs an access identifier, a user name or an endpoint;
 ``user`` and ``endpoint`` need an assignment, an access identifier, a long hex
-string or a key.
+string or a key. Of two weak parts that overlap (a key in its own endpoint's
+path) neither confirms the other.
 
 A key is a whole run of at least 32 characters of the base64 or the URL-safe
 base64 alphabet, however long, with a digit, a capital and a small letter.
 Where a run of one alphabet lies inside a run of the other, the longer counts.
+A run that reads as a path or a slug (two or more parts between ``/ - _``, each
+a number of up to eight digits or words, maybe capitalized, with a number of up
+to four digits) is no key.
 
 Scopes lie inside one document, so each task scans whole texts and joins
 their parts in place; nothing is shuffled and rows need no unique id.
 
-Defined cases: a null text counts as empty and has no finding; repeated rows
-and null ids pass through; an empty table gives an empty result.
+Defined cases: a null text counts as empty and has no finding; texts of any
+length are scanned whole; findings that begin together are ordered by kind;
+repeated rows and null ids pass through; further columns are left out, whatever
+their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,6 +59,8 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 # whole runs of either base64 alphabet
 _KEYS = (re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{32,}={0,2}"),
          re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{32,}={0,2}"))
+# words as they stand in paths: no chance run of a key has only such parts
+_PATH_PART = re.compile(r"(?:[0-9]{1,8}|(?:[A-Z]?[a-z]+|[A-Z]{1,5})(?:[A-Z][a-z]+)*[0-9]{0,4})?")
 _USER = re.compile(r"""(?:user(?:name)?|login|account|client_id)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{3,})""",
                    re.IGNORECASE | re.ASCII)
 _ENDPOINT = re.compile(r"[a-z][a-z0-9+.-]{1,20}://[^\s\"'<>]+")
@@ -78,6 +86,12 @@ def strong_spans(text: str) -> list[Span]:
     return found
 
 
+def _is_path(run: str) -> bool:
+    """Whether ``run`` reads as a path or a slug; empty parts come from separators at its ends or in a row."""
+    parts = re.split("[/_-]", run)
+    return sum(map(bool, parts)) > 1 and all(map(_PATH_PART.fullmatch, parts))
+
+
 def weak_candidates(text: str, strong: list[Span]) -> list[Span]:
     """Parts that mean something only beside their complement; none wholly inside
     a strong finding. One that encloses a strong finding stays and may link to it."""
@@ -91,7 +105,7 @@ def weak_candidates(text: str, strong: list[Span]) -> list[Span]:
         return k == 0 or reach[k - 1] < e
 
     runs = {(m.start(), m.end()) for pattern in _KEYS for m in pattern.finditer(text)
-            if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]"))}
+            if all(re.search(c, m[0]) for c in ("[0-9]", "[A-Z]", "[a-z]")) and not _is_path(m[0])}
     widest = -1
     for s, e in sorted(runs, key=lambda x: (x[0], -x[1])):
         if e > widest:
@@ -110,25 +124,32 @@ def linked(candidates: list[Span], strong: list[Span], text: str, scope: int = S
     if not candidates:
         return []
     breaks = [m.start() for m in _BLANK_LINE.finditer(text)]
-    # of each kind: (paragraph, start) in order, and how far the parts up to there reach in their paragraph
+    # of each kind: (paragraph, start) in order, the ends, and how far the parts up to there reach in their paragraph
     places: dict[str, list[tuple[int, int]]] = {}
+    ends: dict[str, list[int]] = {}
     reach: dict[str, list[int]] = {}
     for s, e, kind in sorted(candidates + strong):
         at, far = places.setdefault(kind, []), reach.setdefault(kind, [])
         here = bisect_left(breaks, s)
         far.append(max(e, far[-1]) if at and at[-1][0] == here else e)
         at.append((here, s))
-    kept = []
-    for s, e, kind in candidates:
-        here = bisect_left(breaks, s)
-        for other in _COMPLEMENTS[kind]:
-            # the parts of the paragraph that begin before the widened end; one must reach the widened start
-            at = places.get(other, [])
-            k = bisect_left(at, (here, e + scope))
-            if k and at[k - 1][0] == here and reach[other][k - 1] > s - scope:
-                kept.append((s, e, kind))
-                break
-    return kept
+        ends.setdefault(kind, []).append(e)
+
+    def meets(s: int, e: int, other: str) -> bool:
+        # the parts of the paragraph that begin before the widened end; one must reach the widened start
+        here, at = bisect_left(breaks, s), places.get(other, [])
+        k = bisect_left(at, (here, e + scope))
+        if not k or at[k - 1][0] != here or reach[other][k - 1] <= s - scope:
+            return False
+        if other in BASE:
+            return True
+        # a weak part counts only beside this one; weak parts of a kind do not overlap, so ends are in order, too
+        if at[k - 1][1] >= e:
+            return True
+        k = bisect_right(ends[other], s, hi=k)
+        return bool(k) and at[k - 1][0] == here and ends[other][k - 1] > s - scope
+
+    return [(s, e, kind) for s, e, kind in candidates if any(meets(s, e, x) for x in _COMPLEMENTS[kind])]
 
 
 def scan(text: str) -> list[Span]:
