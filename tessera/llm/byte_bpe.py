@@ -12,8 +12,9 @@ rank file) is broadcast. Within a task, results for short pre-tokens are
 remembered up to a fixed number and then forgotten, which bounds memory.
 
 Defined cases: a null or empty text has no ids and decodes to the empty
-text; repeated rows and null ids pass through; an empty table gives an empty
-result.
+text; texts of any length are encoded whole; of pairs of equal rank the leftmost
+merges first; repeated rows and null ids pass through; further columns are left
+out, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

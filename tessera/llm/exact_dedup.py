@@ -18,7 +18,8 @@ texts, their sizes and the ids they keep are taken from the names.
 
 Defined cases: a null text equals the empty one; rows that repeat id and
 text all come back, and one of them is kept; a null id stays only where the
-whole group has no other; an empty table gives an empty result.
+whole group has no other; texts of any length are compared whole; further
+columns are left out, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

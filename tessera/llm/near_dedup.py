@@ -28,7 +28,8 @@ Defined cases: null texts and texts without words have an empty set and link
 with nothing; with fewer words than a shingle, the whole sequence is one
 shingle; a null id takes part but names no component unless it is alone;
 repeated rows have equal sets and all come back, and one row of each
-component is kept; an empty table gives an empty result.
+component is kept; texts of any length are read whole; further columns are left
+out, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ Defined cases: null and empty texts have all-zero statistics and a score of
 their own; null ids count as the empty id text; labels repeated for an id
 are averaged and null labels ignored; without labels of both classes the
 score is the base rate (1 where there is none), so nothing is rejected on
-no evidence; an empty table gives an empty result.
+no evidence; texts of any length are read whole; a score of exactly one half
+counts as good; an empty table gives an empty result.
 """
 
 from __future__ import annotations

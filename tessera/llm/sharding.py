@@ -13,7 +13,8 @@ rows are counted before the shuffle and get a run of slots.
 
 Defined cases: a null text has size 1 and the checksum of the empty text; a
 null id is a key like any other; repeated rows all come back, each with its
-own slot; an empty table gives an empty result.
+own slot; texts of any length are measured whole; further columns are left out,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

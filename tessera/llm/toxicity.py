@@ -18,7 +18,8 @@ bound. Every text is scored whole, in one pass without a shuffle.
 Defined cases: null and empty texts have no words and get the models' base
 scores; labels repeated for an id count by their mean; null labels are
 ignored; without labels of both classes every probability is 0; repeated
-rows and null ids pass through; an empty table gives an empty result.
+rows and null ids pass through; texts of any length are read whole; further
+columns are left out, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

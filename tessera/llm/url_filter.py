@@ -7,7 +7,8 @@ if the whole digests agree. Of the rules that fit, the longest wins.
 
 Defined cases: a null url or one without ``://`` has empty host and path,
 fits no rule and gets the default verdict; repeated rows come back as often
-as they went in; an empty table gives an empty result; a null id is kept.
+as they went in; an empty table gives an empty result; a null id is kept;
+urls of any length are judged whole; further columns are left out.
 Equal-length rules: the longer host wins, then ``block``.
 """
 
