@@ -12,15 +12,19 @@
    nodes proposes m - 1 pairs. Proposed pairs are confirmed on full sets and
    confirmed links merged to components.
 4. Members of a bucket that are still in different components may have a
-   link that the hub did not show. There, those outside the bucket's
-   largest component are probes: blocks of probes meet portions of members,
-   and a block compares its sets in place, across components only and in the
-   first bucket that a pair shares, and gives out the links alone. So no
-   pair that shares a bucket and could join two components is left out,
-   while the rows that move grow with members and blocks, not with pairs.
+   link that the hub did not show. They are joined by prefixes: with the
+   shingles of each set ordered from rare to frequent, two sets that are
+   similar enough share one of the shorter set's first ninth and the longer
+   one's first fifth, and so early that enough shingles are left after it.
+   Only pairs in different components that share such a shingle are
+   confirmed. The order comes from a table of counts with a fixed number of
+   cells; any order gives the same links. So no link between two members of
+   a bucket is left out, while members that merely resemble each other (pages
+   of one template) differ in their rare shingles and are never paired.
 
 A hub with many pairs meets them in portions of ``PORTION`` members, each
-portion with its own copy of the hub's set, so no task holds a whole star.
+portion with its own copy of the hub's set, so no task holds a whole star; a
+shingle that many prefixes hold is dealt to portions in the same way.
 Sets are built again for the nodes in proposed pairs alone; the sets of all
 documents are never stored.
 
@@ -48,8 +52,8 @@ BANDS = 35
 ROWS = 5
 BINS = BANDS * ROWS
 PORTION = 256          # members of a star that one copy of the hub's set meets
-BLOCK_PROBES = 256
-BLOCK_MEMBERS = 512
+SHARERS = 4096         # holders of a prefix shingle that one task meets at a time
+CELL_BITS = 20         # cells of the table of shingle counts, as a power of two
 
 _U = np.uint64
 
@@ -201,8 +205,8 @@ def _linked_nodes(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -
     wanted = materialize(nodes.join(used, "node"), "wanted")
     ids = wanted.select(F.col("id").alias("__id")).distinct().hint("shuffle_hash")
     texts = docs.join(ids, docs["id"].eqNullSafe(F.col("__id")), "left_semi")
-    sets = materialize(_sets(texts, words).join(wanted.select("node", "digest", "bands"), "digest")
-                       .groupBy("node").agg(F.first("hashes").alias("hashes"), F.first("bands").alias("bands")), "sets")
+    sets = materialize(_sets(texts, words).join(wanted.select("node", "digest"), "digest")
+                       .groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
     lengths = wanted.select("node", "n")
 
     # sets whose sizes alone rule a link out are not fetched
@@ -211,52 +215,94 @@ def _linked_nodes(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -
              .where(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent).select("hub", "node"))
     links = materialize(_confirmed(materialize(stars, "stars"), sets, percent), "confirmed")
     labels = components(links)
-    more = materialize(_links_across(members.select("key", "node"), labels, sets, percent), "across")
-    return labels if more.isEmpty() else components(links.unionByName(more))
+    more = _links_across(members.select("key", "node"), labels, sets, percent)
+    return labels if more is None else components(links.unionByName(more))
 
 
-def _links_across(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (hub, node) between members of a bucket that are in different components."""
+def _links_across(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
+    """Links (hub, node) between members of a bucket that are in different components; None without any."""
     own = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-    parts = own.groupBy("key", "comp").agg(F.count("*").alias("m"))
-    buckets = (parts.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("x"), F.sum("m").alias("all"),
-                                        F.count("*").alias("parts"))
-               .where("parts > 1")
-               .select("key", F.col("x.comp").alias("largest"),
-                       F.ceil((F.col("all") - F.col("x.m")) / BLOCK_PROBES).alias("blocks"),
-                       F.ceil(F.col("all") / BLOCK_MEMBERS).alias("portions")))
-    rows = materialize(own.join(buckets, "key").select(
-        "key", "node", "comp", "blocks", "portions", (F.col("comp") != F.col("largest")).alias("probes"),
-        F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
-        F.pmod(F.xxhash64(F.lit("portion"), "node"), F.col("portions")).alias("portion")), "open")
-    probes = (rows.where("probes").withColumn("portion", F.explode(F.expr("sequence(0L, portions - 1)")))
-              .withColumn("asks", F.lit(True)))
-    asked = rows.withColumn("block", F.explode(F.expr("sequence(0L, blocks - 1)"))).withColumn("asks", F.lit(False))
-    met = (probes.unionByName(asked).select("key", "block", "portion", "node", "comp", "probes", "asks")
-           .join(sets, "node"))
-
-    def compare(table: pa.Table) -> pa.Table:
-        key = table["key"][0].as_py()
-        node, comp = table["node"].to_numpy(), table["comp"].to_numpy()
-        probe, asks = table["probes"].to_numpy(), table["asks"].to_numpy()
-        bands = np.array(table["bands"].to_pylist(), np.int64).reshape(len(node), -1)
-        hashes = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
-        size = np.array([len(h) for h in hashes])
-        found = []
-        members_at = np.flatnonzero(~asks)
-        for i in np.flatnonzero(asks):
-            j = members_at[comp[members_at] != comp[i]]
-            # a pair of probes is compared once
-            j = j[~probe[j] | (node[j] > node[i])]
-            j = j[100 * np.minimum(size[j], size[i]) >= percent * np.maximum(size[j], size[i])]
-            # and each pair in the first bucket that it shares
-            place = int(np.argmax(bands[i] == key))
-            j = j[(bands[j] == bands[i]).argmax(axis=1) == place]
-            found += [(node[i], node[k]) for k in j if similar(hashes[i], hashes[k], percent)]
-        return pa.table({"hub": pa.array([a for a, _ in found], pa.int64()),
-                         "node": pa.array([b for _, b in found], pa.int64())})
-
-    return met.groupBy("key", "block", "portion").applyInArrow(compare, "hub long, node long")
+    keys = materialize(own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                       .where("lo < hi").select("key"), "open-keys")
+    if keys.isEmpty():
+        return None
+    open_nodes = own.join(keys, "key", "left_semi").select("node", "comp").distinct()
+    opened = materialize(open_nodes.join(sets, "node"), "open")
+    pairs = materialize(_prefix_pairs(opened, percent), "across")
+    if pairs.isEmpty():
+        return None
+    more = materialize(_confirmed(pairs, opened, percent), "confirmed")
+    return None if more.isEmpty() else more
+
+
+def _cell(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> _U(64 - CELL_BITS)).astype(np.int64)
+
+
+def _shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many sets hold the shingles of each cell; 2 ** CELL_BITS numbers at any size of input."""
+    def run(batches):
+        seen = np.zeros(1 << CELL_BITS, np.int64)
+        for b in slices(batches):
+            np.add.at(seen, _cell(np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint64)), 1)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], names=["cell", "n"])
+
+    table = (sets.select("hashes").mapInArrow(run, "cell long, n long")
+             .groupBy("cell").agg(F.sum("n").alias("n")).toArrow())
+    counts = np.zeros(1 << CELL_BITS, np.int64)
+    counts[table["cell"].to_numpy()] = table["n"].to_numpy()
+    return counts
+
+
+def prefix(hashes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The set's rarest shingles, rare ones first: one of them is in every set that is similar enough."""
+    n = len(hashes)
+    order = np.lexsort((hashes, counts[_cell(hashes)]))
+    return hashes[order[:n - -(-percent * n // 100) + 1]]
+
+
+def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, node) in different components that share a shingle early enough in both prefixes."""
+    counts = sets.sparkSession.sparkContext.broadcast(_shingle_counts(sets))
+
+    def run(batches):
+        for b in slices(batches, 64):
+            found = [np.frombuffer(h, np.uint64) for h in b.column(2).to_pylist()]
+            heads = [prefix(h, counts.value, percent) for h in found]
+            size = [len(h) for h in heads]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.concatenate(heads).view(np.int64)),
+                pa.array(np.repeat(b.column(0).to_numpy(), size)), pa.array(np.repeat(b.column(1).to_numpy(), size)),
+                pa.array(np.repeat([len(h) for h in found], size), pa.int64()),
+                pa.array(np.concatenate([np.arange(k) for k in size]), pa.int64()),
+            ], names=["shingle", "node", "comp", "n", "at"])
+
+    heads = materialize(sets.select("node", "comp", "hashes")
+                        .mapInArrow(run, "shingle long, node long, comp long, n long, at long"), "prefixes")
+    # a pair's shorter set holds the shingle where enough are left for a set of its own size
+    early = (F.col("n") - F.col("at")) * (100 + percent) >= 2 * percent * F.col("n")
+    shared = materialize(heads.groupBy("shingle")
+                         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(early).alias("early"))
+                         .where("lo < hi and early").select("shingle"), "shared")
+    live = materialize(heads.join(shared, "shingle", "left_semi"), "live")
+    # the holders outside a shingle's largest component ask all others
+    parts = live.groupBy("shingle", "comp").agg(F.count("*").alias("m"))
+    hosts = materialize(parts.groupBy("shingle").agg(F.max(F.struct("m", "comp")).getField("comp").alias("host"),
+                                                     F.ceil(F.sum("m") / SHARERS).alias("portions")), "hosts")
+    told = live.join(hosts, "shingle").withColumn("guest", F.col("comp") != F.col("host"))
+    a = (told.where("guest").withColumn("portion", F.explode(F.expr("sequence(0L, portions - 1)")))
+         .select("shingle", "portion", "node", "comp", "n", "at").alias("a"))
+    b = (told.withColumn("portion", F.pmod(F.xxhash64("node"), F.col("portions")))
+         .select("shingle", "portion", "node", "comp", "n", "at", "guest").alias("b"))
+    rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    fits = ((F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.portion") == F.col("b.portion"))
+            & (F.col("a.comp") != F.col("b.comp"))
+            # a pair of guests is met once
+            & (~F.col("b.guest") | (F.col("a.node") < F.col("b.node")))
+            & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
+            & (rest * (100 + percent) >= percent * (F.col("a.n") + F.col("b.n"))))
+    return a.join(b, fits).select(F.col("a.node").alias("hub"), F.col("b.node").alias("node")).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,

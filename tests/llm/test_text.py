@@ -271,12 +271,41 @@ def test_near_whole_table(spark):
 def test_pairs_in_a_bucket_are_all_met(spark, monkeypatch):
     """One bucket for everything: the hubs alone must bring all links."""
     monkeypatch.setattr(near_dedup, "band_keys", lambda hashes: np.zeros(1, np.int64))
-    for name in ("PORTION", "BLOCK_PROBES", "BLOCK_MEMBERS"):
+    for name in ("PORTION", "SHARERS"):
         monkeypatch.setattr(near_dedup, name, 3)
     rows = near_texts()[:25]
     check_near(rows, near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect(), 2)
 
 
+def test_prefixes_of_similar_sets_meet():
+    """Whatever the counts, a shingle is shared where the bounds of the join ask for it."""
+    rng = np.random.default_rng(3)
+    met = 0
+    for _ in range(3000):
+        base = rng.integers(0, 1 << 63, rng.integers(1, 60), dtype=np.uint64)
+        a = np.unique(np.concatenate([base, rng.integers(0, 1 << 63, rng.integers(0, 8), dtype=np.uint64)]))
+        b = np.unique(np.concatenate([base[rng.integers(0, 4):], rng.integers(0, 1 << 63, rng.integers(0, 8), dtype=np.uint64)]))
+        if not len(b) or not near_dedup.similar(a, b, 80):
+            continue
+        counts = rng.integers(0, 3, 1 << near_dedup.CELL_BITS) if not met % 50 else counts
+        pa_, pb = (list(near_dedup.prefix(x, counts, 80)) for x in (a, b))
+        assert any(min(len(a) - pa_.index(t), len(b) - pb.index(t)) * 180 >= 80 * (len(a) + len(b))
+                   for t in set(pa_) & set(pb))
+        met += 1
+    assert met > 500
+
+
+def test_pages_of_a_template_are_not_paired(spark):
+    """Members that share most words but no link: few candidates, not their square."""
+    rng = random.Random(5)
+    frame = [f"t{k}" for k in range(82)]
+    rows = [(k, " ".join([*frame, *(f"w{rng.randrange(10 ** 9)}" for _ in range(18))])) for k in range(600)]
+    sets = spark.createDataFrame([(k, k, near_dedup.shingle_set(t, 2).tobytes()) for k, t in rows],
+                                 "node long, comp long, hashes binary")
+    assert near_dedup._prefix_pairs(sets, 80).count() == 0
+    assert all(r["kept"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect())
+
+
 # ---- decontamination
 
 def brute_distance(pattern, text):
