@@ -5,8 +5,10 @@ over the words of the whole text; from the second on, it also sees the
 probabilities of all earlier categories. While training, those come from
 out-of-fold models, so that a later model learns from the same kind of
 probabilities that it meets on new texts. The last category, ``toxic``, is
-the label itself; the earlier ones are labelled toxic rows that hold a seed
-word of the category (``SEEDS``, a parameter).
+the label itself; the earlier ones are kinds of toxic rows. No word list names
+them: a model of the label, fitted on one fold, weighs the words; that fold's
+toxic rows are clustered by their weighted words (spherical k-means), and every
+toxic row of the sample belongs to the nearest of the ``KINDS`` centres.
 
 The models see words and word beginnings (so that inflected forms share a
 stem), chosen by their association with the label. Models are fitted on a
@@ -17,7 +19,10 @@ bound. Every text is scored whole, in one pass without a shuffle.
 
 Defined cases: null and empty texts have no words and get the models' base
 scores; labels repeated for an id count by their mean; null labels are
-ignored; without labels of both classes every probability is 0; repeated
+ignored; without labels of both classes every probability is 0; a toxic row
+without a word of the vocabulary is of no kind, rows at the same distance from
+two centres are of the first kind, and with fewer distinct toxic rows than
+kinds the last kinds are empty (a probability near 0); repeated
 rows and null ids pass through; texts of any length are read whole; further
 columns are left out, whatever their names; an empty table gives an empty result.
 """
@@ -46,12 +51,8 @@ MEMO_WORDS = 200_000    # words whose parts a task remembers
 FOLDS = 3
 RIDGE = 0.3
 THRESHOLD = 0.5
-# frequent seed words of each category, in chain order
-SEEDS = {
-    "insult": ("idiot", "moron", "stupid", "clown", "loser", "fool", "dumb"),
-    "dehumanizing": ("scum", "trash", "garbage", "vermin", "filth"),
-    "contempt": ("pathetic", "worthless", "disgusting", "useless"),
-}
+KINDS = 3               # learned kinds of toxic rows, the earlier categories of the chain
+KIND_ROUNDS = 20
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -143,10 +144,41 @@ def fit_chain(x: np.ndarray, targets: list[np.ndarray], folds: np.ndarray, n: np
     return weights
 
 
+def toxic_kinds(x: np.ndarray, y: np.ndarray, folds: np.ndarray, n: np.ndarray, kinds: int) -> np.ndarray:
+    """The kind of each toxic row, and -1 for all other rows; centres are learned on the least fold alone."""
+    kind = np.full(len(x), -1)
+    first = folds == folds.min()
+    signal = x * np.maximum(fit_logistic(x[first], y[first], n[first])[1:], 0)
+    length = np.linalg.norm(signal, axis=1)
+    usable = (y == 1) & (length > 0)
+    learn = usable & first
+    if not kinds or not learn.any():
+        return kind
+    unit = signal / np.where(length > 0, length, 1)[:, None]
+    rows, weight = unit[learn], n[learn]
+    # the row nearest to the mean, then rows far from all centres
+    centres = rows[[np.argmax(rows @ (weight @ rows))]]
+    while len(centres) < kinds:
+        near = (rows @ centres.T).max(axis=1)
+        if near.min() > 1 - 1e-9:
+            break
+        centres = np.vstack([centres, rows[np.argmin(near)]])
+    for _ in range(KIND_ROUNDS):
+        nearest = (rows @ centres.T).argmax(axis=1)
+        sums = np.array([(weight[nearest == k, None] * rows[nearest == k]).sum(axis=0) for k in range(len(centres))])
+        size = np.linalg.norm(sums, axis=1, keepdims=True)
+        new = np.where(size > 0, sums / np.where(size > 0, size, 1), centres)
+        if np.allclose(new, centres):
+            break
+        centres = new
+    kind[usable] = (unit[usable] @ centres.T).argmax(axis=1)
+    return kind
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS,
-                 seeds: dict[str, tuple[str, ...]] = SEEDS) -> ToxicityModel:
-    categories = (*seeds, "toxic")
+                 kinds: int = KINDS) -> ToxicityModel:
+    categories = (*(f"kind_{k + 1}" for k in range(kinds)), "toxic")
     blank = ToxicityModel((), categories, None)
     marks = (plain(labels, {"id": id_col, "y": label_col}).where("id is not null and y is not null")
              .groupBy("id").agg((F.avg("y") >= 0.5).cast("int").alias("y"))
@@ -186,32 +218,28 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         .orderBy(F.desc("z"), "word").limit(VOCABULARY).collect()))
     if not vocabulary:
         return blank
-    names = list(seeds)
 
     def sparse(batches):
         finder = PartFinder(vocabulary)
         for b in slices(batches):
-            texts = texts_of(b)
-            sets = [words_of(t) for t in texts]
             yield pa.RecordBatch.from_arrays([
-                b.column(0), b.column(1), pa.array([sorted(finder(t)) for t in texts], pa.list_(pa.int32())),
-                pa.array([[int(bool(s.intersection(seeds[c]))) for c in names] for s in sets], pa.list_(pa.int32())),
-            ], names=["fold", "y", "words", "seeded"])
+                b.column(0), b.column(1), pa.array([sorted(finder(t)) for t in texts_of(b)], pa.list_(pa.int32())),
+            ], names=["fold", "y", "words"])
 
     fold = F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(FOLDS)).cast("int").alias("fold")
     # bounded by the sample; rows with the same words count as one row with a weight
     sample = (rows.select(fold, "y", "text")
-              .mapInArrow(sparse, "fold int, y int, words array<int>, seeded array<int>")
-              .groupBy("fold", "y", "words", "seeded").agg(F.count("*").alias("n"))
-              .orderBy("fold", "y", "words", "seeded").collect())
+              .mapInArrow(sparse, "fold int, y int, words array<int>")
+              .groupBy("fold", "y", "words").agg(F.count("*").alias("n"))
+              .orderBy("fold", "y", "words").collect())
     x = np.zeros((len(sample), len(vocabulary)))
     for k, r in enumerate(sample):
         x[k, r["words"]] = 1
     y = np.array([r["y"] for r in sample], float)
     n = np.array([r["n"] for r in sample], float)
-    seeded = np.array([r["seeded"] for r in sample], float).reshape(len(sample), len(names))
-    targets = [*(y * seeded[:, c] for c in range(len(names))), y]
-    weights = fit_chain(x, targets, np.array([r["fold"] for r in sample]), n)
+    folds = np.array([r["fold"] for r in sample])
+    kind = toxic_kinds(x, y, folds, n, kinds)
+    weights = fit_chain(x, [*((kind == k).astype(float) for k in range(kinds)), y], folds, n)
     return ToxicityModel(vocabulary, categories, weights)
 
 
