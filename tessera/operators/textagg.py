@@ -13,11 +13,12 @@ copies are written when the text is put together (one copy for
 its distinct rows, not of its rows.
 
 A key with very many distinct values is joined in two levels where
-``segments`` is given: the rows are split by range of (key, order, value), so
-that a hot key's rows lie in several tasks in order; each task joins its
-segment, and one task per key joins the segments in order. A text that would
-be longer than ``max_bytes`` is an error that names the size, not a cell that
-no task can hold.
+``segments`` is given: the rows are split and sorted by range of (key, order,
+value), so that a hot key's rows lie in several tasks in order; runs of
+``RUN_ROWS`` rows are joined first, so no task lists a whole segment, and one
+task per key joins the runs in order. A text that would be longer than
+``max_bytes`` is an error that names the size; without a bound from the
+caller, that is a text that no cell of Spark can hold.
 """
 
 from __future__ import annotations
@@ -30,8 +31,9 @@ from pyspark.sql import functions as F
 from tessera.operators._util import as_list, names, quote_ident, sql_string
 
 
-# longest text of one key, in bytes of UTF-8, unless the caller says otherwise
-MAX_TEXT_BYTES = 64 << 20
+# longest text of one key, in bytes of UTF-8, unless the caller says otherwise: what a cell can hold
+MAX_TEXT_BYTES = (2 << 30) - 16
+RUN_ROWS = 1024        # rows of a sorted segment that are joined at a time, as a power of two
 
 
 def _order_sql(order: Sequence[str | tuple[str, bool]]) -> str:
@@ -76,8 +78,8 @@ def joined_text(
     text`` and NULL when all values are NULL.
 
     ``segments`` above 0 splits the rows by range into that many tasks first
-    (for keys of very many distinct values; it costs a sample and a shuffle
-    more). ``max_bytes`` bounds the text of a key.
+    (for keys of very many distinct values; it costs a sample, a sort and a
+    shuffle more). ``max_bytes`` bounds the text of a key.
     """
     key_names = names(as_list(keys))
     order = [] if distinct or not order else list(order)
@@ -98,10 +100,12 @@ def joined_text(
         for o in order:
             name, ascending = (o, True) if isinstance(o, str) else o
             by.append(F.col(quote_ident(name)).asc_nulls_first() if ascending else F.col(quote_ident(name)).desc_nulls_last())
-        dealt = src.repartitionByRange(segments, *by).withColumn("__segment", F.spark_partition_id())
-        src = dealt.groupBy(*key_names, "__segment").agg(
+        # ids rise along the sorted rows of a segment, and from segment to segment
+        dealt = (src.repartitionByRange(segments, *by).sortWithinPartitions(*by)
+                 .withColumn("__run", F.shiftright(F.monotonically_increasing_id(), RUN_ROWS.bit_length() - 1)))
+        src = dealt.groupBy(*key_names, "__run").agg(
             _bounded(text, F.sum("__bytes"), max_bytes).alias("__text"), F.sum("__bytes").alias("__bytes"))
-        text = ordered_listagg("__text", sep, ["__segment"])
+        text = ordered_listagg("__text", sep, ["__run"])
     text = _bounded(text, F.sum("__bytes"), max_bytes)
     if prefix is not None:
         text = F.concat(F.lit(prefix), text)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,6 +177,17 @@ def test_joined_text_of_ten_million_copies(spark):
             joined_text(many, "k", "v", "; ", alias="t", segments=segments, max_bytes=10_000).collect()
 
 
+def test_joined_text_of_a_whole_large_cell(spark):
+    """Without a bound from the caller, a text longer than 64 MB comes back whole; runs are joined in order."""
+    hot = spark.range(0, 40_000, 1, 4).selectExpr("'k' AS k", "lpad(39999 - id, 2000, '0') AS v", "cast(id AS int) AS o")
+    for order, at in ((["o"], 39_999), ([("o", False)], 0)):
+        text = joined_text(hot, "k", "v", ",", alias="t", order=order, segments=5).select(
+            F.length("t").alias("n"), F.expr("substring(t, 1, 2000)").alias("first"), F.sha2("t", 256).alias("sha")).first()
+        values = (f"{k:02000d}" for k in (range(39_999, -1, -1) if at else range(40_000)))
+        assert text["n"] == 40_000 * 2001 - 1 > 64 << 20 and int(text["first"]) == at
+        assert text["sha"] == hashlib.sha256(",".join(values).encode()).hexdigest()
+
+
 def test_joined_projections(spark):
     df = spark.createDataFrame([(1, "a", 5), (1, "b", 5), (2, "c", None), (2, "c", None), (None, "d", 7), (3, None, 8)],
                                "k int, v string, w int")
