@@ -17,10 +17,17 @@
    similar enough share one of the shorter set's first ninth and the longer
    one's first fifth, and so early that enough shingles are left after it.
    Only pairs in different components that share such a shingle are
-   confirmed. The order comes from a table of counts with a fixed number of
+   compared. The order comes from a table of counts with a fixed number of
    cells; any order gives the same links. So no link between two members of
    a bucket is left out, while members that merely resemble each other (pages
    of one template) differ in their rare shingles and are never paired.
+5. Variants of one text share its shingles in their prefixes, linked or not.
+   So each set has a sketch, the parities of ``SKETCH_BITS`` classes of its
+   shingles. Sketches differ in at most as many bits as sets in shingles, so
+   a pair whose sketches differ in more bits than a link allows is none, and
+   is dropped where it is met. As one link joins two components, the nearest
+   pair of each two is confirmed first, the others only where that one fails
+   and no other link has joined the two.
 
 A hub with many pairs meets them in portions of ``PORTION`` members, each
 portion with its own copy of the hub's set, so no task holds a whole star; a
@@ -38,6 +45,8 @@ out, whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -54,6 +63,7 @@ BINS = BANDS * ROWS
 PORTION = 256          # members of a star that one copy of the hub's set meets
 SHARERS = 4096         # holders of a prefix shingle that one task meets at a time
 CELL_BITS = 20         # cells of the table of shingle counts, as a power of two
+SKETCH_BITS = 2048     # classes of shingles whose parities a sketch holds; tells sets of up to some 2,000 apart
 
 _U = np.uint64
 
@@ -215,24 +225,36 @@ def _linked_nodes(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -
              .where(F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent).select("hub", "node"))
     links = materialize(_confirmed(materialize(stars, "stars"), sets, percent), "confirmed")
     labels = components(links)
-    more = _links_across(members.select("key", "node"), labels, sets, percent)
-    return labels if more is None else components(links.unionByName(more))
+    return _joined_across(members.select("key", "node"), links, labels, sets, percent)
 
 
-def _links_across(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """Links (hub, node) between members of a bucket that are in different components; None without any."""
+def _joined_across(members: DataFrame, links: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``labels`` after all links between members of a bucket that are in different components."""
     own = members.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     keys = materialize(own.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                        .where("lo < hi").select("key"), "open-keys")
     if keys.isEmpty():
-        return None
+        return labels
     open_nodes = own.join(keys, "key", "left_semi").select("node", "comp").distinct()
     opened = materialize(open_nodes.join(sets, "node"), "open")
     pairs = materialize(_prefix_pairs(opened, percent), "across")
     if pairs.isEmpty():
-        return None
-    more = materialize(_confirmed(pairs, opened, percent), "confirmed")
-    return None if more.isEmpty() else more
+        return labels
+    nearest = materialize(pairs.groupBy("lo", "hi").agg(F.min(F.struct("apart", "hub", "node")).alias("p"))
+                          .select("lo", "hi", "p.hub", "p.node"), "nearest")
+    found = materialize(_confirmed(nearest.select("hub", "node"), opened, percent), "confirmed")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        labels = components(links)
+    apart = (nearest.join(labels.select(F.col("node").alias("lo"), F.col("comp").alias("lo_comp")), "lo", "left")
+             .join(labels.select(F.col("node").alias("hi"), F.col("comp").alias("hi_comp")), "hi", "left")
+             .where(F.coalesce("lo_comp", "lo") != F.coalesce("hi_comp", "hi")).select("lo", "hi"))
+    rest = materialize(pairs.join(apart, ["lo", "hi"], "left_semi").select("hub", "node")
+                       .join(nearest, ["hub", "node"], "left_anti"), "rest")
+    if rest.isEmpty():
+        return labels
+    more = materialize(_confirmed(rest, opened, percent), "confirmed")
+    return labels if more.isEmpty() else components(links.unionByName(more))
 
 
 def _cell(hashes: np.ndarray) -> np.ndarray:
@@ -262,8 +284,27 @@ def prefix(hashes: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
     return hashes[order[:n - -(-percent * n // 100) + 1]]
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parities of the set's classes of shingles, 64 in a number; two sets differ at least where their sketches do."""
+    odd = np.bincount((hashes & _U(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _sketches(sets: DataFrame) -> DataFrame:
+    """``node, sketch``."""
+    def run(batches):
+        for b in slices(batches):
+            found = [sketch(np.frombuffer(h, np.uint64)) for h in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "sketch"])
+
+    return sets.select("node", "hashes").mapInArrow(run, "node long, sketch array<long>")
+
+
 def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (hub, node) in different components that share a shingle early enough in both prefixes."""
+    """Pairs (hub, node) in different components (lo, hi) that share a shingle early enough in both prefixes.
+
+    ``apart`` is the number of bits in which their sketches differ, never more than a link allows.
+    """
     counts = sets.sparkSession.sparkContext.broadcast(_shingle_counts(sets))
 
     def run(batches):
@@ -290,19 +331,26 @@ def _prefix_pairs(sets: DataFrame, percent: int) -> DataFrame:
     parts = live.groupBy("shingle", "comp").agg(F.count("*").alias("m"))
     hosts = materialize(parts.groupBy("shingle").agg(F.max(F.struct("m", "comp")).getField("comp").alias("host"),
                                                      F.ceil(F.sum("m") / SHARERS).alias("portions")), "hosts")
-    told = live.join(hosts, "shingle").withColumn("guest", F.col("comp") != F.col("host"))
+    told = materialize(live.join(hosts, "shingle").withColumn("guest", F.col("comp") != F.col("host"))
+                       .join(_sketches(sets), "node"), "told")
     a = (told.where("guest").withColumn("portion", F.explode(F.expr("sequence(0L, portions - 1)")))
-         .select("shingle", "portion", "node", "comp", "n", "at").alias("a"))
+         .select("shingle", "portion", "node", "comp", "n", "at", "sketch").alias("a"))
     b = (told.withColumn("portion", F.pmod(F.xxhash64("node"), F.col("portions")))
-         .select("shingle", "portion", "node", "comp", "n", "at", "guest").alias("b"))
+         .select("shingle", "portion", "node", "comp", "n", "at", "guest", "sketch").alias("b"))
     rest = F.least(F.col("a.n") - F.col("a.at"), F.col("b.n") - F.col("b.at"))
+    both = F.col("a.n") + F.col("b.n")
+    apart = F.aggregate(F.zip_with("a.sketch", "b.sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), add)
     fits = ((F.col("a.shingle") == F.col("b.shingle")) & (F.col("a.portion") == F.col("b.portion"))
             & (F.col("a.comp") != F.col("b.comp"))
             # a pair of guests is met once
             & (~F.col("b.guest") | (F.col("a.node") < F.col("b.node")))
             & (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n"))
-            & (rest * (100 + percent) >= percent * (F.col("a.n") + F.col("b.n"))))
-    return a.join(b, fits).select(F.col("a.node").alias("hub"), F.col("b.node").alias("node")).distinct()
+            & (rest * (100 + percent) >= percent * both)
+            & (apart * (100 + percent) <= (100 - percent) * both))
+    return a.join(b, fits).select(
+        F.least("a.node", "b.node").alias("hub"), F.greatest("a.node", "b.node").alias("node"),
+        F.least("a.comp", "b.comp").alias("lo"), F.greatest("a.comp", "b.comp").alias("hi"),
+        apart.alias("apart")).distinct()
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5,

@@ -306,6 +306,52 @@ def test_pages_of_a_template_are_not_paired(spark):
     assert all(r["kept"] for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle_words=2).collect())
 
 
+def test_sketches_of_similar_sets_are_near():
+    rng = np.random.default_rng(8)
+    for _ in range(500):
+        base = rng.integers(0, 1 << 63, rng.integers(1, 5000), dtype=np.uint64)
+        a, b = (np.unique(np.concatenate([base, rng.integers(0, 1 << 63, rng.integers(0, 900), dtype=np.uint64)])) for _ in "ab")
+        apart = sum(int(x).bit_count() for x in (near_dedup.sketch(a) ^ near_dedup.sketch(b)).view(np.uint64))
+        assert apart <= len(np.setxor1d(a, b))
+        assert not near_dedup.similar(a, b, 80) or apart * 180 <= 20 * (len(a) + len(b))
+
+
+def variants(count):
+    """Variants of one text: 20 words of their own each and 6 of its 200 words gone, so hardly two are linked."""
+    rng = random.Random(6)
+    frame = [f"t{k}" for k in range(200)]
+    return [(k, " ".join([w for w in frame if w not in gone] + [f"w{k}x{j}" for j in range(18)]))
+            for k in range(count) for gone in [set(rng.sample(frame[1:-1], 6))]]
+
+
+def test_variants_of_a_text_are_not_paired(spark):
+    """They share the frame's shingles in their prefixes; only pairs that may be links are left."""
+    rows = variants(300)
+    found = [near_dedup.shingle_set(t, 2) for _, t in rows]
+    sets = spark.createDataFrame([(k, k, s.tobytes()) for (k, _), s in zip(rows, found, strict=True)],
+                                 "node long, comp long, hashes binary")
+    links = {(i, j) for j in range(300) for i in range(j) if near_dedup.similar(found[i], found[j], 80)}
+    pairs = {(r["hub"], r["node"]) for r in near_dedup._prefix_pairs(sets, 80).collect()}
+    assert links <= pairs and len(pairs) <= len(links) + 300
+
+
+def test_one_link_joins_two_components(spark, monkeypatch):
+    """Of many links between two components the nearest alone is confirmed."""
+    monkeypatch.setattr(near_dedup, "band_keys", lambda hashes: np.zeros(1, np.int64))
+    frame = [f"t{k}" for k in range(100)]
+    # the last row links with all but the least
+    rows = [(0, " ".join(frame[:88])), *((k, " ".join([*frame, f"a{k}"])) for k in range(1, 31)),
+            (31, " ".join([*frame, *(f"b{j}" for j in range(13))]))]
+    confirmed, counts = near_dedup._confirmed, []
+    monkeypatch.setattr(near_dedup, "_confirmed",
+                        lambda pairs, *more: counts.append(pairs.count()) or confirmed(pairs, *more))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_near(rows, near_duplicates(df, shingle_words=1).collect(), 1)
+    assert counts == [30, 1]
+    monkeypatch.setattr(near_dedup, "sketch", lambda hashes: np.zeros(1, np.int64))   # tells nothing: the same result
+    check_near(rows, near_duplicates(df, shingle_words=1).collect(), 1)
+
+
 # ---- decontamination
 
 def brute_distance(pattern, text):
